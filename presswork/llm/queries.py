@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm import exact_dedup, licenses, mixing, sharding
+from presswork.llm import bpe, exact_dedup, licenses, mixing, quality, sharding
 from presswork.sources.tables import table
 
 #: Sixteen shards of equal weight.
@@ -25,6 +25,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -34,6 +45,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_license_scan": op1_license_scan,
         "op3_mixing": op3_mixing,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_quality_classifier": op6_quality_classifier,
+        "op7_bpe_round_trip": op7_bpe_round_trip,
         "op8_rendezvous_shards": op8_rendezvous_shards,
     }
 
