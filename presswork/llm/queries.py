@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm import bpe, exact_dedup, licenses, mixing, quality, sharding
+from presswork.llm import bpe, exact_dedup, licenses, mih, mixing, quality, sharding
 from presswork.sources.tables import table
 
 #: Sixteen shards of equal weight.
@@ -40,6 +40,10 @@ def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mih.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -48,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_classifier": op6_quality_classifier,
         "op7_bpe_round_trip": op7_bpe_round_trip,
         "op8_rendezvous_shards": op8_rendezvous_shards,
+        "op10_multi_index_hashing": op10_multi_index_hashing,
     }
 
 
