@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,15 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit:
             part = batch.slice(at, end - at)
             yield part, [x or "" for x in part.column(batch.schema.get_field_index(text)).to_pylist()]
             at = end
+
+
+def sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int = 3, held: int = 1, per_class: int = 1500) -> DataFrame:
+    """(id, text, label): the labelled rows that a classifier may learn from, of each class the
+    per_class with the smallest hash of id; those with remainder `held` are left out."""
+    known = labels.select(F.col("doc_id").alias("id"), F.col(column).cast("int").alias("label")).where("id is not null and label in (0, 1)")
+    known = known.where(remainder(F.col("id"), modulus) != held).groupBy("id").agg(F.min("label").alias("label"))
+    order = F.xxhash64("id", F.lit(column))
+    parts = [known.where(F.col("label") == v).orderBy(order, "id").limit(per_class) for v in (0, 1)]
+    few = parts[0].union(parts[1])  # at most 2 * per_class rows
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
+    return texts.join(F.broadcast(few), "id")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.base import remainder, small_batches
+from presswork.llm.base import remainder, sample, small_batches
 
 PER_CLASS, DIMS, LATENT, NEIGHBOURS, POWER = 1500, 1024, 48, 15, 4.0
 STYLE = 8
@@ -103,17 +103,6 @@ def vote(model: dict[str, np.ndarray], rows: np.ndarray, block: int = 256) -> np
     return np.clip(out, 0.0, 1.0)
 
 
-def sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int = 3, held: int = 1, per_class: int = PER_CLASS) -> DataFrame:
-    """(id, text, label): the rows that a classifier may learn from."""
-    known = labels.select(F.col("doc_id").alias("id"), F.col(column).cast("int").alias("label")).where("id is not null and label in (0, 1)")
-    known = known.where(remainder(F.col("id"), modulus) != held).groupBy("id").agg(F.min("label").alias("label"))
-    order = F.xxhash64("id", F.lit(column))
-    parts = [known.where(F.col("label") == v).orderBy(order, "id").limit(per_class) for v in (0, 1)]
-    few = parts[0].union(parts[1])  # at most 2 * per_class rows
-    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(few), "id")
-
-
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class: int = PER_CLASS) -> dict[str, np.ndarray]:
     """The fitted model; terms are counted on the executors, at most 2 * per_class rows of
     them reach the driver (more only if doc_ids repeat: the first of each counts)."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm import bpe, exact_dedup, licenses, mih, mixing, quality, sharding
+from presswork.llm import bpe, exact_dedup, licenses, mih, mixing, quality, sharding, toxicity
 from presswork.sources.tables import table
 
 #: Sixteen shards of equal weight.
@@ -40,6 +40,11 @@ def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mih.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
@@ -52,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_classifier": op6_quality_classifier,
         "op7_bpe_round_trip": op7_bpe_round_trip,
         "op8_rendezvous_shards": op8_rendezvous_shards,
+        "op9_toxicity": op9_toxicity,
         "op10_multi_index_hashing": op10_multi_index_hashing,
     }
 
