@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm import bpe, exact_dedup, licenses, mih, mixing, quality, sharding, toxicity
+from presswork.llm import bpe, exact_dedup, licenses, mih, mixing, ngram_join, quality, sharding, toxicity
 from presswork.sources.tables import table
 
 #: Sixteen shards of equal weight.
@@ -17,6 +17,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.links(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), detail=True)
 
@@ -52,6 +56,7 @@ def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
+        "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
         "op3_mixing": op3_mixing,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_quality_classifier": op6_quality_classifier,
@@ -65,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": licenses.oracle_sql(),
+        "op2_ngram_jaccard_join": ngram_join.ORACLE_SQL,
         "op3_mixing": mixing.ORACLE_SQL,
         "op5_exact_dedup": exact_dedup.ORACLE_SQL,
     }
