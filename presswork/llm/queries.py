@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm import bpe, exact_dedup, licenses, mih, mixing, ngram_join, quality, sharding, toxicity
+from presswork.llm import bpe, exact_dedup, licenses, mih, mixing, ngram_join, quality, sharding, suffix_tree, toxicity
 from presswork.sources.tables import table
 
 #: Sixteen shards of equal weight.
@@ -25,6 +25,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), detail=True)
 
 
+def op4_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scores(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_license_scan": op1_license_scan,
         "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
         "op3_mixing": op3_mixing,
+        "op4_suffix_tree_scores": op4_suffix_tree_scores,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_bpe_round_trip": op7_bpe_round_trip,
