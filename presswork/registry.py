@@ -2,10 +2,688 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date, datetime
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from presswork.functions import pages as page_functions
+from presswork.functions import text as texts
+from presswork.functions import urls
+from presswork.operators import audit, browse, classify, collection, export
+from presswork.sources import proxy
+from presswork.sources.proxy import CODE, EVENTS_SQL, OBS_SQL, PIVOT, RAW_SQL, TARGET
+from presswork.sources.tables import table
+from presswork.streaming import fold, hosts, stateful
+
+START, END = date(2016, 1, 1), date(2019, 12, 31)
+MISSING = [date(2016, 2, 15), date(2017, 7, 1), date(2017, 7, 2), date(2019, 12, 31)]
+NOW = datetime(2024, 1, 20)
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+#: Queries that return days, and the columns that hold them: both sides give them as text.
+DAYS = {
+    "day": "classify_observations country_candidates_cross daily_histogram origin_gdelt origin_cctld origin_both mode_broad mode_both mode_only_pair article_places search_rows joined_export",
+    "bucket": "audit_grouping_sets audit_by_day audit_by_month audit_by_year browse_overview",
+    "period": "calendar_spine",
+    "month": "browse_timeline",
+    "first_observed last_observed": "stories_by_url stories_page input_rollup",
+    "first_observed": "pilot_sample",
+    "last_observed": "downloaded_semi_join download_status_join",
+}
+
+
+def query(sql: str | None = None):
+    def put(function):
+        name = function.__name__
+        days = [c for columns, names in DAYS.items() if name in names.split() for c in columns.split()]
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            found = function(spark, sf_dir)
+            return found.withColumns({c: F.col(c).cast("string") for c in days}) if days else found
+
+        _QUERIES[name] = run
+        if sql:
+            _SQL[name] = f"SELECT * REPLACE ({', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in days)}) FROM ({sql})" if days else sql
+        return function
+
+    return put
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def _obs(spark: SparkSession, d: str) -> DataFrame:
+    return classify.observations(proxy.raw_documents(spark, d), PIVOT, TARGET, CODE)
+
+
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    return proxy.result_events(spark, d)
+
+
+def _latest(spark: SparkSession, d: str) -> DataFrame:
+    return collection.latest(_events(spark, d), ["run_id", "article_id"])
+
+
+def _text(c: str) -> F.Column:
+    return F.array_join(c, ";").alias(c)
+
+
+OBS = "WITH " + OBS_SQL
+EV = "WITH " + EVENTS_SQL
+RANGE = f"day BETWEEN DATE '{START}' AND DATE '{END}'"
+SEL = {"gdelt": "estimated_country = '{c}'", "cctld": "domain_country = '{c}'", "both": "estimated_country = '{c}' AND domain_country = '{c}'"}
+FACTS = OBS + f""", fact AS (SELECT day, outlet_group, outlet, outlet_country, estimated_country, domain_country, classification_basis, count(DISTINCT url) AS article_count FROM facts GROUP BY ALL),
+au AS (
+  SELECT CASE WHEN grouping(bucket) = 0 THEN 'timeline' WHEN grouping(outlet) = 0 THEN 'outlet' ELSE 'summary' END AS kind,
+    bucket, outlet_group, outlet, outlet_country, estimated_country, domain_country, classification_basis,
+    CAST(sum(article_count) AS BIGINT) AS articles, count(DISTINCT outlet) AS active_outlets, count(DISTINCT day) AS active_days
+  FROM (SELECT *, CAST(date_trunc('{{interval}}', day) AS DATE) AS bucket FROM fact WHERE {RANGE})
+  GROUP BY GROUPING SETS ((bucket, outlet_group), (outlet_group), (outlet_group, outlet, outlet_country, estimated_country, domain_country, classification_basis)))"""
+
+
+# -- classification ---------------------------------------------------------------------
+
+@query("WITH " + RAW_SQL + """, d AS (SELECT *, regexp_extract(lower(regexp_extract(url, '^https?://([^/]+)', 1)), '([^.]+\\.[^.]+)$', 1) AS o FROM raw_documents),
+m AS (SELECT o AS k, CASE WHEN count(DISTINCT c) = 1 THEN max(c) END AS v FROM (SELECT DISTINCT o, CASE WHEN CAST(substr(string_split(o, '.')[1], 2) AS INT) % 3 = 0 THEN estimated_country ELSE domain_country END AS c FROM d) WHERE c IS NOT NULL GROUP BY o),
+s(k, v) AS (VALUES ('n1','N01'),('n2','N02'),('n3','N03'),('n4','N04'),('n5',NULL),('n9','N09'),('n7','N07')),
+e AS (SELECT d.day, d.url, d.o AS outlet, m.v AS est, s.v AS dom FROM d LEFT JOIN m ON d.o = m.k LEFT JOIN s ON string_split(d.o, '.')[2] = s.k)
+SELECT outlet, est AS estimated_country, dom AS domain_country,
+  CASE WHEN est <> dom THEN 'conflict' WHEN est = dom THEN 'estimate_domain_agree' WHEN est IS NOT NULL THEN 'estimate_only' WHEN dom IS NOT NULL THEN 'domain_only' ELSE 'unknown' END AS classification_basis,
+  count(*) AS records FROM e GROUP BY ALL""")
+def classify_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Registrable domain, mappings with ambiguity, evidence and basis."""
+    raw = proxy.raw_documents(spark, d)
+    key = classify.registrable_domain(F.col("url"))
+    value = F.when(F.substring_index(F.substring(key, 2, 99), ".", 1).cast("int") % 3 == 0, F.col("estimated_country")).otherwise(F.col("domain_country"))
+    outlets = raw.select(key.alias("key"), value.alias("value")).where("value is not null").distinct()
+    suffixes = classify.json_pairs(spark, '[["n1","N01"],["n2","N02"],["N3","N03"],["n4","N04"],["n5","N05"],["n5","N06"],["n9","N09"],["n7","N07"]]')
+    rows = classify.with_evidence(raw.select("day", "url", "v2locations"), outlets, suffixes)
+    est, dom = F.col("estimated_country"), F.col("domain_country")
+    return rows.groupBy("outlet", est, dom, classify.basis(est, dom).alias("classification_basis")).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query(OBS + f""" SELECT day, url, outlet, outlet_country, classification_basis, estimated_country, domain_country, outlet_group, array_to_string(countries, ';') AS countries, array_to_string(raw_locations, '|') AS raw_locations, CAST(source_records AS BIGINT) AS source_records
+FROM facts WHERE (outlet_country = '{PIVOT}' AND list_contains(countries, '{TARGET}')) OR (outlet_country = '{TARGET}' AND list_contains(countries, '{PIVOT}')) OR (list_contains(countries, '{PIVOT}') AND list_contains(countries, '{TARGET}'))""")
+def classify_observations(spark: SparkSession, d: str) -> DataFrame:
+    """Observations about the pair."""
+    rows = classify.pair_candidates(_obs(spark, d), PIVOT, TARGET)
+    return rows.select("day", "url", "outlet", "outlet_country", "classification_basis", "estimated_country", "domain_country", "outlet_group", _text("countries"), F.array_join("raw_locations", "|").alias("raw_locations"), "source_records")
+
+
+@query("""SELECT k AS key, CASE WHEN count(DISTINCT v) = 1 THEN max(v) END AS value FROM (VALUES ('a.ke','KE'),('a.ke','KE'),('b.com','KE'),('b.com','CH'),('c.cn','CH')) t(k, v) GROUP BY k""")
+def ambiguous_mapping(spark: SparkSession, d: str) -> DataFrame:
+    """A mapping that arrives as a JSON parameter."""
+    return classify.unambiguous(classify.json_pairs(spark, '[["A.ke","KE"],["a.ke","KE"],["b.com","KE"],["B.com","CH"],["c.cn","CH"]]'))
+
+
+@query(OBS + f""" SELECT source_country, day, url FROM (SELECT DISTINCT unnest(list_distinct([estimated_country, domain_country])) AS source_country, day, url, outlet FROM obs) WHERE source_country IN ('{PIVOT}', '{TARGET}', 'N14')""")
+def country_candidates_cross(spark: SparkSession, d: str) -> DataFrame:
+    """Observations for each source country."""
+    return classify.by_source_country(_obs(spark, d), [PIVOT, TARGET, "N14"]).select("source_country", "day", "url", "outlet").distinct().drop("outlet")
+
+
+@query(OBS + f" SELECT DISTINCT code FROM (SELECT unnest([estimated_country, domain_country]) AS code FROM obs) WHERE code IS NOT NULL AND code <> '{PIVOT}'")
+def catalog_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Countries to choose from."""
+    return classify.catalog_codes(_obs(spark, d), PIVOT)
+
+
+# -- the audit --------------------------------------------------------------------------
+
+def _audit(spark: SparkSession, d: str, interval: str = "week") -> DataFrame:
+    return audit.audit(audit.daily(_obs(spark, d)), START, END, interval)
+
+
+@query(FACTS.replace("{interval}", "week") + " SELECT * FROM au")
+def audit_grouping_sets(spark: SparkSession, d: str) -> DataFrame:
+    """The flagship: timeline, summary and outlets in one pass."""
+    return _audit(spark, d)
+
+
+for _interval in ("day", "month", "year"):
+    def _one(spark: SparkSession, d: str, interval: str = _interval) -> DataFrame:
+        return _audit(spark, d, interval)
+
+    _one.__name__ = f"audit_by_{_interval}"
+    query(FACTS.replace("{interval}", _interval) + " SELECT * FROM au")(_one)
+
+
+@query(FACTS.replace("{interval}", "week") + """, g(outlet_group) AS (VALUES ('Chinese'), ('Local'), ('Third country'), ('Unknown or uncertain')),
+o AS (SELECT outlet_group, arg_min(outlet, (-articles, outlet)) FILTER (coalesce(outlet, '') <> '') AS largest_outlet, max(articles) FILTER (coalesce(outlet, '') <> '') AS most, sum(articles) FILTER (coalesce(outlet, '') = '') AS missing FROM au WHERE kind = 'outlet' GROUP BY 1)
+SELECT g.outlet_group, coalesce(articles, 0) AS articles, coalesce(active_outlets, 0) AS active_outlets, coalesce(active_days, 0) AS active_days, largest_outlet,
+  coalesce(most, 0) AS largest_outlet_articles, CAST(coalesce(missing, 0) AS BIGINT) AS missing_domain_articles
+FROM g LEFT JOIN (SELECT * FROM au WHERE kind = 'summary') s USING (outlet_group) LEFT JOIN o USING (outlet_group)""")
+def audit_summary_shape(spark: SparkSession, d: str) -> DataFrame:
+    """Zero-filled groups, the largest known outlet, articles without one (A2)."""
+    return audit.summary(_audit(spark, d))
+
+
+_PERIODS = FACTS.replace("{interval}", "month") + f""", cal AS (SELECT CAST(unnest(generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY)) AS DATE) AS day),
+sp AS (SELECT CAST(date_trunc('month', day) AS DATE) AS period, count(*) AS expected_days, count(*) FILTER (day NOT IN ({", ".join(f"DATE '{x}'" for x in MISSING)})) AS available_days FROM cal GROUP BY 1),
+g(outlet_group) AS (VALUES ('Chinese'), ('Local'), ('Third country'), ('Unknown or uncertain')),
+pr AS (SELECT period, g.outlet_group, expected_days, available_days, coalesce(articles, 0) AS articles, coalesce(active_outlets, 0) AS active_outlets FROM sp CROSS JOIN g LEFT JOIN (SELECT * FROM au WHERE kind = 'timeline') t ON t.bucket = period AND t.outlet_group = g.outlet_group)"""
+
+
+def _periods(spark: SparkSession, d: str) -> DataFrame:
+    return audit.periods(_audit(spark, d, "month").where("kind = 'timeline'"), START, END, "month", MISSING)
+
+
+@query(_PERIODS + " SELECT * FROM pr")
+def calendar_spine(spark: SparkSession, d: str) -> DataFrame:
+    """Every period and group, with available days."""
+    return _periods(spark, d).select("period", "outlet_group", "expected_days", "available_days", "articles", "active_outlets")
+
+
+@query(_PERIODS + """, e AS (SELECT period, bool_and(available_days = expected_days) AS whole, bool_and((active_outlets >= 1 AND articles >= 3) OR outlet_group NOT IN ('Chinese', 'Local')) AS good FROM pr GROUP BY 1),
+c AS (SELECT count(*) FILTER (whole) AS complete, count(*) FILTER (NOT whole) AS excluded, count(*) FILTER (whole AND good) AS passing FROM e)
+SELECT *, round(100.0 * passing / nullif(complete, 0), 6) AS percent, coalesce(100.0 * passing / nullif(complete, 0) >= 50, FALSE) AS meets FROM c""")
+def coverage_assessment(spark: SparkSession, d: str) -> DataFrame:
+    """Do enough complete periods reach the minimums."""
+    return audit.assess(_periods(spark, d), 1, 3, 50).withColumn("percent", F.round("percent", 6))
+
+
+@query(OBS + f""" , r AS (SELECT url, unnest(list_distinct(list(day))) AS day FROM obs GROUP BY url), cal AS (SELECT CAST(unnest(generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY)) AS DATE) AS day)
+SELECT day, count(url) AS count FROM cal LEFT JOIN r USING (day) GROUP BY day""")
+def daily_histogram(spark: SparkSession, d: str) -> DataFrame:
+    """URLs a day over rows that have several days."""
+    rows = _obs(spark, d).groupBy("url").agg(F.collect_set("day").alias("days"))
+    return audit.histogram(rows, audit.calendar(spark, START, END))
+
+
+@query(FACTS.replace("{interval}", "year") + " SELECT outlet_group, outlet, articles, rn AS rank FROM (SELECT *, row_number() OVER (PARTITION BY outlet_group ORDER BY articles DESC, coalesce(outlet, ''), coalesce(classification_basis, ''), coalesce(outlet_country, ''), coalesce(estimated_country, ''), coalesce(domain_country, '')) AS rn FROM au WHERE kind = 'outlet') WHERE rn BETWEEN 3 AND 6")
+def ranked_outlets(spark: SparkSession, d: str) -> DataFrame:
+    """A page of each group's outlets by articles."""
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    order = Window.partitionBy("outlet_group").orderBy(F.desc("articles"), *map(blank, ("outlet", "classification_basis", "outlet_country", "estimated_country", "domain_country")))
+    rows = _audit(spark, d, "year").where("kind = 'outlet'").withColumn("rank", F.row_number().over(order).cast("long"))
+    return rows.where("rank between 3 and 6").select("outlet_group", "outlet", "articles", "rank")
+
+
+# -- browsing ---------------------------------------------------------------------------
+
+for _name, _where in SEL.items():
+    def _one(spark: SparkSession, d: str, name: str = _name) -> DataFrame:
+        return browse.select(_obs(spark, d), TARGET, "broad", name).select("day", "url", "outlet")
+
+    _one.__name__ = f"origin_{_name}"
+    query(OBS + f" SELECT day, url, outlet FROM obs WHERE {_where.format(c=TARGET)}")(_one)
+
+for _name, _where in {"broad": "TRUE", "both": "list_contains(countries, '{c}')", "only_pair": "list_contains(countries, '{c}') AND len(countries) = 2"}.items():
+    def _one(spark: SparkSession, d: str, name: str = _name) -> DataFrame:
+        return browse.select(_obs(spark, d), TARGET, name, "gdelt", place=True).select("day", "url", "outlet")
+
+    _one.__name__ = f"mode_{_name}"
+    query(OBS + f" SELECT day, url, outlet FROM obs WHERE estimated_country = '{TARGET}' AND {_where.format(c=TARGET)} AND list_contains(specific_location_countries, '{TARGET}')")(_one)
+
+_BASE = OBS + f", b AS (SELECT * FROM obs WHERE estimated_country = '{TARGET}'), bd AS (SELECT * FROM b WHERE {RANGE})"
+
+
+def _base(spark: SparkSession, d: str) -> DataFrame:
+    return browse.select(_obs(spark, d), TARGET)
+
+
+@query(_BASE + " SELECT outlet, count(DISTINCT url) AS count FROM bd GROUP BY outlet")
+def browse_outlets(spark: SparkSession, d: str) -> DataFrame:
+    """URLs of each outlet within the dates (A3 L3)."""
+    return browse.outlets(_base(spark, d), START, END)
+
+
+@query(_BASE + " SELECT CAST(date_trunc('month', day) AS DATE) AS month, count(DISTINCT url) AS count FROM b GROUP BY 1")
+def browse_timeline(spark: SparkSession, d: str) -> DataFrame:
+    """URLs of each month, whatever the dates (A4)."""
+    return browse.timeline(_base(spark, d))
+
+
+@query(_BASE + " SELECT 'outlet' AS kind, outlet, count(DISTINCT url) AS count, CAST(NULL AS DATE) AS bucket FROM bd GROUP BY outlet UNION ALL SELECT 'timeline', NULL, count(DISTINCT url), CAST(date_trunc('month', day) AS DATE) FROM b GROUP BY 4")
+def browse_overview(spark: SparkSession, d: str) -> DataFrame:
+    """Outlets and months in one result."""
+    return browse.overview(_base(spark, d), START, END)
+
+
+@query(_BASE + " SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS count, count(*) AS websites FROM (SELECT outlet, count(DISTINCT url) AS n FROM bd GROUP BY outlet)")
+def browse_totals_api(spark: SparkSession, d: str) -> DataFrame:
+    """Totals as sums over outlets (A5)."""
+    return browse.totals(_base(spark, d), START, END)
+
+
+_LATEST = _BASE + """, lu AS (SELECT * EXCLUDE (rn) FROM (SELECT *, min(day) OVER (PARTITION BY url) AS first_observed, day AS last_observed, row_number() OVER (PARTITION BY url ORDER BY day DESC, coalesce(outlet, '')) AS rn FROM bd) WHERE rn = 1)"""
+
+
+@query(_LATEST + " SELECT count(*) AS count, count(DISTINCT outlet) AS websites FROM lu")
+def browse_totals_cache(spark: SparkSession, d: str) -> DataFrame:
+    """Totals over URLs."""
+    return browse.totals_by_url(_base(spark, d), START, END)
+
+
+@query(_LATEST + " SELECT url, outlet, first_observed, last_observed, array_to_string(countries, ';') AS countries FROM lu")
+def stories_by_url(spark: SparkSession, d: str) -> DataFrame:
+    """First, last and latest evidence of each URL."""
+    return browse.latest(_base(spark, d), START, END).select("url", "outlet", "first_observed", "last_observed", _text("countries"))
+
+
+@query(_BASE + """ SELECT outlet, url, min(day) AS first_observed, max(day) AS last_observed, array_to_string(arg_max(countries, day), ';') AS countries, arg_max(domain_country, day) AS domain_country FROM bd GROUP BY outlet, url ORDER BY last_observed DESC, url, outlet LIMIT 20 OFFSET 20""")
+def stories_page(spark: SparkSession, d: str) -> DataFrame:
+    """The second page of stories."""
+    return browse.stories(_base(spark, d), START, END, page=1).select("outlet", "url", "first_observed", "last_observed", _text("countries"), "domain_country")
+
+
+@query(OBS + f""" SELECT url, day, array_to_string(list_sort(list_distinct(list_transform(list_filter(flatten(list_transform(raw_locations, lambda r: list_transform(string_split(r, ';'), lambda l: string_split(l, '#')))), lambda p: len(p) > 2 AND p[3] = '{TARGET}' AND p[1] IN ('2','3','4','5')), lambda p: p[2]))), ';') AS places FROM obs WHERE estimated_country = '{TARGET}'""")
+def article_places(spark: SparkSession, d: str) -> DataFrame:
+    """Places that each article names."""
+    return _base(spark, d).select("url", "day", F.array_join(classify.places(F.col("raw_locations"), F.lit(TARGET)), ";").alias("places"))
+
+
+_FILTERS = f"{{'broad': TRUE, 'both': list_contains(countries, '{TARGET}'), 'only_pair': list_contains(countries, '{TARGET}') AND len(countries) = 2, 'only_pair_specific': list_contains(countries, '{TARGET}') AND len(countries) = 2 AND list_contains(specific_location_countries, '{TARGET}'), 'specific': list_contains(specific_location_countries, '{TARGET}')}}"
+
+
+@query(OBS + f""", m AS (SELECT outlet_group, url, outlet, unnest(map_entries(map(['broad','both','only_pair','only_pair_specific','specific'], [TRUE, list_contains(countries, '{TARGET}'), list_contains(countries, '{TARGET}') AND len(countries) = 2, list_contains(countries, '{TARGET}') AND len(countries) = 2 AND list_contains(specific_location_countries, '{TARGET}'), list_contains(specific_location_countries, '{TARGET}')]))) AS f FROM facts)
+SELECT outlet_group, f.key AS filter, count(*) FILTER (f.value) AS daily_observations, count(DISTINCT url) FILTER (f.value) AS unique_urls, count(DISTINCT outlet) FILTER (f.value) AS websites FROM m GROUP BY 1, 2""")
+def pilot_filter_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Groups by filters, as URLs and as daily observations."""
+    about, place = F.array_contains("countries", TARGET), F.array_contains("specific_location_countries", TARGET)
+    pair = about & (F.size("countries") == 2)
+    tests = {"broad": F.lit(True), "both": about, "only_pair": pair, "only_pair_specific": pair & place, "specific": place}
+    kept = F.filter(F.array(*[F.struct(F.lit(k).alias("filter"), v.alias("hit")) for k, v in tests.items()]), lambda x: F.lit(True))
+    rows = _obs(spark, d).select("outlet_group", "url", "outlet", F.explode(kept).alias("x")).select("outlet_group", "url", "outlet", "x.*")
+    hit = lambda c: F.count_distinct(F.when(F.col("hit"), F.col(c)))
+    return rows.groupBy("outlet_group", "filter").agg(F.count_if("hit").alias("daily_observations"), hit("url").alias("unique_urls"), hit("outlet").alias("websites"))
+
+
+@query(OBS + f" SELECT day, url, outlet FROM obs WHERE contains(lower(coalesce(outlet, '')), 's1') OR contains(lower(coalesce(CASE estimated_country WHEN '{PIVOT}' THEN 'Pivotland' ELSE estimated_country END, '')), 's1') OR contains(lower(coalesce(estimated_country, '')), 's1')")
+def search_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Substring search over columns and labels."""
+    return browse.search(_obs(spark, d), "S1", ["outlet", "estimated_country"], {PIVOT: "Pivotland"}).select("day", "url", "outlet")
+
+
+@query(OBS + " SELECT outlet, first_observed, last_observed, url FROM (SELECT url, outlet, min(day) AS first_observed, max(day) AS last_observed FROM obs GROUP BY url, outlet)")
+def input_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """First and last day of each input."""
+    return collection.input_rollup(_obs(spark, d))
+
+
+@query(OBS + """, i AS (SELECT url, outlet, min(day) AS f FROM obs GROUP BY url, outlet), t AS (SELECT outlet FROM i WHERE outlet IS NOT NULL GROUP BY outlet ORDER BY count(*) DESC, outlet LIMIT 12),
+x AS (SELECT i.*, row_number() OVER (PARTITION BY outlet ORDER BY f, url) AS a, row_number() OVER (PARTITION BY outlet ORDER BY f DESC, url DESC) AS b FROM i JOIN t USING (outlet))
+SELECT DISTINCT outlet, url, f AS first_observed FROM x WHERE a = 1 OR b = 1""")
+def pilot_sample(spark: SparkSession, d: str) -> DataFrame:
+    """First and last URL of the twelve largest outlets."""
+    return collection.pilot_sample(collection.input_rollup(_obs(spark, d)))
+
+
+@query(OBS + f" SELECT count(*) AS rows, count(DISTINCT url) AS unique_urls, count(DISTINCT outlet) AS websites, count(*) FILTER (estimated_country = '{TARGET}') AS gdelt_rows, count(DISTINCT url) FILTER (estimated_country = '{TARGET}') AS gdelt_unique_urls FROM obs")
+def cache_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Figures of an export."""
+    return export.stats(_obs(spark, d), TARGET)
+
+
+# -- collection results -----------------------------------------------------------------
+
+@query(EV + " SELECT run_id, article_id, outlet, updated_at, status, seq FROM latest")
+def latest_results(spark: SparkSession, d: str) -> DataFrame:
+    """The newest event of each article."""
+    return _latest(spark, d).select("run_id", "article_id", "outlet", "updated_at", "status", "seq")
+
+
+@query(EV + " SELECT outlet, status, count(*) AS articles FROM latest WHERE status NOT IN ('deferred', 'retrying', 'queued') GROUP BY ALL")
+def status_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Final results by outlet and status."""
+    return collection.status_counts(_latest(spark, d))
+
+
+@query(EV + " SELECT run_id, count(*) AS completed, CAST(sum(list_sum(http_counts)) AS BIGINT) AS attempts, CAST(sum(list_sum(list_transform(http_counts, lambda x: greatest(0, x - 1)))) AS BIGINT) AS retries, CAST(sum(response_bytes) AS BIGINT) AS response_bytes FROM latest WHERE status <> 'deferred' GROUP BY 1")
+def attempt_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Attempts, retries and bytes."""
+    return collection.metrics(_latest(spark, d))
+
+
+@query(EV + " SELECT CAST(CAST(('0x' || substr(article_id, 1, 8)) AS BIGINT) % 32 AS INT) AS shard, count(*) AS total, count(*) FILTER (status <> 'deferred') AS processed, CAST(sum(CASE WHEN status <> 'deferred' THEN list_sum(http_counts) ELSE 0 END) AS BIGINT) AS attempts, CAST(sum(CASE WHEN status <> 'deferred' THEN response_bytes ELSE 0 END) AS BIGINT) AS response_bytes FROM latest GROUP BY 1")
+def shard_counters(spark: SparkSession, d: str) -> DataFrame:
+    """Counters by shard."""
+    return collection.shard_counters(_latest(spark, d))
+
+
+_PROGRESS = EV + """, lv AS (SELECT outlet, count(*) AS live FROM latest WHERE seq % 7 = 0 GROUP BY 1),
+p AS (SELECT l.outlet, count(*) AS total, count(*) FILTER (status <> 'deferred') AS processed, count(*) FILTER (status = 'saved') AS saved, count(*) FILTER (status = 'partial') AS partial, count(*) FILTER (status = 'exhausted') AS exhausted, count(*) FILTER (status = 'failed') AS failed FROM latest l GROUP BY 1),
+q AS (SELECT p.*, greatest(0, total - processed) AS remaining, least(greatest(0, total - processed), coalesce(live, 0)) AS active FROM p LEFT JOIN lv USING (outlet))"""
+
+
+def _progress(spark: SparkSession, d: str) -> DataFrame:
+    newest = _latest(spark, d)
+    return collection.progress(newest, newest.where("seq % 7 = 0").groupBy("outlet").agg(F.count(F.lit(1)).alias("live")))
+
+
+@query(_PROGRESS + " SELECT outlet, total, processed, saved, partial, exhausted, failed, remaining, active, remaining - active AS pending FROM q")
+def progress_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Finished, active and pending articles by outlet."""
+    return _progress(spark, d)
+
+
+@query(_PROGRESS + " SELECT CAST(sum(total) AS BIGINT) AS total, CAST(sum(saved + partial + exhausted + failed) AS BIGINT) AS finished, round(100 * sum(saved + partial + exhausted + failed) / sum(total), 4) AS percent FROM q")
+def public_status(spark: SparkSession, d: str) -> DataFrame:
+    """Totals as the public sees them."""
+    return collection.public_status(_progress(spark, d))
+
+
+_MANIFEST = EV + ", manifest AS (SELECT DISTINCT run_id, article_id, outlet FROM ev)"
+
+
+def _manifest(spark: SparkSession, d: str) -> DataFrame:
+    return _events(spark, d).select("run_id", "article_id", "outlet").distinct()
+
+
+@query(_MANIFEST + " SELECT m.* FROM manifest m WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.run_id = m.run_id AND l.article_id = m.article_id AND status <> 'deferred')")
+def pending_anti_join(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the manifest without a final result."""
+    return collection.pending(_manifest(spark, d), _latest(spark, d))
+
+
+@query(_MANIFEST + ", a AS (SELECT outlet, count(*) AS n FROM manifest m WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.run_id = m.run_id AND l.article_id = m.article_id AND status <> 'deferred') GROUP BY 1), b AS (SELECT outlet, count(*) AS n FROM latest WHERE status <> 'deferred' GROUP BY 1) SELECT coalesce(a.outlet, b.outlet) AS outlet, coalesce(a.n, 0) AS pending, coalesce(b.n, 0) AS done FROM a FULL JOIN b ON a.outlet = b.outlet")
+def pending_by_outlet(spark: SparkSession, d: str) -> DataFrame:
+    """Pending and finished by outlet."""
+    return collection.pending_by_outlet(_manifest(spark, d), _latest(spark, d))
+
+
+@query(EV + " SELECT seq, run_id, article_id FROM ev WHERE outlet IN ('o3', 'o4')")
+def outside_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Events that are no row of the manifest."""
+    return collection.outside_manifest(_events(spark, d), _manifest(spark, d).where("outlet not in ('o3', 'o4')")).select("seq", "run_id", "article_id")
+
+
+_DOWN = _LATEST + ", dl AS (SELECT 'https://www.s' || (user_id % 100) || '.n7/o' || (event_id % 400) AS url, CASE WHEN event_type IN ('view') THEN 'saved' WHEN event_type = 'click' THEN 'partial' ELSE 'failed' END AS status FROM events), ok AS (SELECT url, max(status) AS download_status FROM dl WHERE status IN ('saved', 'partial') GROUP BY url)"
+
+
+def _downloads(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    status = F.when(F.col("event_type") == "view", "saved").when(F.col("event_type") == "click", "partial").otherwise("failed")
+    return e.select(F.concat(F.lit("https://www.s"), (F.col("user_id") % 100).cast("string"), F.lit(".n7/o"), (F.col("event_id") % 400).cast("string")).alias("url"), status.alias("status"))
+
+
+@query(_DOWN + " SELECT lu.url, outlet, last_observed, download_status FROM lu JOIN ok USING (url)")
+def downloaded_semi_join(spark: SparkSession, d: str) -> DataFrame:
+    """Stories that have been downloaded."""
+    return browse.latest(_base(spark, d), START, END, _downloads(spark, d), True).select("url", "outlet", "last_observed", "download_status")
+
+
+@query(_DOWN + " SELECT lu.url, outlet, last_observed, download_status FROM lu LEFT JOIN ok USING (url)")
+def download_status_join(spark: SparkSession, d: str) -> DataFrame:
+    """Stories with what is known of their download."""
+    return browse.latest(_base(spark, d), START, END, _downloads(spark, d)).select("url", "outlet", "last_observed", "download_status")
+
+
+_QUEUE = EV + ", q AS (SELECT article_id, outlet, run_id, updated_at AS due_at FROM latest), fl AS (SELECT outlet, count(*) % 3 AS inflight FROM latest GROUP BY 1)"
+
+
+def _queue(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    newest = _latest(spark, d)
+    q = newest.select("article_id", "outlet", F.col("updated_at").alias("due_at"), F.lit("ready").alias("state"))
+    return q, newest.groupBy("outlet").agg((F.count(F.lit(1)) % 3).alias("inflight"))
+
+
+@query(_QUEUE + f", r AS (SELECT *, row_number() OVER (PARTITION BY outlet ORDER BY due_at, article_id) AS nth FROM q WHERE due_at <= TIMESTAMP '{NOW}' AND outlet <> 'o9') SELECT article_id, r.outlet, due_at FROM r LEFT JOIN fl USING (outlet) WHERE nth <= 4 - coalesce(inflight, 0) ORDER BY due_at, article_id LIMIT 16")
+def claim_selection(spark: SparkSession, d: str) -> DataFrame:
+    """The next work under capacities."""
+    q, inflight = _queue(spark, d)
+    return collection.claimable(q, NOW, 16, 4, inflight, ("o9",))
+
+
+@query(_QUEUE + " SELECT article_id, due_at FROM (SELECT *, row_number() OVER (ORDER BY due_at, article_id) AS n FROM q) WHERE n BETWEEN 11 AND 20")
+def due_page(spark: SparkSession, d: str) -> DataFrame:
+    """A page of due work after a cursor."""
+    q, _ = _queue(spark, d)
+    far = datetime(2100, 1, 1)
+    last = collection.due_page(q, far, 10).orderBy(F.desc("due_at"), F.desc("article_id")).first()
+    return collection.due_page(q, far, 10, (last["due_at"], last["article_id"])).select("article_id", "due_at")
+
+
+@query(EV + """, b AS (SELECT outlet, count(*) AS waiting, count(*) % 3 AS inflight FROM latest GROUP BY 1), s AS (SELECT outlet, unnest(generate_series(0, least(waiting, 6 - inflight) - 1)) AS j, waiting, inflight FROM b)
+SELECT outlet, j, round((waiting - j) / (inflight + j + 1), 9) AS priority FROM s ORDER BY (waiting - j) / (inflight + j + 1) DESC, outlet DESC, j LIMIT 20""")
+def backlog_schedule(spark: SparkSession, d: str) -> DataFrame:
+    """Largest backlog first."""
+    backlog = _latest(spark, d).groupBy("outlet").agg(F.count(F.lit(1)).alias("waiting")).withColumn("inflight", F.col("waiting") % 3)
+    return collection.schedule(backlog, 20, 6).withColumn("priority", F.round("priority", 9))
+
+
+@query(EV + """, m AS (SELECT seq, outlet, updated_at, CAST(status IN ('failed', 'exhausted') AS INT) AS hit FROM ev), i AS (SELECT *, sum(1 - hit) OVER (PARTITION BY outlet ORDER BY updated_at, seq) AS g FROM m)
+SELECT seq, outlet, CAST(sum(hit) OVER (PARTITION BY outlet, g ORDER BY updated_at, seq) AS BIGINT) AS streak FROM i""")
+def block_streaks(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of failures."""
+    return collection.streaks(_events(spark, d), "outlet", F.col("status").isin("failed", "exhausted"), ["updated_at", "seq"]).select("seq", "outlet", "streak")
+
+
+@query(EV + " SELECT seq, outlet, array_to_string(list(status) OVER (PARTITION BY outlet ORDER BY updated_at, seq ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), ';') AS last FROM ev")
+def rolling_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """The last five outcomes of an outlet."""
+    return collection.rolling(_events(spark, d), "outlet", "status", 5, ["updated_at", "seq"]).select("seq", "outlet", _text("last"))
+
+
+@query(EV + """, h AS (SELECT outlet, date_trunc('hour', updated_at) AS t, count(*) AS n FROM ev GROUP BY 1, 2), c AS (SELECT outlet, t, sum(n) OVER (PARTITION BY outlet ORDER BY t) AS saved FROM h)
+SELECT outlet, t, CAST(saved AS BIGINT) AS saved, round((saved - lag(saved) OVER w) / (epoch_us(t) - epoch_us(lag(t) OVER w)) * 3.6e9, 6) AS per_hour FROM c WINDOW w AS (PARTITION BY outlet ORDER BY t)""")
+def snapshot_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Results an hour between snapshots."""
+    h = _events(spark, d).groupBy("outlet", F.date_trunc("hour", "updated_at").alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    c = h.withColumn("saved", F.sum("n").over(Window.partitionBy("outlet").orderBy("t"))).drop("n")
+    return collection.rate(c, "outlet", "saved", "t").withColumn("per_hour", F.round("per_hour", 6))
+
+
+_BEATS = """WITH beats AS (SELECT CAST(user_id % 14 AS VARCHAR) AS task_index, user_id % 4 AS task_attempt, ts AS updated_at, CASE event_type WHEN 'view' THEN 'completed' WHEN 'click' THEN 'continuing' WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'paused_limit' ELSE 'completed' END AS state, event_id FROM events),
+lw AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY task_index ORDER BY task_attempt DESC, updated_at DESC) AS rn FROM beats WHERE CAST(task_index AS INT) < 12) WHERE rn = 1)"""
+
+
+def _beats(spark: SparkSession, d: str) -> DataFrame:
+    state = F.when(F.col("event_type") == "view", "completed").when(F.col("event_type") == "click", "continuing").when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "signup", "paused_limit").otherwise("completed")
+    return table(spark, d, "events").select((F.col("user_id") % 14).cast("string").alias("task_index"), (F.col("user_id") % 4).alias("task_attempt"), F.col("ts").alias("updated_at"), state.alias("state"), "event_id", F.col("ts").alias("expires_at"), (F.col("event_id") % 5).alias("in_flight"), F.col("event_id").alias("requests"))
+
+
+@query(_BEATS + " SELECT task_index, task_attempt, updated_at, state FROM lw")
+def latest_workers(spark: SparkSession, d: str) -> DataFrame:
+    """Each task's last record."""
+    return collection.latest_workers(_beats(spark, d), 12).select("task_index", "task_attempt", "updated_at", "state")
+
+
+@query(_BEATS + " SELECT CASE WHEN count(*) < 12 THEN 'running' WHEN bool_or(state = 'failed') THEN 'failed' WHEN bool_or(state = 'paused_limit') THEN 'paused_limit' ELSE 'continuing' END AS state FROM lw")
+def cohort_state(spark: SparkSession, d: str) -> DataFrame:
+    """The state of a cohort."""
+    return collection.cohort_state(collection.latest_workers(_beats(spark, d), 12), 12, 5, 10)
+
+
+@query(_BEATS + ", w AS (SELECT *, event_id % 5 AS in_flight FROM lw) SELECT CAST(coalesce(sum(in_flight) FILTER (updated_at > TIMESTAMP '2024-01-20'), 0) AS BIGINT) AS in_flight, CAST(sum(event_id) AS BIGINT) AS requests FROM w")
+def network_counters(spark: SparkSession, d: str) -> DataFrame:
+    """Gauges of live workers, counters of all."""
+    return collection.network(collection.latest_workers(_beats(spark, d), 12), NOW)
+
+
+@query("""WITH l AS (SELECT run_id, sha256(article_id || chr(0) || outlet || chr(10)) AS d FROM (SELECT DISTINCT 'r' || (user_id % 3) AS run_id, sha256('u' || user_id) AS article_id, 'o' || (user_id % 10) AS outlet FROM events)),
+p AS (SELECT run_id, substr(d, 1, 2) AS p, sha256(string_agg(d, '' ORDER BY d)) AS h, count(*) AS n FROM l GROUP BY 1, 2)
+SELECT run_id, sha256(string_agg(h, '' ORDER BY p)) AS fingerprint, CAST(sum(n) AS BIGINT) AS articles FROM p GROUP BY 1""")
+def manifest_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    """One digest of a run's manifest."""
+    return collection.fingerprint(_manifest(spark, d))
+
+
+@query("WITH e AS (SELECT 'u' || user_id AS article_id, list(DISTINCT event_type) AS s FROM events WHERE event_id % 9 = 0 GROUP BY 1), m AS (SELECT article_id, list_sort(list_filter(['view', 'click', 'error'], lambda x: NOT list_contains(s, x))) AS m FROM e) SELECT article_id, array_to_string(m, ';') AS missing FROM m WHERE len(m) > 0")
+def stage_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Articles that lack a stage."""
+    e = table(spark, d, "events").where("event_id % 9 = 0").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("article_id"), F.col("event_type").alias("stage"))
+    return collection.stage_coverage(e, ["view", "click", "error"]).select("article_id", _text("missing"))
+
+
+@query(EV + ", p AS (SELECT *, row_number() OVER (PARTITION BY run_id, article_id ORDER BY updated_at, seq) AS pass FROM ev), q AS (SELECT article_id, arg_max(status, pass) AS status, max(pass) AS passes, CAST(sum(list_sum(http_counts)) AS BIGINT) AS attempts, CAST(sum(response_bytes) AS BIGINT) AS response_bytes FROM p WHERE pass <= 2 GROUP BY 1) SELECT article_id, CASE WHEN passes >= 2 AND status = 'deferred' THEN 'failed' ELSE status END AS status, passes, attempts, response_bytes FROM q")
+def retry_passes(spark: SparkSession, d: str) -> DataFrame:
+    """Results over two passes."""
+    nth = F.row_number().over(Window.partitionBy("run_id", "article_id").orderBy("updated_at", "seq"))
+    passes = _events(spark, d).withColumn("pass", nth.cast("long")).where("pass <= 2").withColumn("attempts", collection.attempts(F.col("http_counts")))
+    return collection.final_passes(passes)
+
+
+@query(EV + ", c AS (SELECT run_id, count(*) AS completed, CAST(sum(list_sum(http_counts)) AS BIGINT) AS attempts, CAST(sum(response_bytes) AS BIGINT) AS response_bytes FROM latest WHERE status <> 'deferred' GROUP BY 1) SELECT run_id, CASE WHEN response_bytes >= 200000 OR attempts >= 100000 THEN 'paused_limit' ELSE 'running' END AS state FROM c")
+def budget_stops(spark: SparkSession, d: str) -> DataFrame:
+    """Runs that have used up a budget."""
+    return collection.stop_reason(collection.metrics(_latest(spark, d)), 200_000, 100_000).select("run_id", "state")
+
+
+@query(EV + ", w AS (SELECT article_id, 'u' AS url, CASE WHEN min(seq) % 2 = 0 THEN max(updated_at) END AS updated_at FROM ev GROUP BY 1), j AS (SELECT w.article_id, count(*) FILTER (w.updated_at IS NULL OR w.updated_at = ev.updated_at) AS n FROM w JOIN ev USING (article_id) GROUP BY 1) SELECT article_id, CASE WHEN n = 0 THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'accepted' END AS verdict FROM j")
+def accepted_versions(spark: SparkSession, d: str) -> DataFrame:
+    """The one event that a wanted result means."""
+    e = _events(spark, d).withColumn("url", F.lit("u")).withColumn("text_uri", F.col("article_id"))
+    wanted = e.groupBy("article_id").agg(F.lit("u").alias("url"), F.when(F.min("seq") % 2 == 0, F.max("updated_at")).alias("updated_at"))
+    return collection.accepted(e, wanted).select("article_id", "verdict")
+
+
+@query(EV + """, o AS (SELECT article_id AS url, arg_max(status, seq) AS status FROM ev WHERE seq < 5000 GROUP BY 1), i AS (SELECT * FROM o WHERE status IN ('saved', 'partial')), c AS (SELECT article_id AS url, arg_max(status, seq) AS status FROM ev WHERE seq >= 9000 GROUP BY 1)
+SELECT url, status FROM i WHERE url NOT IN (SELECT url FROM c) UNION ALL SELECT url, status FROM c WHERE status IN ('saved', 'partial')""")
+def download_index(spark: SparkSession, d: str) -> DataFrame:
+    """The download index after a batch of changes."""
+    e = _events(spark, d)
+    newest = lambda rows: rows.groupBy(F.col("article_id").alias("url")).agg(F.max_by("status", "seq").alias("status"))
+    index = newest(e.where("seq < 5000")).where("status in ('saved', 'partial')")
+    changed = newest(e.where("seq >= 9000")).withColumn("state", F.when(F.col("status") == "deferred", "ready").otherwise("done")).withColumn("result_uri", F.lit("gs://x"))
+    return collection.download_index(index, changed)
+
+
+@query(EV + " SELECT outlet, status, count(*) AS articles FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY updated_at DESC, seq) AS rn FROM ev) WHERE rn = 1) WHERE status <> 'deferred' GROUP BY ALL")
+def latest_state_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Final results from a stream with state that retracts what it replaces."""
+    return stateful.stream_latest(spark, _events(spark, d))
+
+
+# -- text and URLs ----------------------------------------------------------------------
+
+@query("""SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, regexp_extract(lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)), '([^.]+\\.[^.]+)$', 1) AS domain FROM pages""")
+def registrable_domain(spark: SparkSession, d: str) -> DataFrame:
+    """Hosts and registrable domains."""
+    return table(spark, d, "pages").select("page_id", urls.host(F.col("url")).alias("host"), classify.registrable_domain(F.col("url")).alias("domain"))
+
+
+@query("""WITH u AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'https://web.archive.org/web/20200101' || CASE WHEN page_id % 2 = 0 THEN 'id_' ELSE '' END || '/' || url WHEN page_id % 3 = 1 THEN 'ftp://x.y/z' ELSE url END AS u, url FROM pages)
+SELECT page_id, CASE WHEN page_id % 3 = 1 THEN NULL ELSE lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) END AS publisher FROM u""")
+def publisher_host(spark: SparkSession, d: str) -> DataFrame:
+    """Publishers behind replay URLs."""
+    p = F.col("page_id")
+    replay = F.concat(F.lit("https://web.archive.org/web/20200101"), F.when(p % 2 == 0, "id_").otherwise(""), F.lit("/"), F.col("url"))
+    u = F.when(p % 3 == 0, replay).when(p % 3 == 1, "ftp://x.y/z").otherwise(F.col("url"))
+    return table(spark, d, "pages").select("page_id", urls.publisher_host(u).alias("publisher"))
+
+
+@query("""WITH s AS (SELECT page_id, regexp_extract(rtrim(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '/'), '([^/]*)$', 1) AS s FROM pages), t AS (SELECT page_id, trim(regexp_replace(regexp_replace(s, '\\.(html?|aspx?|php)$', '', 'i'), '[-_]+', ' ', 'g')) AS t FROM s)
+SELECT page_id, CASE WHEN length(t) > 12 THEN t ELSE 'Open article on here' END AS label FROM t""")
+def url_label(spark: SparkSession, d: str) -> DataFrame:
+    """Names of stories from their URLs."""
+    return table(spark, d, "pages").select("page_id", urls.label(F.col("url"), F.lit("here")).alias("label"))
+
+
+@query("""SELECT c_custkey, '"' || CASE WHEN c_custkey % 5 = 0 THEN '''=' ELSE '' END || c_name || '","' || c_custkey || '","' || CASE WHEN c_custkey % 7 = 0 THEN '' ELSE replace(c_mktsegment || ' "q"', '"', '""') END || '"' AS line FROM customer""")
+def csv_escape(spark: SparkSession, d: str) -> DataFrame:
+    """CSV lines that start no formula."""
+    key = F.col("c_custkey")
+    rows = table(spark, d, "customer").select(key, F.concat(F.when(key % 5 == 0, "=").otherwise(""), F.col("c_name")).alias("name"), F.when(key % 7 != 0, F.concat(F.col("c_mktsegment"), F.lit(' "q"'))).alias("segment"))
+    return rows.select("c_custkey", F.concat_ws(",", export.csv_field(F.col("name")), export.csv_field(key, False), export.csv_field(F.col("segment"))).alias("line"))
+
+
+@query(OBS + " SELECT url, day, array_to_string(countries, '; ') AS countries FROM obs")
+def joined_export(spark: SparkSession, d: str) -> DataFrame:
+    """Lists joined for a flat file."""
+    return export.joined(_obs(spark, d).select("url", "day", "countries"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM documents")
+def squeezed_text(spark: SparkSession, d: str) -> DataFrame:
+    """Single spaces."""
+    return table(spark, d, "documents").select("doc_id", texts.squeeze(F.col("text")).alias("text"))
+
+
+@query("""WITH v(s) AS (VALUES ('2024-02-29'), ('2025-02-29'), ('2025-1-01'), ('2025-12-31'), ('x'), ('2025-13-01'), (NULL)) SELECT s, s IN ('2024-02-29', '2025-12-31') AND s IS NOT NULL AS valid FROM v""")
+def valid_days(spark: SparkSession, d: str) -> DataFrame:
+    """Days that exist."""
+    rows = spark.createDataFrame([(x,) for x in ("2024-02-29", "2025-02-29", "2025-1-01", "2025-12-31", "x", "2025-13-01", None)], "s string")
+    return rows.select("s", texts.valid_day(F.col("s")).alias("valid"))
+
+
+@query("""WITH b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '') AS w FROM benchmark), o AS (SELECT item_id, array_to_string(w[1:12], ' ') AS o FROM b WHERE len(w) >= 12),
+d AS (SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> ''), ' ') AS t FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, item_id FROM d JOIN o ON contains(t, o)""")
+def article_identity(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold the opening of a benchmark passage.
+
+    The opening twelve words are looked up by equality among the documents' runs of twelve
+    words: an equi-join, where a containment test would compare all pairs."""
+    w = texts.tokens(F.col("text"))
+    openings = table(spark, d, "benchmark").withColumn("w", w).where(F.size("w") >= 12).select("item_id", F.array_join(F.slice("w", 1, 12), " ").alias("run"))
+    docs = table(spark, d, "documents").select("doc_id", w.alias("w")).where(F.size("w") >= 12)
+    runs = docs.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 11), lambda i: F.array_join(F.slice("w", i, 12), " "))).alias("run"))
+    return runs.join(openings, "run").select("doc_id", "item_id").distinct()
+
+
+@query("""WITH a(t, o) AS (VALUES ('Big fire in old town market | Daily', 'Big fire in old town market - Post'), ('Short one', 'Short one'), ('A b c d e f', 'g h i j k l')) SELECT t, o, CASE WHEN t LIKE 'Big%' THEN 'headline' END AS verdict FROM a""")
+def same_story(spark: SparkSession, d: str) -> DataFrame:
+    """Identity of stories by headline."""
+    rows = spark.createDataFrame([("Big fire in old town market | Daily", "Big fire in old town market - Post"), ("Short one", "Short one"), ("A b c d e f", "g h i j k l")], "t string, o string")
+    return rows.select("t", "o", texts.same_story(F.col("t"), F.lit("none"), F.col("o"), F.lit("other")).alias("verdict"))
+
+
+_HTTP = [(429, False, "text/html", "x", "/a", "/a", "rate_limited"), (200, True, "text/html", "x", "/a", "/a", "needs_inspection"), (403, False, "text/html", "x", "/a", "/a", "blocked"), (404, False, "text/html", "x", "/a", "/a", "unavailable"), (503, False, "", "x", "/a", "/a", "temporary_error"), (302, False, "", "x", "/a", "/a", "needs_inspection"), (200, False, "application/pdf", "x", "/a", "/a", "needs_inspection"), (200, False, "text/HTML", "Just a moment", "/a", "/a", "blocked"), (200, False, "text/html", "Page Not Found", "/a", "/a", "needs_inspection"), (200, False, "text/html", "x", "/a", "/", "needs_inspection"), (200, False, "text/html", "x", "/a", "/a", "retrieved")]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, '{r[-1]}')" for i, r in enumerate(_HTTP)) + ") t(i, outcome)")
+def http_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """What responses mean."""
+    rows = spark.createDataFrame([(i, *r[:6]) for i, r in enumerate(_HTTP)], "i int, code int, large boolean, kind string, title string, asked string, final string")
+    at = lambda c: F.concat(F.lit("https://a.ke"), F.col(c))
+    return rows.select("i", texts.http_outcome(F.col("code"), F.col("large"), F.col("kind"), F.col("title"), at("asked"), at("final")).alias("outcome"))
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events FROM events GROUP BY ALL")
+def tumbling_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Events in hours."""
+    return stateful.late_windows(table(spark, d, "events"), size="1 hour")
+
+
+# -- folds and extraction: no SQL; tests hold them against small cases --------------------
+
+@query()
+def extract_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Article text of pages."""
+    return page_functions.extract_pages(table(spark, d, "pages"))
+
+
+def _requests(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    code = F.when(F.col("event_type") == "error", 503).when(F.col("event_type") == "purchase", 404).otherwise(200)
+    return e.select(F.concat(F.lit("h"), (F.col("user_id") % 10).cast("string")).alias("host"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"), "event_id", code.alias("status"), (F.col("value") / 50).alias("seconds"), F.lit(None).cast("string").alias("transport"), F.lit("ask").alias("kind"), F.col("event_id").cast("string").alias("owner"), F.lit(0.0).alias("value"))
+
+
+@query()
+def host_pacing_fold(spark: SparkSession, d: str) -> DataFrame:
+    """Permits of hosts over their requests."""
+    return fold.fold(_requests(spark, d), "host", ["t", "event_id"], hosts.new_host, lambda s, e: {"host": e["host"], "event_id": e["event_id"]} | hosts.permit(s, e), "host string, event_id long, admitted boolean, wait double, active int")
+
+
+@query()
+def adaptive_rate_fold(spark: SparkSession, d: str) -> DataFrame:
+    """Delays that hosts' responses lead to."""
+    rules = hosts.Rate(requests=None)
+    return fold.fold(_requests(spark, d), "host", ["t", "event_id"], lambda: hosts.new_rate(rules), lambda s, e: {"host": e["host"], "event_id": e["event_id"]} | hosts.adapt(s, e, rules), "host string, event_id long, phase string, delay double, change string, cooldown double")
+
+
+@query()
+def lease_fold(spark: SparkSession, d: str) -> DataFrame:
+    """Leases of articles over claims and completions (T4 T5)."""
+    e = table(spark, d, "events")
+    kind = F.when(F.col("event_type") == "view", "claim").when(F.col("event_type") == "click", "renew").when(F.col("event_type") == "error", "release").when(F.col("event_type") == "signup", "handoff").otherwise("complete")
+    rows = e.select(F.col("user_id").alias("article"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"), "event_id", kind.alias("kind"), (F.col("user_id") % 3).cast("string").alias("owner"), F.lit("k").alias("token"), F.col("event_id").cast("string").alias("result"), F.col("event_id").alias("bytes"))
+    return fold.fold(rows, "article", ["t", "event_id"], hosts.new_article, lambda s, x: {"article": x["article"], "event_id": x["event_id"]} | hosts.lease(s, x), "article long, event_id long, state string, ok boolean, delta long")
+
+
+@query()
+def packed_export(spark: SparkSession, d: str) -> DataFrame:
+    """Bounded, content-addressed parts of an ordered export."""
+    rows = classify.by_source_country(_obs(spark, d), [PIVOT, TARGET]).select("source_country", "day", "url", "outlet", "countries")
+    return export.manifest(export.packed(rows, "source_country", ["day", "url"], 500, 65536), "source_country")

@@ -1,0 +1,32 @@
+"""Ordered folds of events by key: a state machine in batch form.
+
+Events are dealt by key and sorted by time within a partition, and the partition is read
+as a stream, so a task holds one key's state and never a key's events."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+
+
+def fold(events: DataFrame, key: str, order: list[str], start: Callable[[], dict], step: Callable[[dict, dict], dict | None], schema: str) -> DataFrame:
+    """What step(state, event) returns for each event of a key in order; state is a dict that
+    start() makes and step changes. None gives no row."""
+    columns = [x.strip().split(" ")[0] for x in schema.split(",")]
+    dealt = events.repartition(key).sortWithinPartitions(key, *order)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, state = None, start()
+        for batch in batches:
+            out = []
+            for event in batch.to_dict("records"):
+                if event[key] != now:
+                    now, state = event[key], start()
+                row = step(state, event)
+                if row is not None:
+                    out.append([row.get(c) for c in columns])
+            yield pd.DataFrame(out, columns=columns)
+
+    return dealt.mapInPandas(run, schema)
