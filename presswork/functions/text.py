@@ -66,8 +66,9 @@ def retry_after(value: Column, attempt: Column, now: Column) -> Column:
     """Seconds to wait: the header's number or date, five at least; without one
     10 * 2 ** (attempt - 1), 120 at most."""
     when = F.try_to_timestamp(F.substring(value, 6, 20), F.lit("dd MMM yyyy HH:mm:ss"))
-    by_date = F.greatest(F.lit(5.0), (F.unix_micros(when) - F.unix_micros(now)) / 1e6)
-    return F.coalesce(F.greatest(F.lit(5.0), F.expr("1") * F.try_to_number(value, F.lit("999999999.999")).cast("double")), by_date, F.least(F.lit(120.0), 10 * F.pow(F.lit(2.0), attempt - 1)))
+    least = lambda x: F.when(x.isNotNull(), F.greatest(F.lit(5.0), x))  # noqa: E731  greatest() skips nulls
+    by_date = least((F.unix_micros(when) - F.unix_micros(now)) / 1e6)
+    return F.coalesce(least(value.try_cast("double")), by_date, F.least(F.lit(120.0), 10 * F.pow(F.lit(2.0), attempt - 1)))
 
 
 def stratum(i: int, n: int) -> str:

@@ -55,4 +55,4 @@ def bare_homepage(requested: Column, final: Column) -> Column:
 def evidence_path(uri: Column, bucket: str, run_id: Column, article_id: Column) -> Column:
     """Whether a URI names evidence of the run's article in the bucket."""
     pattern = F.concat(F.lit(f"^gs://{bucket}/runs/"), run_id, F.lit("/results/"), article_id, F.lit(r"/[A-Za-z0-9_.-]+\.json(\.gz)?$"))
-    return F.coalesce(F.expr("true") & F.regexp_like(uri, pattern), F.lit(False))
+    return F.coalesce(F.regexp_like(uri, pattern), F.lit(False))
