@@ -88,8 +88,9 @@ def keep_one(docs: DataFrame, bits: int = 128) -> DataFrame:
     shared = found.where("texts > 1").select("hash")
     if not shared.isEmpty():
         clash = keyed.join(shared, "hash", "left_semi")
-        exact = clash.groupBy("norm").agg(F.min("id").alias("keep_id"))
-        again = clash.join(exact, (clash["norm"] == exact["norm"]) & clash["id"].eqNullSafe(exact["keep_id"])).select("row", clash["norm"].alias("norm")).dropDuplicates(["norm"]).select("row")
+        exact = clash.groupBy(F.col("norm").alias("kept_norm")).agg(F.min("id").alias("keep_id"))
+        first = (F.col("norm") == F.col("kept_norm")) & F.col("id").eqNullSafe(F.col("keep_id"))
+        again = clash.join(exact, first).dropDuplicates(["norm"]).select("row")
         kept = kept.union(again)
     return kept.select("row.*")
 
