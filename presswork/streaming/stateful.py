@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -41,6 +42,37 @@ class Latest(StatefulProcessor):
         pass
 
 
+class Machine(StatefulProcessor):
+    """A state machine of `hosts` over a stream: the state is kept as JSON by key, the rows of
+    a micro-batch are taken in order of time, and step gives the rows that come out."""
+
+    def __init__(self, key: str, order: list[str], start, step, columns: list[str]):
+        self.key, self.order, self.start, self.step, self.columns = key, order, start, step, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("machine", "body string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
+        state = json.loads(self.state.get()[0]) if self.state.exists() else self.start()
+        out = []
+        for event in pd.concat(list(rows)).sort_values(self.order).to_dict("records"):
+            row = self.step(state, event)
+            if row is not None:
+                out.append([row.get(c) for c in self.columns])
+        self.state.update((json.dumps(state),))
+        yield pd.DataFrame(out, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+def machine(events: DataFrame, key: str, order: list[str], start, step, schema: str) -> DataFrame:
+    """`fold.fold` for a stream: what step(state, event) returns for each event. Events that
+    arrive in a later micro-batch are taken later, whatever their time."""
+    columns = [x.strip().split(" ")[0] for x in schema.split(",")]
+    return events.groupBy(key).transformWithStateInPandas(statefulProcessor=Machine(key, order, start, step, columns), outputStructType=schema, outputMode="Append", timeMode="None")
+
+
 def latest_changes(events: DataFrame) -> DataFrame:
     """The changes of a stream events(article_id, updated_at, seq, status, outlet)."""
     rows = events.select("article_id", "updated_at", "seq", "status", "outlet")
@@ -52,7 +84,7 @@ def status_totals(changes: DataFrame) -> DataFrame:
     return changes.where("delta_status is not null").groupBy("outlet", F.col("delta_status").alias("status")).agg(F.sum("delta").alias("articles")).where("articles > 0")
 
 
-def run_to_table(stream: DataFrame, name: str, checkpoint: str) -> str:
+def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "update") -> str:
     """Run a stream to its present end into Parquet under the checkpoint; a batch that is
     repeated overwrites its own folder. Returns the folder."""
     folder = f"{checkpoint}/{name}"
@@ -60,7 +92,7 @@ def run_to_table(stream: DataFrame, name: str, checkpoint: str) -> str:
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
-    query = stream.writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", f"{checkpoint}/{name}-log").trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", f"{checkpoint}/{name}-log").trigger(availableNow=True).start()
     query.awaitTermination()
     return folder
 
@@ -70,11 +102,16 @@ def late_windows(events: DataFrame, delay: str = "10 minutes", size: str = "1 ho
     return events.withWatermark("ts", delay).groupBy(F.window("ts", size), "event_type").agg(F.count(F.lit(1)).alias("events")).select(F.col("window.start").alias("start"), "event_type", "events")
 
 
+def use_rocksdb(spark) -> None:
+    """The state store that transformWithState needs."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def stream_latest(spark, events: DataFrame) -> DataFrame:
     """Status totals of events, computed by writing them out and reading them as a stream."""
     import uuid
 
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    use_rocksdb(spark)
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     events.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/in")

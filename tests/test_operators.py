@@ -248,6 +248,22 @@ def test_stream_equals_batch(spark):
     assert {(r["outlet"], r["status"]): r["articles"] for r in stateful.stream_latest(spark, rows).collect()} == {("o", "partial"): 2}
 
 
+def test_machine_stream_equals_fold(spark, tmp_path):
+    from presswork.streaming import stateful
+
+    rows = [(f"h{i % 3}", float(i), "ask" if i % 4 else "cooldown", f"o{i}", 1.0) for i in range(60)]
+    events = spark.createDataFrame(rows, "host string, t double, kind string, owner string, value double")
+    events.write.parquet(str(tmp_path / "in"))
+    step = lambda s, e: {"host": e["host"], "t": e["t"]} | hosts.permit(s, e)
+    schema = "host string, t double, admitted boolean, wait double, active int"
+    stateful.use_rocksdb(spark)
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    folder = stateful.run_to_table(stateful.machine(stream, "host", ["t"], hosts.new_host, step, schema), "m", str(tmp_path / "log"), "append")
+    got = spark.read.parquet(folder).drop("batch").collect()
+    want = fold.fold(events, "host", ["t"], hosts.new_host, step, schema).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 60
+
+
 def test_packing_and_manifest(spark):
     rows = spark.createDataFrame([("k", i, "x" * 50) for i in range(10)] + [("k", 99, "y" * 500)], "key string, i int, v string")
     parts = export.packed(rows, "key", ["i"], 4, 300).orderBy("part").collect()
