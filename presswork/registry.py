@@ -687,3 +687,76 @@ def packed_export(spark: SparkSession, d: str) -> DataFrame:
     """Bounded, content-addressed parts of an ordered export."""
     rows = classify.by_source_country(_obs(spark, d), [PIVOT, TARGET]).select("source_country", "day", "url", "outlet", "countries")
     return export.manifest(export.packed(rows, "source_country", ["day", "url"], 500, 65536), "source_country")
+
+
+# -- more of collection and evidence ------------------------------------------------------
+
+@query(EV + " SELECT run_id, arg_max(status, (updated_at, -seq)) AS state, max(updated_at) AS updated_at FROM ev GROUP BY 1")
+def latest_runs(spark: SparkSession, d: str) -> DataFrame:
+    """The newest event of each run."""
+    _events(spark, d).createOrReplaceTempView("run_events")
+    rows = collection.latest(spark.table("run_events"), ["run_id"])
+    return rows.select("run_id", F.col("status").alias("state"), "updated_at")
+
+
+@query(_BEATS + " SELECT count(*) = 12 AND bool_or(state = 'failed') AND bool_and(state IN ('failed', 'completed', 'continuing')) AND count(*) FILTER (state = 'failed' AND event_id % 2 = 1) = 0 AS recoverable FROM lw")
+def recoverable_cohort(spark: SparkSession, d: str) -> DataFrame:
+    """May a failed cohort be restarted."""
+    workers = collection.latest_workers(_beats(spark, d), 12).withColumn("infrastructure_recoverable", F.col("event_id") % 2 == 0)
+    return collection.recoverable(workers, "failed", 12)
+
+
+@query("""WITH c AS (SELECT event_id, user_id, event_type AS to_phase, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS from_phase FROM events),
+m AS (SELECT to_phase AS phase, 1 AS d FROM c UNION ALL SELECT from_phase, -1 FROM c WHERE from_phase IS NOT NULL) SELECT phase, CAST(greatest(0, sum(d)) AS BIGINT) AS articles FROM m GROUP BY 1""")
+def phase_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Articles in each phase as sums of changes."""
+    before = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    changes = table(spark, d, "events").select(F.col("user_id").alias("article_id"), F.col("event_id").alias("seq"), before.alias("from_phase"), F.col("event_type").alias("to_phase"))
+    return collection.phase_counts(changes)
+
+
+_QUALITY = "CASE event_type WHEN 'view' THEN 'candidate' WHEN 'click' THEN 'partial' ELSE 'missing' END"
+
+
+@query(f"""WITH r AS (SELECT user_id AS article_id, event_id AS stage_no, event_id % 4 AS raw_uri, {_QUALITY} AS quality, repeat('x', CAST(event_id % 50 AS INT)) AS text FROM events),
+n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id, raw_uri ORDER BY stage_no DESC) AS rn FROM r) WHERE rn = 1),
+b AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY CASE quality WHEN 'candidate' THEN 2 WHEN 'partial' THEN 1 ELSE 0 END DESC, length(text) DESC, stage_no) AS k FROM n)
+SELECT article_id, raw_uri, quality, length(text) AS characters, CASE WHEN quality = 'candidate' THEN 'saved' WHEN article_id % 5 = 0 THEN 'deferred' WHEN quality = 'partial' THEN 'partial' ELSE 'exhausted' END AS status FROM b WHERE k = 1""")
+def best_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """The best text over stages and what it makes of the article."""
+    quality = F.when(F.col("event_type") == "view", "candidate").when(F.col("event_type") == "click", "partial").otherwise("missing")
+    rows = table(spark, d, "events").select(F.col("user_id").alias("article_id"), F.col("event_id").alias("stage_no"), (F.col("event_id") % 4).alias("raw_uri"), quality.alias("quality"), F.repeat(F.lit("x"), (F.col("event_id") % 50).cast("int")).alias("text"))
+    best = collection.best_candidate(rows)
+    return best.select("article_id", "raw_uri", "quality", F.length("text").cast("long").alias("characters"), collection.final_status(F.col("quality"), F.col("article_id") % 5 == 0).alias("status"))
+
+
+@query("SELECT user_id AS article_id, event_id % 6 AS raw_uri, max(CAST(event_type = 'view' AS INT)) AS is_best FROM events WHERE event_id % 3 < 2 AND event_type <> 'error' GROUP BY 1, 2")
+def reanalysis(spark: SparkSession, d: str) -> DataFrame:
+    """Stored bodies that an older extractor read, each once."""
+    e = table(spark, d, "events").select(F.col("user_id").alias("article_id"), F.when(F.col("event_type") != "error", F.col("event_id") % 6).alias("raw_uri"), (F.col("event_id") % 3).alias("extractor_version"), (F.col("event_type") == "view").alias("is_best"))
+    return collection.to_reanalyse(e, 2)
+
+
+@query("""WITH a AS (SELECT user_id, list({'stage': CASE WHEN event_type = 'view' THEN 'http' ELSE 'extract:' || event_type END, 'title': CASE WHEN event_id % 3 > 0 THEN 't' || event_id END, 'raw_uri': 'r' || (event_id % 2)} ORDER BY event_id) AS a FROM events GROUP BY 1),
+f AS (SELECT user_id, list_filter(a, lambda x: starts_with(x.stage, 'extract:') AND x.title IS NOT NULL AND x.raw_uri = 'r' || (user_id % 2)) AS f FROM a) SELECT user_id, f[-1].title AS title FROM f""")
+def evidence_titles(spark: SparkSession, d: str) -> DataFrame:
+    """The title that belongs to the accepted body."""
+    e = table(spark, d, "events")
+    one = F.struct("event_id", F.when(F.col("event_type") == "view", "http").otherwise(F.concat(F.lit("extract:"), F.col("event_type"))).alias("stage"), F.when(F.col("event_id") % 3 > 0, F.concat(F.lit("t"), F.col("event_id").cast("string"))).alias("title"), F.concat(F.lit("r"), (F.col("event_id") % 2).cast("string")).alias("raw_uri"))
+    attempts = e.groupBy("user_id").agg(F.array_sort(F.collect_list(one)).alias("a"))
+    return attempts.select("user_id", collection.evidence_title(F.col("a"), F.concat(F.lit("r"), (F.col("user_id") % 2).cast("string"))).alias("title"))
+
+
+@query(EV + """, m AS (SELECT seq, outlet, updated_at, CAST(status = 'failed' AS INT) AS hit FROM ev), i AS (SELECT *, sum(1 - hit) OVER (PARTITION BY outlet ORDER BY updated_at, seq) AS g FROM m)
+SELECT DISTINCT outlet FROM (SELECT outlet, sum(hit) OVER (PARTITION BY outlet, g ORDER BY updated_at, seq) AS streak FROM i) WHERE streak >= 2""")
+def paused_outlets(spark: SparkSession, d: str) -> DataFrame:
+    """Outlets that two blocks running pause."""
+    status = F.when(F.col("status") == "failed", "blocked").otherwise(F.col("status"))
+    return collection.paused_outlets(_events(spark, d).withColumn("status", status), ["updated_at", "seq"])
+
+
+@query("SELECT doc_id, text = '' OR text IS NULL AS blank, CAST(strlen(coalesce(text, '')) * 1.8e-5 * 2 + strlen(coalesce(text, '')) * 2e-6 * 4 AS DOUBLE) AS cost, sha256(coalesce(text, '')) AS address FROM documents")
+def stored_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """Content addresses and what their seconds would cost."""
+    data = F.coalesce(F.col("text"), F.lit(""))
+    return table(spark, d, "documents").select("doc_id", (data == "").alias("blank"), texts.cost(F.octet_length(data).cast("double"), 2, 4).alias("cost"), F.sha2(data, 256).alias("address"))
