@@ -685,7 +685,7 @@ def lease_fold(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def packed_export(spark: SparkSession, d: str) -> DataFrame:
     """Bounded, content-addressed parts of an ordered export."""
-    rows = classify.by_source_country(_obs(spark, d), [PIVOT, TARGET]).select("source_country", "day", "url", "outlet", "countries")
+    rows = classify.by_source_country(_obs(spark, d), [PIVOT, TARGET, "N24", "N19", "N03"]).select("source_country", "day", "url", "outlet", "countries")
     return export.manifest(export.packed(rows, "source_country", ["day", "url"], 500, 65536), "source_country")
 
 
