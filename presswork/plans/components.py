@@ -17,7 +17,9 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
         around = edges
     else:
         around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    # written, so that the join below is one of two plain exchanges, which adaptive execution
+    # can split where a node has very many neighbours
+    least = cut(around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
     tied = around.join(least, "u")
     if small:
         moved = tied.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u"), F.col("m")))
