@@ -240,7 +240,8 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     member, counted, groups = _solved(docs, threshold, recall, chunk)
     rows = member.join(groups, "c", "left").join(counted, "c", "left").select("id", F.coalesce("component", "c").alias("component"), (F.coalesce("rows", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_texts"))
     rows = cut(rows)
-    least = rows.groupBy("component").agg(F.min("id").alias("class_id"))
+    # written, so that the join is of two plain exchanges, whose hot partitions Spark can split
+    least = cut(rows.groupBy("component").agg(F.min("id").alias("class_id")))
     linked = rows.join(least, "component").select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_texts")
     blank = F.coalesce(F.length(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+", "")), F.lit(0)) == 0
     alone = docs.where(F.col("doc_id").isNull() | blank).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("doc_id").cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_texts"))
