@@ -93,6 +93,17 @@ def test_decoding_finds_the_best_path():
         assert max(p + total(w) for w, p in found if w == read) == pytest.approx(best)
 
 
+def test_every_obfuscated_token_is_decoded():
+    model = toxicity.CharModel(dict(toxicity.grams(["idiot moron stupid slut asshole ass hole story market"] * 30)))
+    for rough, word in {"@$$hole": "asshole", "a$$": "ass", "@$$": "ass", "4$$": "ass", "$lut$": "slut", "$+upid": "stupid", "iddiott": "idiot", "stuupid": "stupid"}.items():
+        assert word in toxicity.readings(rough, model), rough
+        assert toxicity.Scorer({"grams": model.three, "ratio": {word + "$": 2.0}}).word(rough) == 2.0
+    assert "stupid" in toxicity.readings("stupi" + "d" * 100, model) and "idiot" in toxicity.readings("i" * 100 + "d1ot", model)
+    assert toxicity.restore("2024", model) == "2024" and toxicity.restore("$100", model) == "100"
+    assert toxicity.restore("market!!", model) == "market" and "ass" in toxicity.readings("ass", model)
+    assert len(toxicity.restore("a1b2" * 5000, model)) == 20_000
+
+
 def test_nothing_to_learn(make, spark):
     none = spark.createDataFrame([], LABELS)
     docs = make([(1, "a b"), (2, None)])
