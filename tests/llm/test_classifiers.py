@@ -104,6 +104,14 @@ def test_every_obfuscated_token_is_decoded():
     assert len(toxicity.restore("a1b2" * 5000, model)) == 20_000
 
 
+def test_spaces_are_part_of_the_lattice():
+    model = toxicity.CharModel(dict(toxicity.grams(["you are a stupid idiot moron market story"] * 100)))
+    scorer = toxicity.Scorer({"grams": model.three, "ratio": {"stupid$": 2.0, "idiot$": 3.0}})
+    for rough, want in {"y o u a r e s t u p i d": 2, "a i d i o t": 3, "s t u p ! d": 2, "$ t u p 1 d": 2, "s\tt\nu\tp\ni\td": 2, "stu pid": 2, "st u p 1d market": 2, "s t u p i d i d i o t": 5, "you id market": 0, "s - t - u - p - i - d": 2}.items():
+        assert scorer.evidence(rough)[0] == want, (rough, model.spaced(rough.split()))
+    assert model.spaced("y o u a r e s t u p i d".split())[-1] == "stupid"
+
+
 def test_nothing_to_learn(make, spark):
     none = spark.createDataFrame([], LABELS)
     docs = make([(1, "a b"), (2, None)])
