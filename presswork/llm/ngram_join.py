@@ -1,12 +1,12 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest.
+"""N-gram Jaccard self-join by MinHash bands: an LSH forest reduced to one fixed depth.
 
 A text is the set of its SHINGLE-word shingles (lower case, words between runs of
 [\\x20\\x09-\\x0D]; a text of fewer words is one shingle). Rows with equal sets are a
-class and are handled once. Every class has a label in each of TREES tries: DEEPEST
-MinHash values. A node of a trie is a run of labels with a common prefix. Prefixes are
-shortened from the whole label until two sets of similarity `threshold` meet in a node of
-some trie with probability `recall` (1 - (1 - threshold**d)**TREES at depth d); pairs
-that are more alike meet more surely.
+class and are handled once. Every class has a label in each of TREES bands: d MinHash
+values, where d is the greatest depth up to DEEPEST at which two sets of similarity
+`threshold` share a label with probability `recall` (1 - (1 - threshold**d)**TREES); pairs
+that are more alike meet more surely. The classes with a label are a node. d is the same
+for all classes; no tries are kept and no prefix adapts to the data.
 
 Node mates are candidates. They are not spelled out as pairs: each is tied to its node's
 first class, the ties' components are found, and a component's texts meet in one task, or
