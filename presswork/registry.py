@@ -541,7 +541,8 @@ def accepted_versions(spark: SparkSession, d: str) -> DataFrame:
 @query(EV + """, o AS (SELECT article_id AS url, arg_max(status, seq) AS status FROM ev WHERE seq < 5000 GROUP BY 1), i AS (SELECT * FROM o WHERE status IN ('saved', 'partial')), c AS (SELECT article_id AS url, arg_max(status, seq) AS status FROM ev WHERE seq >= 9000 GROUP BY 1)
 SELECT url, status FROM i WHERE url NOT IN (SELECT url FROM c) UNION ALL SELECT url, status FROM c WHERE status IN ('saved', 'partial')""")
 def download_index(spark: SparkSession, d: str) -> DataFrame:
-    """The download index after a batch of changes."""
+    """The download index after a batch of changes: the merge of T3 alone, without its watermark,
+    overlap and rebuild; index and batch end at fixed numbers of events."""
     e = _events(spark, d)
     newest = lambda rows: rows.groupBy(F.col("article_id").alias("url")).agg(F.max_by("status", "seq").alias("status"))
     index = newest(e.where("seq < 5000")).where("status in ('saved', 'partial')")
