@@ -1,18 +1,21 @@
 """Approximate nearest neighbours by multi-index hashing.
 
-Vectors are learned binary codes: TABLES rotations, each fitted on a bounded sample by
-alternating sign codes and the orthogonal map that suits them, give one bit a dimension.
-A code of b bits is cut into m = b / 8 substrings of a byte. Two codes within Hamming
-radius r = m * s + a agree within s bits on one of the first a + 1 substrings or within
-s - 1 on one of the others (pigeonhole), so an index of the substrings' values finds
-every code within r: for each substring, bitmaps say which rows hold a value within s
-flips of each byte. A query takes the union of its substrings' bitmaps, keeps rows whose
-whole code is within r, and widens r until it has at least PER_BLOCK codes; what it has
-is reranked by the inner product of the original vectors in double precision.
-
-The rows are dealt into blocks of about BLOCK vectors and the queries into chunks of about
-CHUNK; a task holds one block and one chunk, so memory does not grow with the table. Each
-block reports its TOP best and a query keeps the best of all blocks.
+Vectors are learned binary codes: TABLES rotations, fitted on a bounded sample by
+alternating sign codes and the orthogonal map that suits them, give one bit a dimension
+each. A code is cut into m substrings of SUB bits, and each substring is an index from its
+value to the rows that hold it. Two codes that differ in fewer than m * (s + 1) bits agree
+within s bits on some substring (pigeonhole), so probing every substring's values within
+s flips retrieves every code within that radius. A query widens s until the radius holds
+`wanted` codes. Where the next probes would read more rows than there are, all codes are
+compared instead, which retrieves the same. So a query has exactly the rows whose codes are
+among its `wanted` nearest (ties included), and these are reranked by the inner product of
+the original vectors in double precision. With wanted=None all rows are: exact search.
+
+Rows are dealt once into blocks of BLOCK vectors (fewer, if they are long), each with its own
+index, and every block gets the queries one after another, so a task holds one block and
+one batch of queries whatever the size of the table. Each block reports its TOP best and a
+query keeps the best of all blocks. What moves is the table once and the queries once a
+block. Vectors of each length are an index of their own.
 
 Inner products are searched as angles: vectors get one more coordinate,
 sqrt(longest**2 - length**2), which queries lack. Of equal vectors only the TOP + 1
@@ -20,25 +23,31 @@ smallest ids can be among any query's nearest, and the others leave the index, w
 bounds what a vector that a third of all rows share costs; equal queries search once.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components
-take no part, neither as queries nor as candidates, nor do those whose length is not the
-commonest (the smaller, of equally common ones); a null id takes no part; rows that
-repeat an id with an equal vector count once; fewer candidates than asked for give all;
-an empty table gives an empty result; other columns are ignored.
+take no part, neither as queries nor as candidates; vectors are compared with those of
+their own length; a null id takes no part; rows that repeat an id with an equal vector count
+once, with another vector they are rows of their own, and no row finds its own id; fewer
+candidates than asked for give all; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswork.plans.lineage import cut
 
-TABLES, SAMPLE, ROUNDS = 4, 4000, 12
-BLOCK, CHUNK, TOP, PER_BLOCK = 8192, 1024, 20, 96
+TABLES, SAMPLE, ROUNDS, SUB = 8, 4000, 12, 16
+BLOCK, BYTES, TOP, WANTED = 16_384, 64 << 20, 20, 400
+
+#: The masks that flip s of SUB bits, for each s.
+_FLIPS = [np.flatnonzero(np.bitwise_count(np.arange(1 << SUB, dtype=np.uint32)) == s).astype(np.uint16) for s in range(SUB + 1)]
 
 
 def learn(sample: np.ndarray, longest: float, tables: int = TABLES, rounds: int = ROUNDS, seed: int = 7) -> dict[str, np.ndarray]:
@@ -76,63 +85,52 @@ def codes(vectors: np.ndarray, model: dict[str, np.ndarray], query: bool = False
     return np.packbits((full - model["mean"]) @ model["turn"] >= 0, axis=1)
 
 
-class Block:
-    """The substring index of a block's codes."""
+class Index:
+    """The substring indexes of a block's codes."""
 
     def __init__(self, rows: np.ndarray):
-        self.rows = rows
-        n, m = rows.shape
-        self.balls = [np.zeros((m, 256, -(-n // 8)), np.uint8)]
-        bits = np.zeros((256, n), bool)
-        for j in range(m):
-            bits[:] = False
-            bits[rows[:, j], np.arange(n)] = True
-            self.balls[0][j] = np.packbits(bits, axis=1)
-        words = -(-m // 8) * 8
-        self.words = np.ascontiguousarray(np.pad(rows, ((0, 0), (0, words - m)))).view(np.uint64)
-
-    def ball(self, s: int) -> np.ndarray:
-        """Bitmaps of the rows within s flips of each byte, by substring."""
-        while len(self.balls) <= s:
-            last = self.balls[-1]
-            wider = last.copy()
-            for bit in range(8):
-                wider |= last[:, np.arange(256) ^ (1 << bit)]
-            self.balls.append(wider)
-        return self.balls[s]
-
-    def within(self, code: np.ndarray, word: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows whose code is within r of this one, and how far they are."""
-        n, m = self.rows.shape
-        s, a = divmod(r, m)
-        first = self.ball(min(s, 8))
-        hit = np.bitwise_or.reduce(first[np.arange(a + 1), code[: a + 1]], axis=0)
-        if s and a + 1 < m:
-            rest = self.ball(min(s - 1, 8))
-            hit = hit | np.bitwise_or.reduce(rest[np.arange(a + 1, m), code[a + 1 :]], axis=0)
-        rows = np.flatnonzero(np.unpackbits(hit, count=n))
-        far = np.bitwise_count(self.words[rows] ^ word).sum(axis=1, dtype=np.int64)
-        near = far <= r
-        return rows[near], far[near]
-
-
-def search(block: Block, queries: np.ndarray, wanted: int) -> Iterator[np.ndarray]:
-    """For each query code, the rows within the smallest radius tried that holds wanted."""
-    n, m = block.rows.shape
-    words = np.ascontiguousarray(np.pad(queries, ((0, 0), (0, block.words.shape[1] * 8 - m)))).view(np.uint64)
-    probe = block.words[:: max(1, n // 256)]
-    wanted = min(wanted, n)
-    for code, word in zip(queries, words, strict=True):
-        # start where a few rows of the block say that enough codes lie
-        far = np.sort(np.bitwise_count(probe ^ word).sum(axis=1, dtype=np.int64))
-        r = int(far[min(len(far) - 1, wanted * len(far) // n)]) - 4
-        r = max(r, 8)
-        while True:
-            rows, _ = block.within(code, word, min(r, 8 * m))
-            if len(rows) >= wanted or r >= 8 * m:
-                yield rows
+        self.words = np.ascontiguousarray(rows).view(np.uint64)
+        parts = np.ascontiguousarray(rows).view(np.uint16)
+        self.m = parts.shape[1]
+        self.order = np.argsort(parts, axis=0, kind="stable").T.astype(np.int32)
+        self.start = np.zeros((self.m, (1 << SUB) + 1), np.int32)
+        for j in range(self.m):
+            self.start[j, 1:] = np.cumsum(np.bincount(parts[:, j], minlength=1 << SUB))
+        self.read = 0  # rows that probes and comparisons have looked at
+
+    def far(self, word: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+        some = self.words if rows is None else self.words[rows]
+        self.read += len(some)
+        return np.bitwise_count(some ^ word).sum(axis=1, dtype=np.int64)
+
+    def nearest(self, code: np.ndarray, wanted: int | None) -> np.ndarray:
+        """The rows whose codes are as near as the wanted-th nearest one."""
+        n = len(self.words)
+        if wanted is None or wanted >= n:
+            return np.arange(n)
+        word, part = code.view(np.uint64), code.view(np.uint16)
+        every = np.arange(self.m)[:, None]
+        rows, far, looked = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        for s, flips in enumerate(_FLIPS):
+            looked += self.m * len(flips)
+            if looked >= n:
+                break
+            values = part[:, None] ^ flips[None, :]
+            lo, hi = self.start[every, values], self.start[every, values.astype(np.int64) + 1]
+            size = (hi - lo).sum()
+            looked += int(size)
+            if looked >= n:
                 break
-            r += 6
+            if size:
+                j, k = np.nonzero(hi > lo)
+                new = np.concatenate([self.order[x, a:b] for x, a, b in zip(j, lo[j, k], hi[j, k], strict=True)])
+                new = np.setdiff1d(new, rows)
+                rows, far = np.concatenate([rows, new]), np.concatenate([far, self.far(word, new)])
+            inside = far < self.m * (s + 1)  # of these none is missing
+            if inside.sum() >= wanted:
+                return np.sort(rows[inside][far[inside] <= np.partition(far[inside], wanted - 1)[wanted - 1]])
+        far = self.far(word)
+        return np.flatnonzero(far <= np.partition(far, wanted - 1)[wanted - 1])
 
 
 def _valid(vectors: DataFrame) -> DataFrame:
@@ -141,52 +139,89 @@ def _valid(vectors: DataFrame) -> DataFrame:
     return vectors.where(F.coalesce(good, F.lit(False))).withColumn("vec", v)
 
 
-def nearest(vectors: DataFrame, is_query, top: int = TOP, block: int = BLOCK, chunk: int = CHUNK, per_block: int = PER_BLOCK) -> DataFrame:
+def _packed(model: dict[str, np.ndarray]) -> bytes:
+    out = io.BytesIO()
+    np.savez(out, **model)
+    return out.getvalue()
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.stack(column.to_numpy(zero_copy_only=False)).astype(np.float64)
+
+
+def _searched(tasks: DataFrame, top: int, wanted: int | None) -> DataFrame:
+    """(rep, vec_id, score) from rows (n, block, kind, id, vec, model): of each (n, block) one
+    with the model, then the block's vectors, then the queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, model, ids, data, index = None, None, [], [], None
+        for batch in batches:
+            n, block, kind = (batch.column(x).to_numpy() for x in ("n", "block", "kind"))
+            first = np.flatnonzero(np.concatenate([[True], (n[1:] != n[:-1]) | (block[1:] != block[:-1]) | (kind[1:] != kind[:-1])])) if len(n) else []
+            for lo, hi in zip(first, [*first[1:], len(n)], strict=True):
+                part = batch.slice(lo, hi - lo)
+                if (n[lo], block[lo]) != now:
+                    now, model, ids, data, index = (n[lo], block[lo]), None, [], [], None
+                if kind[lo] == 0:
+                    model = dict(np.load(io.BytesIO(part.column("model")[0].as_py())))
+                elif kind[lo] == 1:
+                    ids.append(part.column("id").to_numpy())
+                    data.append(_matrix(part.column("vec")))
+                elif data:
+                    if index is None:
+                        ids, data = [np.concatenate(ids)], [np.concatenate(data)]
+                        index = Index(codes(data[0], model))
+                    reps, ask = part.column("id").to_numpy(), _matrix(part.column("vec"))
+                    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+                    for rep, q, code in zip(reps, ask, codes(ask, model, query=True), strict=True):
+                        found = index.nearest(code, wanted)
+                        score = data[0][found] @ q
+                        best = np.lexsort((ids[0][found], -score))[: top + 1]
+                        out.append((np.full(len(best), rep), ids[0][found][best], score[best]))
+                    yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["rep", "vec_id", "score"])
+
+    return tasks.mapInArrow(run, "rep long, vec_id long, score double")
+
+
+def nearest(vectors: DataFrame, is_query, top: int = TOP, block: int = BLOCK, wanted: int | None = WANTED) -> DataFrame:
     """query_id, rank, vec_id, score: the top best found for each row where the condition
     is_query(id column) holds, among all rows but the query's own."""
     spark = vectors.sparkSession
-    rows = _valid(vectors.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec")))
-    sizes = rows.groupBy(F.size("vec").alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "n").limit(1).collect()
-    out = "query_id long, rank int, vec_id long, score double"
-    if not sizes:
-        return spark.createDataFrame([], out)
-    rows = rows.where(F.size("vec") == sizes[0]["n"])
+    rows = _valid(vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vec")))
     # of equal vectors the smallest ids; Spark drops the rest before it shuffles
     order = Window.partitionBy("vec").orderBy("id")
-    kept = cut(rows.dropDuplicates(["id", "vec"]).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= top + 1).select("id", "vec"))
-    count, longest = kept.agg(F.count(F.lit(1)), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).first()
-    longest = float(np.sqrt(longest))
-    drawn = kept.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").collect()  # at most SAMPLE vectors
-    model = spark.sparkContext.broadcast(learn(np.array([r["vec"] for r in drawn]), longest))
+    kept = cut(rows.dropDuplicates(["id", "vec"]).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= top + 1).select("id", "vec", F.size("vec").alias("n")))
+    norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
+    sizes = kept.groupBy("n").agg(F.count(F.lit(1)).alias("rows"), F.max(norm).alias("longest")).collect()  # a row for each length
+    if not sizes:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    by_length = lambda f: F.element_at(F.create_map(*[F.lit(x) for r in sizes for x in (r["n"], f(r))]), F.col("n"))
+    blocks = {r["n"]: -(-r["rows"] // max(1, min(block, BYTES // (8 * r["n"])))) for r in sizes}
+
+    # about SAMPLE vectors of each length by the hash of id, however many there are
+    share = by_length(lambda r: 1.25 * SAMPLE / r["rows"])
+    drawn = kept.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 40)) < share * float(1 << 40))
+    longest = {r["n"]: float(np.sqrt(r["longest"])) for r in sizes}
+
+    def fit(key, found: pd.DataFrame) -> pd.DataFrame:
+        some = found.sort_values("id")["vec"].to_numpy()[:SAMPLE]
+        return pd.DataFrame({"n": [key[0]], "model": [_packed(learn(np.stack(some), longest[key[0]]))]})
+
+    models = cut(drawn.groupBy("n").applyInPandas(fit, "n int, model binary"))
 
     asked = rows.where(is_query(F.col("id"))).select("id", "vec")
     group = cut(asked.groupBy("vec").agg(F.min("id").alias("rep")))
-    blocks = max(1, -(-count // block))
-    chunks = max(1, -(-group.count() // chunk))
-    index = kept.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
-    probes = group.select(F.col("rep").alias("id"), "vec", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("rep"), F.lit(chunks)).cast("int").alias("chunk"))
-    tasks = min(blocks * chunks, 4000)
-
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["rep", "vec_id", "score"]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"rep": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        left = left.sort_values("id")
-        ids, data = left["id"].to_numpy(), np.stack(left["vec"].to_numpy())
-        reps, ask = right["id"].to_numpy(), np.stack(right["vec"].to_numpy())
-        held = Block(codes(data, model.value))
-        parts = []
-        for rep, q, found in zip(reps, ask, search(held, codes(ask, model.value, query=True), per_block), strict=True):
-            score = data[found] @ q
-            best = np.lexsort((ids[found], -score))[: top + 1]
-            parts.append(pd.DataFrame({"rep": rep, "vec_id": ids[found][best], "score": score[best]}))
-        return pd.concat(parts)[names]
-
-    one = index.repartition(tasks, "block", "chunk").groupBy("block", "chunk").cogroup(probes.repartition(tasks, "block", "chunk").groupBy("block", "chunk")).applyInPandas(run, "rep long, vec_id long, score double")
+    every = F.explode(F.sequence(F.lit(0), by_length(lambda r: blocks[r["n"]] - 1))).alias("block")
+    empty, none = F.lit(None).cast("array<double>"), F.lit(None).cast("binary")
+    tasks = models.select("n", every, F.lit(0).alias("kind"), F.lit(0).cast("long").alias("id"), empty.alias("vec"), "model")
+    tasks = tasks.unionByName(kept.select("n", F.pmod(F.xxhash64("id"), by_length(lambda r: blocks[r["n"]])).cast("int").alias("block"), F.lit(1).alias("kind"), "id", "vec", none.alias("model")))
+    tasks = tasks.unionByName(group.withColumn("n", F.size("vec")).select("n", every, F.lit(2).alias("kind"), F.col("rep").alias("id"), "vec", none.alias("model")))
+    tasks = tasks.repartition(min(sum(blocks.values()), 4000), "n", "block").sortWithinPartitions("n", "block", "kind")
+    one = _searched(tasks, top, wanted)
     ranked = Window.partitionBy("rep").orderBy(F.desc("score"), "vec_id")
     best = one.withColumn("nth", F.row_number().over(ranked)).where(F.col("nth") <= top + 1).select("rep", "vec_id", "score")
     # every query takes its vector's list, without itself
-    member = asked.join(group, "vec").select(F.col("id").alias("query_id"), "rep")
+    member = asked.join(group, "vec").select(F.col("id").alias("query_id"), "rep").distinct()
     lists = best.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("less"), "vec_id", "score"))).alias("found"))  # top + 1 at most
     own = member.join(lists, "rep").withColumn("found", F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, top))
     flat = own.select("query_id", F.posexplode("found").alias("pos", "x"))
