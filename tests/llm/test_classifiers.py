@@ -118,3 +118,93 @@ def test_nothing_to_learn(make, spark):
     assert [r["score"] for r in quality.score(docs, quality.train(docs, none)).collect()] == [0.5, 0.5]
     assert [r["score"] for r in toxicity.score(docs, toxicity.train(docs, none)).collect()] == [0.0, 0.0]
     assert quality.score(make([]), quality.train(make([]), none)).count() == 0
+
+
+def planted(n=240):
+    """Toxic texts teach plain words; those that are held out hold the words obfuscated."""
+    rough = ["1d10t", "i d i o t", "i.d.i.0.t", "iidiiott", "id iot", "$tupid", "s t u p ! d", "stu p1d", "stuuupid", "m0r0n", "m o r o n", "mo ron"]
+    rows, labels = [], []
+    for i in range(n):
+        held = zlib.crc32(str(i).encode()) % 3 == 1
+        toxic = i % 2
+        word = rough[i // 2 % len(rough)] if held else ["idiot", "stupid", "moron"][i // 2 % 3]
+        rows.append((i, good(i) + (f" you {word} there" if toxic else f" you {2000 + i} there $15 or 3d")))
+        labels.append((i, 1, toxic))
+    return rows, labels
+
+
+def test_decoding_is_what_finds_obfuscated_words(make, spark, monkeypatch):
+    rows, labels = planted()
+    docs, known = make(rows), spark.createDataFrame(labels, LABELS)
+    model = toxicity.train(docs, known)
+    toxic = {i for i, _, t in labels if t}
+    held = [r for r in toxicity.score(docs, model).collect() if r["held_out"]]
+    assert np.mean([r["predicted"] for r in held if r["doc_id"] in toxic]) > 0.95
+    assert not any(r["predicted"] for r in held if r["doc_id"] not in toxic)
+    scorer = toxicity.Scorer(model)
+    texts = dict(rows)
+    monkeypatch.setattr(toxicity, "readings", lambda token, model: {token})
+    monkeypatch.setattr(toxicity.CharModel, "spaced", lambda self, signs, spelled=True: signs)
+    plain = [scorer.score([texts[r["doc_id"]]])[0] >= 0.7 for r in held if r["doc_id"] in toxic]
+    assert np.mean(plain) < 0.1  # without the lattice they are missed
+
+
+def test_scores_equal_brute_force(make, spark):
+    """Every token decoded, every run of neighbouring tokens tried, evidence and logistic
+    function computed anew."""
+    rows, labels = planted(60)
+    docs = make(rows)
+    model = toxicity.train(docs, spark.createDataFrame(labels, LABELS))
+    chars, ratio = toxicity.CharModel(model["grams"]), model["ratio"]
+    bare = lambda t: toxicity._EDGE.sub("", t) or t
+
+    def best(word):
+        return max((ratio[p] for p in toxicity.parts(word) if p in ratio), default=0.0)
+
+    def evidence(text):
+        every = text.lower().split()
+        found = [max((best(w) for w in toxicity.readings(t, chars)), default=0.0) for t in set(every)]
+        more = {w for run in toxicity.spelled(every, {t for t in every if toxicity.one_sign(t)}) for w in chars.spaced(run)}
+        for i in range(len(every)):
+            for j in range(i + 2, min(len(every), i + 9) + 1):
+                if toxicity.form(bare(every[i])) and toxicity.form(bare(every[j - 1])):
+                    run = [bare(t) for t in every[i:j]]
+                    whole = "".join(chars.spaced(run, False))
+                    if whole + "$" in ratio and " ".join(chars.spaced(run, False)) == whole:
+                        more.add(whole)
+        found += [best(w) for w in more - set(every)]
+        found = sorted((x for x in found if x), reverse=True)
+        return [sum(found[:5]), (found + [0])[0], (found + [0, 0])[1], np.log1p(len(set(every)))]
+
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    for i, text in rows:
+        x = np.array([1.0, *evidence(text)])
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-x @ model["weights"])), abs=1e-9), text
+
+
+def test_pruning_changes_no_token(spark, small):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{small}/documents.parquet").select("text").limit(60).collect()]
+    model = toxicity.CharModel(dict(toxicity.grams(texts + ["idiot moron stupid asshole"] * 30)))
+    scorer = toxicity.Scorer({"grams": model.three, "ratio": {"idiot$": 3.0, "idio": 2.0, "moron$": 2.5, "asshole$": 2.0, "assh": 1.5, "the$": 1.2, "1488$": 2.0, "licen": 1.5}})
+    rough = "1d10t id*ot *diot idio* $!diot!$ @$$h0le a$$hole m.o.r.o.n moooron 1488 $1488 t#h#e th3 1icense |icen$e i*d idiots!! ***idiot***".split()
+    for token in {t for text in texts for t in text.lower().split()} | set(rough):
+        want = max((scorer.ratio[p] for w in toxicity.readings(token, model) for p in toxicity.parts(w) if p in scorer.ratio), default=0.0)
+        assert scorer.word(token) == want, token
+
+
+def test_no_length_is_too_long():
+    word = "pneumono" * 6  # 48 letters
+    model = toxicity.CharModel(dict(toxicity.grams([f"{word} idiot"] * 30)))
+    assert model.three["pne"] == 180 and model.three[word[-2:] + "$"] == 30
+    assert toxicity.restore("1d10t" * 40, model) == "idiot" * 40
+    scorer = toxicity.Scorer({"grams": model.three, "ratio": {word + "$": 2.0}})
+    assert scorer.word(word.replace("o", "0")) == 2.0 and scorer.evidence(" ".join(word))[0] == 2.0
+
+
+def test_toxicity_of_odd_tables(make, spark):
+    rows, labels = planted(60)
+    known = spark.createDataFrame(labels, LABELS)
+    assert toxicity.score(make([]), toxicity.train(make([]), known)).count() == 0
+    twice = make(rows + [(i, "zzz " + t) for i, t in rows])
+    one, other = toxicity.train(twice, known), toxicity.train(twice.repartition(7, "text"), known)
+    assert one["ratio"] == other["ratio"] and np.allclose(one["weights"], other["weights"])
