@@ -1,19 +1,26 @@
-"""N-gram Jaccard self-join by MinHash bands: an LSH forest reduced to one fixed depth.
+"""N-gram Jaccard self-join by a MinHash LSH forest with exact verification.
 
 A text is the set of its SHINGLE-word shingles (lower case, words between runs of
 [\\x20\\x09-\\x0D]; a text of fewer words is one shingle). Rows with equal sets are a
-class and are handled once. Every class has a label in each of TREES bands: d MinHash
-values, where d is the greatest depth up to DEEPEST at which two sets of similarity
-`threshold` share a label with probability `recall` (1 - (1 - threshold**d)**TREES); pairs
-that are more alike meet more surely. The classes with a label are a node. d is the same
-for all classes; no tries are kept and no prefix adapts to the data.
-
-Node mates are candidates. They are not spelled out as pairs: each is tied to its node's
-first class, the ties' components are found, and a component's texts meet in one task, or
-in a task for each pair of its chunks of CHUNK classes if it has more. There every pair
-that shares a node is verified by its exact Jaccard similarity. Tasks report how many
-links each class has and a spanning forest of them, so a group of n near copies yields n
-rows for each of its chunks, not n * n, and no link is lost.
+class and are handled once. In each trie of the forest a class has a label, its MinHash
+values under that trie's functions, and classes whose labels share a prefix are a node.
+
+How long a prefix two classes must share adapts to the neighbourhood. The shortest one is the
+greatest depth at which TREES tries let two sets of similarity `threshold` meet with
+probability `recall` (1 - (1 - threshold**d)**TREES); pairs that are more alike meet more
+surely. Where classes that meet there hang together in a group of more than `chunk`, which
+passages that many texts share bring about, its classes are placed anew by prefixes DEEPER
+times as long, in as many more tries as the same recall takes, and only those that meet
+there stay candidates. Longer prefixes hold few classes that are not alike; recall stays
+what it was, and sparse neighbourhoods never pay for the long labels.
+
+Candidates are not spelled out as pairs: each is tied to its node's first class, the ties'
+components are found, and a component's shingle sets (made once, 64-bit hashes) meet in one
+task, or in a task for each pair of its chunks if it has more than `chunk` classes or
+CHUNK_BYTES of sets. There every pair that shares a node is verified by its exact Jaccard
+similarity. Tasks report how many links each class has and a spanning forest of them, so a
+group of n near copies yields n rows for each of its chunks, not n * n, and no link is lost.
+A task holds two chunks: at most 2 * CHUNK_BYTES of sets, or one text's that is longer.
 
 Defined cases: null and empty texts have no shingles and link to nothing, as do rows with
 a null doc_id (class null); rows that repeat are copies of one class; ties need no order:
@@ -24,7 +31,9 @@ are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,21 +46,32 @@ from presswork.plans.components import components
 from presswork.plans.lineage import cut
 
 SHINGLE, THRESHOLD, TREES, DEEPEST, RECALL, CHUNK = 5, 0.8, 24, 8, 0.999, 1024
+#: How much longer the prefixes of crowded neighbourhoods are, and bytes of sets in a chunk.
+DEEPER, CHUNK_BYTES = 2, 64 << 20
 
-_SEEDS = np.random.default_rng(20240607).integers(1, 2**32, size=(2, TREES * DEEPEST), dtype=np.uint64).astype(np.uint32)
-_FLIP, _TIMES = _SEEDS[0][:, None], (_SEEDS[1] | np.uint32(1))[:, None]
 _PLACES = np.random.default_rng(3).integers(1, 2**63, size=64, dtype=np.uint64) | np.uint64(1)
 
 
+@lru_cache(4)
+def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """What n hash functions flip and multiply by."""
+    seeds = np.random.default_rng(20240607).integers(1, 2**32, size=(n, 2), dtype=np.uint64).astype(np.uint32)
+    return seeds[:, :1], seeds[:, 1:] | np.uint32(1)
+
+
 def depth(threshold: float = THRESHOLD, trees: int = TREES, deepest: int = DEEPEST, recall: float = RECALL) -> int:
-    """How long a common prefix must be: the whole label, shortened until the recall of
-    pairs at the threshold is reached."""
+    """The longest common prefix at which pairs at the threshold are met with the recall."""
     d = deepest
     while d > 1 and 1 - (1 - threshold**d) ** trees < recall:
         d -= 1
     return d
 
 
+def trees(d: int, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """How many tries prefixes of length d take for the recall of pairs at the threshold."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**d)) if threshold < 1 else 1
+
+
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > 1_000_000:
@@ -82,34 +102,35 @@ def shingles(text: str, width: int = SHINGLE) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def nodes(sets: np.ndarray, d: int) -> np.ndarray:
-    """The node of a set in each trie at depth d."""
+def nodes(sets: np.ndarray, d: int, count: int = TREES) -> np.ndarray:
+    """The node of a set in each of count tries at depth d."""
     folded = (sets ^ (sets >> np.uint64(32))).astype(np.uint32)
-    # the first d values of each trie's label
-    use = np.concatenate([np.arange(t * DEEPEST, t * DEEPEST + d) for t in range(TREES)])
-    least = np.full(len(use), 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(folded), 2048):
-        v = (folded[None, at : at + 2048] ^ _FLIP[use]) * _TIMES[use]
+    flip, times = _functions(count * d)
+    least = np.full(len(flip), 0xFFFFFFFF, np.uint32)
+    step = max(64, (2048 * 144) // len(flip))
+    for at in range(0, len(folded), step):
+        v = (folded[None, at : at + step] ^ flip) * times
         v ^= v >> np.uint32(15)
         v *= np.uint32(0x2C1B3C6D)
         np.minimum(least, v.min(axis=1), out=least)
-    label = least.reshape(TREES, d).astype(np.uint64)
-    value = np.arange(1, TREES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    label = least.reshape(count, d).astype(np.uint64)
+    value = np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(d)
     for j in range(d):
-        value = _mixed(value ^ (label[:, j] * _PLACES[8 + j]))
+        value = _mixed(value ^ (label[:, j] * _PLACES[8 + j % 32]))
     return value
 
 
 def _described(docs: DataFrame, d: int) -> DataFrame:
-    """(id, key, nodes) for each row that has an id and shingles; key: a 128-bit hash of the
-    set."""
+    """(id, key, nodes, n) for each row that has an id and shingles; key: a 128-bit hash of
+    the set; n: its size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in small_batches(batches):
-            keys, found = [], []
+            keys, found, sizes = [], [], []
             last: tuple[bytes, bytes] | None = None
             for text in texts:
                 s = shingles(text)
+                sizes.append(len(s))
                 if not len(s):
                     keys.append(None)
                     found.append(None)
@@ -119,10 +140,40 @@ def _described(docs: DataFrame, d: int) -> DataFrame:
                     last = (key, nodes(s, d).tobytes())
                 keys.append(key)
                 found.append(last[1])
-            yield pa.record_batch([part.column(0), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["id", "key", "nodes"])
+            yield pa.record_batch([part.column(0), pa.array(keys, pa.binary()), pa.array(found, pa.binary()), pa.array(sizes, pa.int64())], names=["id", "key", "nodes", "n"])
 
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, key binary, nodes binary")
+    return rows.mapInArrow(run, "id long, key binary, nodes binary, n long")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+
+
+def _sets(rows: DataFrame, d: int | None = None, count: int = 0) -> DataFrame:
+    """(c, set) of rows (c, key, text) whose text is the class's own, or (c, nodes) at depth
+    d of count tries; an id that repeats with another text is not this class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in small_batches(batches):
+            classes, found = [], []
+            for c, key, text in zip(part.column("c").to_pylist(), part.column("key").to_pylist(), texts, strict=True):
+                s = shingles(text)
+                if xxhash.xxh3_128_digest(s.tobytes()) == key:
+                    classes.append(c)
+                    found.append((nodes(s, d, count) if d else s).tobytes())
+            yield pa.record_batch([pa.array(classes, pa.int64()), pa.array(found, pa.binary())], names=["c", "nodes" if d else "set"])
+
+    return rows.select("c", "key", "text").mapInArrow(run, f"c long, {'nodes' if d else 'set'} binary").dropDuplicates(["c"])
+
+
+def _near(classes: DataFrame, count: int) -> DataFrame:
+    """(c, group) for the classes (c, nodes) that share a node of count tries with others."""
+    at = F.expr(f"transform(sequence(0, {count - 1}), t -> substring(nodes, t * 8 + 1, 8))")
+    spread = classes.select("c", F.explode(at).alias("node")).repartition("node")
+    shared = spread.groupBy("node").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("node", "lo")
+    ties = spread.join(shared, "node").where("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct()
+    return components(ties).select(F.col("node").alias("c"), F.col("component").alias("group"))
 
 
 def verify(sets: list[np.ndarray], held: np.ndarray, sizes: np.ndarray, cross: int | None, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,27 +218,24 @@ def verify(sets: list[np.ndarray], held: np.ndarray, sizes: np.ndarray, cross: i
 
 
 def _verified(tasks: DataFrame, threshold: float) -> DataFrame:
-    """(c, links, rows, first) from tasks (group, i, j, chunk, c, size, nodes, key, text):
-    rows of a (group, i, j) stand together."""
+    """(c, links, rows, first) from tasks (group, i, j, chunk, c, size, nodes, set): rows of a
+    (group, i, j) stand together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["c", "size", "chunk", "nodes", "key", "text"]
+        names = ["c", "size", "chunk", "nodes", "set"]
         pending: dict[str, list] = {x: [] for x in names}
         now = None
 
         def done() -> pa.RecordBatch | None:
             i, j = now[1], now[2]
-            sets = [shingles(t or "") for t in pending["text"]]
-            # an id that repeats with another text is not this class
-            own = [k for k, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == pending["key"][k]]
-            own.sort(key=lambda k: (pending["chunk"][k], pending["c"][k]))
-            own = [k for x, k in enumerate(own) if not x or pending["c"][own[x - 1]] != pending["c"][k]]
+            own = sorted(range(len(pending["c"])), key=lambda k: (pending["chunk"][k], pending["c"][k]))
             if len(own) < 2:
                 return None
             cross = None if i == j else sum(1 for k in own if pending["chunk"][k] == i)
             c = np.array([pending["c"][k] for k in own])
             held = np.stack([np.frombuffer(pending["nodes"][k], np.uint64) for k in own])
-            links, rows, first = verify([sets[k] for k in own], held, np.array([pending["size"][k] for k in own]), cross, threshold)
+            sets = [np.frombuffer(pending["set"][k], np.uint64) for k in own]
+            links, rows, first = verify(sets, held, np.array([pending["size"][k] for k in own]), cross, threshold)
             some = links > 0
             return pa.record_batch([pa.array(c[some]), pa.array(links[some]), pa.array(rows[some]), pa.array(c[first[some]])], names=["c", "links", "rows", "first"])
 
@@ -207,25 +255,38 @@ def _verified(tasks: DataFrame, threshold: float) -> DataFrame:
     return tasks.mapInArrow(run, "c long, links long, rows long, first long")
 
 
+def _grouped(docs: DataFrame, classes: DataFrame, d: int, threshold: float, recall: float, chunk: int) -> DataFrame:
+    """(c, group, nodes) for the classes that share a prefix with others, the prefixes as long
+    as each neighbourhood needs."""
+    near = cut(_near(classes, TREES))
+    crowded = cut(near.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk))
+    placed = near.join(classes.select("c", "nodes"), "c").select("c", "group", "nodes")
+    if crowded.isEmpty():
+        return placed
+    some = near.join(crowded.select("group"), "group").join(classes.select("c", "id", "key"), "c")
+    count = trees(DEEPER * d, threshold, recall)
+    deeper = cut(_sets(some.join(_texts(docs), "id"), DEEPER * d, count))
+    again = _near(deeper, count).join(deeper, "c").select("c", "group", "nodes")
+    # a group keeps its number apart from those of the other depth
+    return placed.join(crowded.select("group"), "group", "left_anti").select("c", "group", "nodes").unionByName(again.withColumn("group", -1 - F.col("group")))
+
+
 def _solved(docs: DataFrame, threshold: float, recall: float, chunk: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members (id, c, size), counted links (c, links, rows) and groups (c, component)."""
-    described = cut(_described(docs, depth(threshold, recall=recall)))
+    d = depth(threshold, recall=recall)
+    described = cut(_described(docs, d))
     keyed = described.where("key is not null")
-    classes = keyed.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("nodes").alias("nodes"))
+    classes = keyed.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("nodes").alias("nodes"), F.first("n").alias("n"))
     classes = cut(classes.withColumn("c", F.monotonically_increasing_id()))
     member = keyed.select("id", "key").join(classes.select("key", "c", "size"), "key").select("id", "c", "size")
 
-    at = F.expr(f"transform(sequence(0, {TREES - 1}), t -> substring(nodes, t * 8 + 1, 8))")
-    spread = classes.select("c", F.explode(at).alias("node")).repartition("node")
-    shared = spread.groupBy("node").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("node", "lo")
-    ties = spread.join(shared, "node").where("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct()
-    near = cut(components(ties).select(F.col("node").alias("c"), F.col("component").alias("group")))
-    sizes = near.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    chunks = F.ceil(F.col("n") / chunk).cast("int")
-    placed = near.join(sizes, "group").join(classes, "c").select("c", "group", "id", "size", "nodes", "key", chunks.alias("chunks"), F.pmod(F.xxhash64("c"), chunks.cast("long")).cast("int").alias("chunk"))
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    routed = placed.join(texts, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tasks = routed.select("group", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "c", "size", "nodes", "key", "text")
+    near = cut(_grouped(docs, classes, d, threshold, recall, chunk).join(classes.select("c", "id", "size", "key", "n"), "c"))
+    sizes = near.groupBy("group").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("weight"))
+    chunks = F.greatest(F.ceil(F.col("many") / chunk), F.ceil(8 * F.col("weight") / CHUNK_BYTES)).cast("int")
+    placed = near.join(sizes, "group").select("c", "group", "size", "nodes", chunks.alias("chunks"), F.pmod(F.xxhash64("c"), chunks.cast("long")).cast("int").alias("chunk"))
+    sets = _sets(near.select("c", "id", "key").join(_texts(docs), "id"))
+    routed = placed.join(sets, "c").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    tasks = routed.select("group", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "c", "size", "nodes", "set")
     tasks = tasks.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j")
     found = cut(_verified(tasks, threshold))
     counted = found.groupBy("c").agg(F.sum("links").alias("links"), F.sum("rows").alias("rows"))

@@ -66,7 +66,36 @@ def test_empty(make):
     assert ngram_join.links(make([])).count() == 0
 
 
-def test_depth_shortens_until_recall():
+def test_depth_reaches_the_recall():
     d = ngram_join.depth()
-    reach = lambda d: 1 - (1 - 0.8**d) ** ngram_join.TREES
+    reach = lambda d, trees=ngram_join.TREES: 1 - (1 - 0.8**d) ** trees
     assert reach(d) >= ngram_join.RECALL > reach(d + 1)
+    for d in (6, 12, 18):
+        n = ngram_join.trees(d)
+        assert reach(d, n) >= ngram_join.RECALL > reach(d, n - 1)
+
+
+def boilerplate(n, seed=2):
+    """Texts that share two thirds of their words, some of them near copies of another."""
+    rng = random.Random(seed)
+    shared = " ".join(f"s{i}" for i in range(160))
+    own = [" ".join(f"x{rng.randrange(10**6)}" for _ in range(80)) for _ in range(n)]
+    out = [(i, f"{shared} {t}") for i, t in enumerate(own)]
+    return out + [(n + i, f"{shared} {own[i]} more{i}") for i in range(0, n, 3)]
+
+
+def test_crowded_neighbourhoods_take_longer_prefixes(make, spark):
+    pairs = boilerplate(60)
+    docs = make(pairs)
+    assert found(ngram_join.links(docs, recall=0.999999, chunk=8)) == brute(pairs)
+    d = ngram_join.depth(recall=0.99)
+    classes = spark.createDataFrame([(i, i, ngram_join.xxhash.xxh3_128_digest(s.tobytes()), ngram_join.nodes(s, d).tobytes()) for i, t in pairs for s in [ngram_join.shingles(t)]], "c long, id long, key binary, nodes binary")
+    short = ngram_join._near(classes, ngram_join.TREES).groupBy("group").count().agg({"count": "max"}).first()[0]
+    deep = ngram_join._grouped(docs, classes, d, 0.8, 0.99, 8).groupBy("group").count().agg({"count": "max"}).first()[0]
+    assert deep < short / 2
+
+
+def test_default_recall(make):
+    pairs = near_copies(400, 40, seed=5)
+    want, got = brute(pairs), found(ngram_join.links(make(pairs)))
+    assert sum(n for *_, n in got) >= 0.998 * sum(n for *_, n in want)
