@@ -1,12 +1,13 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
-Terms of a text are its hashed byte trigrams (DIMS of them) and a few that say how it is
-written: words that repeat the one before, words in capitals, words with symbols,
-repeated lines, field separators. Term weights are log(1 + count) * idf, scaled to unit
-length, and projected on the LATENT leading right singular vectors of the labelled
-sample. The labelled vectors, at most 2 * PER_CLASS, are broadcast; every document's
-cosine with each is computed in blocks, and its NEIGHBOURS nearest vote with weight
-cosine**POWER.
+Terms of a text are its byte trigrams (hashed to DIMS of them) and its token shapes (hashed
+to SHAPES): a shape writes each run of small letters as a, of capitals as A, of digits as 9
+and keeps every other sign; terms are the shapes of tokens and of neighbouring tokens, a
+token like the one before, and a line like an earlier one. Each half is log(1 + count),
+scaled to unit length, trigrams times TRIGRAMS. Weighted by idf, they are projected on the
+LATENT leading right singular vectors of the labelled sample. The labelled vectors, at most
+2 * PER_CLASS, are broadcast; every document's cosine with each is computed in blocks, and
+its NEIGHBOURS nearest vote with weight cosine**POWER.
 
 The classifier is fitted on the PER_CLASS labelled rows of each class with the smallest
 hash of doc_id (all, if fewer), which bounds the driver's work and the broadcast whatever
@@ -20,6 +21,9 @@ result; other columns are ignored. A null doc_id is not held out.
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,24 +33,50 @@ from pyspark.sql import functions as F
 
 from presswork.llm.base import remainder, sample, small_batches
 
-PER_CLASS, DIMS, LATENT, NEIGHBOURS, POWER = 1500, 1024, 48, 15, 4.0
-STYLE = 8
+PER_CLASS, DIMS, SHAPES, LATENT, NEIGHBOURS, POWER = 1500, 1024, 512, 48, 15, 4.0
+TRIGRAMS = 0.5
 
+_SMALL, _CAPITALS, _DIGITS = re.compile(r"[^\W\d_A-ZÀ-Þ]+"), re.compile(r"[A-ZÀ-Þ]+"), re.compile(r"\d+")
 
-def style(text: str) -> list[int]:
-    """Counts: words, words that repeat the one before, words in capitals, words that hold
-    symbols, lines, lines seen before, words of one sign, long words."""
+
+def shape(token: str) -> str:
+    return _DIGITS.sub("9", _CAPITALS.sub("A", _SMALL.sub("a", token)))
+
+
+class _Shapes(dict):
+    def __missing__(self, token: str) -> str:
+        if len(self) > 200_000:
+            self.clear()
+        found = self[token] = shape(token)
+        return found
+
+
+class _Slots(dict):
+    def __missing__(self, term) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        found = self[term] = zlib.crc32(" ".join(term).encode("utf-8", "surrogatepass")) % SHAPES
+        return found
+
+
+_shapes, _slots = _Shapes(), _Slots()
+
+
+def shape_terms(text: str) -> Counter:
+    """How often each shape term occurs."""
     words = text.split()
-    lines = text.split("\n")
-    return [
-        len(words), sum(map(str.__eq__, words, words[1:])), sum(1 for w in words if w.isupper() and len(w) > 1), sum(1 for w in words if not w.isalpha() and not w[:-1].isalpha()),
-        len(lines), len(lines) - len(set(lines)), sum(1 for w in words if len(w) == 1 and not w.isalnum()), sum(1 for w in words if len(w) > 20),
-    ]
+    found = list(map(_shapes.__getitem__, words))
+    out: Counter = Counter(zip(found))
+    out.update(zip(found, found[1:]))
+    lines = [x for x in text.split("\n") if x]
+    again = {("same", "token", ""): sum(map(str.__eq__, words, words[1:])), ("same", "line", ""): len(lines) - len(set(lines))}
+    out.update({k: n for k, n in again.items() if n})
+    return out
 
 
 def terms(texts: list[str]) -> np.ndarray:
     """A row of term weights before idf for each text."""
-    out = np.zeros((len(texts), DIMS + STYLE), dtype=np.float32)
+    out = np.zeros((len(texts), DIMS + SHAPES), dtype=np.float32)
     for row, text in zip(out, texts, strict=True):
         if not text:
             continue
@@ -59,11 +89,11 @@ def terms(texts: list[str]) -> np.ndarray:
             code = (raw[:-2] * np.uint32(0x9E3779B1) + raw[1:-1] * np.uint32(0x85EBCA77) + raw[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(22)
             counts += np.bincount(code, minlength=DIMS)
         row[:DIMS] = np.log1p(counts)
-        length = np.sqrt((row[:DIMS] ** 2).sum())
-        row[:DIMS] /= length
-        s = style(text)
-        rates = np.array([0.0, *(x / max(s[0], 1) for x in s[1:4]), 0.0, s[5] / max(s[4], 1), *(x / max(s[0], 1) for x in s[6:])])
-        row[DIMS:] = np.sqrt(rates)
+        row[:DIMS] *= TRIGRAMS / np.sqrt((row[:DIMS] ** 2).sum())
+        if found := shape_terms(text):
+            at = np.fromiter(map(_slots.__getitem__, found), np.int64, len(found))
+            seen = np.log1p(np.bincount(at, np.fromiter(found.values(), np.float64, len(found)), minlength=SHAPES))
+            row[DIMS:] = seen / np.sqrt((seen**2).sum())
     return out
 
 
@@ -73,7 +103,6 @@ def fit(rows: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
         return {"prior": np.float64(0.5), "labels": labels}
     present = (rows > 0).sum(axis=0)
     idf = np.log((1 + len(rows)) / (1 + present)).astype(np.float32) + 0.1
-    idf[DIMS:] = 1.0
     weighted = rows * idf
     _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
     basis = (vectors[:, ::-1][:, :LATENT].astype(np.float32)) * idf[:, None]
@@ -113,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class
 
     found = sample(docs, labels, column, per_class=per_class).select("id", "text", "label").mapInArrow(run, f"id {docs.schema['doc_id'].dataType.simpleString()}, row binary, label int")
     rows = found.groupBy("id").agg(F.min(F.struct("row", "label")).alias("x")).select("x.row", "x.label", "id").orderBy("id").collect()
-    data = np.stack([np.frombuffer(r["row"], np.float32) for r in rows]) if rows else np.zeros((0, DIMS + STYLE), np.float32)
+    data = np.stack([np.frombuffer(r["row"], np.float32) for r in rows]) if rows else np.zeros((0, DIMS + SHAPES), np.float32)
     return fit(data, np.array([r["label"] for r in rows], dtype=np.float32))
 
 

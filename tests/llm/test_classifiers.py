@@ -45,7 +45,7 @@ def test_quality(make, odd, labelled):
 
 def test_vote_is_exact(make):
     rng = np.random.default_rng(0)
-    rows, labels = rng.random((80, quality.DIMS + quality.STYLE), dtype=np.float32), rng.integers(0, 2, 80).astype(np.float32)
+    rows, labels = rng.random((80, quality.DIMS + quality.SHAPES), dtype=np.float32), rng.integers(0, 2, 80).astype(np.float32)
     model = quality.fit(rows, labels)
     some = rng.random((30, rows.shape[1]), dtype=np.float32)
     for got, x in zip(quality.vote(model, some, block=7), some, strict=True):
@@ -208,3 +208,45 @@ def test_toxicity_of_odd_tables(make, spark):
     twice = make(rows + [(i, "zzz " + t) for i, t in rows])
     one, other = toxicity.train(twice, known), toxicity.train(twice.repartition(7, "text"), known)
     assert one["ratio"] == other["ratio"] and np.allclose(one["weights"], other["weights"])
+
+
+def test_quality_equals_brute_force(make, spark):
+    """Terms, decomposition and votes computed anew, term by term."""
+    rng = np.random.default_rng(8)
+    marks = ["", "", "", ",", ".", "!!", "%%", "$4", "?"]
+    rows, label = [], {}
+    for i in range(260):
+        words = ["".join(rng.choice(list("abcdeilnorst"), rng.integers(2, 9))) + marks[rng.integers(len(marks))] for _ in range(rng.integers(30, 200))]
+        label[i] = int(rng.random() < 0.6)
+        rows.append((i, " ".join(w.upper() if not label[i] and rng.random() < 0.3 else w for w in words)))
+    docs = make(rows)
+    got = {(r["doc_id"], r["score"]) for r in quality.score(docs, quality.train(docs, spark.createDataFrame([(i, q, 0) for i, q in label.items()], LABELS))).collect()}
+
+    def row(text):
+        data, a, b = text.encode(), np.zeros(quality.DIMS), np.zeros(quality.SHAPES)
+        for i in range(max(1, len(data) - 2)):
+            x, y, z = (data + b"\0\0")[i : i + 3]
+            a[((x * 0x9E3779B1 + y * 0x85EBCA77 + z * 0xC2B2AE3D) % 2**32) >> 22] += 1
+        words, lines = text.split(), [x for x in text.split("\n") if x]
+        found = [quality.shape(w) for w in words] + [quality.shape(v) + " " + quality.shape(w) for v, w in zip(words, words[1:])]
+        found += ["same token "] * sum(v == w for v, w in zip(words, words[1:])) + ["same line "] * (len(lines) - len(set(lines)))
+        for x in found:
+            b[zlib.crc32(x.encode()) % quality.SHAPES] += 1
+        a, b = np.log1p(a), np.log1p(b)
+        return np.concatenate([a / np.linalg.norm(a) * quality.TRIGRAMS, b / np.linalg.norm(b)])
+
+    learnt = [(t, label[i]) for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    data, y = np.stack([row(t) for t, _ in learnt]), np.array([q for _, q in learnt])
+    idf = np.log((1 + len(data)) / (1 + (data > 0).sum(axis=0))) + 0.1
+    basis = np.linalg.svd(data * idf)[2][: quality.LATENT].T
+    known = (data * idf) @ basis
+    known /= np.linalg.norm(known, axis=1, keepdims=True)
+    off = 0
+    for i, t in rows:
+        z = (row(t) * idf) @ basis
+        c = known @ z / np.linalg.norm(z)
+        near = np.argsort(-c)[: quality.NEIGHBOURS]
+        w = np.maximum(c[near], 0) ** quality.POWER
+        want = (w * y[near]).sum() / w.sum()
+        off += min(abs(s - want) for j, s in got if j == i) > 0.02
+    assert off <= 0.02 * len(rows)  # neighbours that tie but for rounding
