@@ -1,221 +1,90 @@
-"""Article text from stored HTML, with quality gates.
+"""Article text of HTML pages, as Columns: what is no content goes, paragraphs are read from
+the article element or from the whole page, and the result is judged by its size, its title
+and its wording. One pass, no Python.
 
-The tree is built with the standard library; candidates come from structured data, known
-body classes, a single <article>, microdata, a large table cell and, as the fallback, the
-block of the page with the most paragraph text."""
+Defined cases: null and empty pages have no paragraphs and are missing; an element that is
+not closed is text to the end of the page."""
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
-from html.parser import HTMLParser
-from urllib.parse import urljoin, urlsplit
-
-import pandas as pd
-from pyspark.sql import DataFrame
-
-#: Classes of article bodies, and lines that promote a subscription.
-BODIES = ("post-content", "post__content", "banner-text", "story-content", "tbl_art", "article-body", "entry-content", "body-copy", "article-content__content")
-PROMOTION = ("get full access for", "subscribe now", "unlimited access to all premium", "ad-free browsing", "mobile-optimised reading", "weekly newsletters", "search option is now available", "for subscriptions on news from china daily", "for more visit china daily", "stand with the standard", "the standard group plc")
-ERRORS = ("just a moment", "access denied", "attention required", "captcha", "page not found", "404 not found")
-WALLS = ("get full access for", "renew in to keep enjoying", "subscribe to read this article")
-ARTICLE_TYPES = ("NewsArticle", "Article", "BlogPosting")
-
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-SKIPPED = {"script", "style", "nav", "aside", "footer"}
-LINES = {"p", "h2", "h3", "li"}
-SCHEMA = "page_id long, title string, text string, quality string, method string, reason string, paywall boolean, candidates long, continuations array<string>"
-
-
-class Node:
-    __slots__ = ("attrs", "children", "parent", "tag")
-
-    def __init__(self, tag: str, attrs: dict, parent: Node | None):
-        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
-
-    def all(self) -> Iterator[Node]:
-        stack = [self]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(x for x in reversed(node.children) if isinstance(x, Node))
-
-    def above(self) -> Iterator[Node]:
-        node = self.parent
-        while node:
-            yield node
-            node = node.parent
-
-    def classes(self) -> str:
-        return self.attrs.get("class") or ""
-
-    def text(self, skip: frozenset | set = frozenset()) -> str:
-        out, stack = [], [self]
-        while stack:
-            node = stack.pop()
-            if isinstance(node, str):
-                out.append(node)
-            elif node.tag not in skip:
-                stack.extend(reversed(node.children))
-        return " ".join("".join(out).split())
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("#", {}, None)
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "p" or tag == "li":  # an open paragraph or item ends where the next begins
-            for node in [self.at, *self.at.above()]:
-                if node.tag == tag:
-                    self.at = node.parent
-                    break
-                if node.tag in ("div", "article", "section", "ul", "ol", "body", "td"):
-                    break
-        node = Node(tag, dict(attrs), self.at)
-        self.at.children.append(node)
-        if tag not in VOID:
-            self.at = node
-
-    def handle_endtag(self, tag):
-        for node in [self.at, *self.at.above()]:
-            if node.tag == tag:
-                self.at = node.parent
-                return
-
-    def handle_data(self, data):
-        self.at.children.append(data)
-
-
-def tree(html: str) -> Node:
-    builder = _Builder()
-    builder.feed(html)
-    builder.close()
-    return builder.root
-
-
-def _aside(node: Node, top: Node) -> bool:
-    for n in [node, *node.above()]:
-        if n is top:
-            return False
-        if n.tag in ("script", "style", "nav", "aside") or any(x in n.classes() for x in ("related", "social", "std-banner", "cfm-yml")):
-            return True
-    return False
-
-
-def promoted(line: str) -> bool:
-    return any(x in line.lower() for x in PROMOTION)
-
-
-def paragraphs(node: Node) -> str:
-    """The distinct lines of a body, without navigation and promotion."""
-    lines: dict[str, None] = {}
-    for n in node.all():
-        if n.tag in LINES and not _aside(n, node) and not any(a.tag in ("p", "li") for a in n.above()):
-            line = n.text({"script", "style", "nav", "aside"})
-            if line and not promoted(line):
-                lines.setdefault(line)
-    return "\n\n".join(lines)
-
-
-def _schemas(root: Node) -> list[dict]:
-    found, stack = [], []
-    for n in root.all():
-        if n.tag == "script" and n.attrs.get("type") == "application/ld+json":
-            try:
-                stack.append(json.loads("".join(x for x in n.children if isinstance(x, str))))
-            except ValueError:
-                continue
-    while stack:
-        value = stack.pop()
-        if isinstance(value, dict):
-            if any(t in str(value.get("@type", "")) for t in ARTICLE_TYPES):
-                found.append(value)
-            stack.extend(value.values())
-        elif isinstance(value, list):
-            stack.extend(value)
-    return found
-
-
-def continuations(articles: list[Node], url: str) -> list[str]:
-    """Where the only article of a page says it goes on: two addresses at most."""
-    if len(articles) != 1:
-        return []
-    out: list[str] = []
-    for n in articles[0].all():
-        if n.tag == "a" and n.attrs.get("href") and not _aside(n, articles[0]) and not any(a.tag == "footer" for a in n.above()):
-            if re.fullmatch(r"(read more|continue reading|read (the )?full (article|story))\s*[.…]*", n.text().lower()):
-                goal = urljoin(url, n.attrs["href"])
-                parts = urlsplit(goal)
-                if parts.scheme in ("http", "https") and parts.hostname and not parts.username and goal != url and goal not in out:
-                    out.append(goal)
-    return out[:2]
-
-
-def extract(html: str, url: str) -> dict:
-    """title, text, quality (candidate, partial, missing), method, reason, paywall, number of
-    candidates and continuations of a page."""
-    out = {"title": "", "text": "", "quality": "missing", "method": None, "reason": "No article body", "paywall": False, "candidates": 0, "continuations": []}
-    if not (html or "").strip():
-        return out
-    root = tree(html)
-    nodes = list(root.all())
-    heads = [n.text() for tag in ("h1", "title") for n in nodes if n.tag == tag]
-    out["title"] = next((h for h in heads if h), "")
-    if any(x in out["title"].lower() for x in ERRORS):
-        return out | {"reason": "Challenge or error page"}
-    schemas = _schemas(root)
-    seen = root.text({"script", "style", "nav", "footer"}).lower()
-    wall = any(s.get("isAccessibleForFree") in (False, "false", "False") for s in schemas) or any(w in seen for w in WALLS)
-    articles = [n for n in nodes if n.tag == "article"]
-    links = [] if wall else continuations(articles, url)
-    # (rank, method, text, anchored)
-    found: list[tuple[int, str, str, bool]] = []
-    if not wall:
-        found += [(4, "structured articleBody", tree(s["articleBody"]).text(), True) for s in schemas if isinstance(s.get("articleBody"), str)]
-    for cls in BODIES:
-        if cls == "banner-text" and "kenyastar.com" not in url:
-            continue
-        found += [(3, f"article selector: {cls}", paragraphs(n), True) for n in [n for n in nodes if cls in n.classes().split()][:2]]
-    if len(articles) == 1:
-        found.append((2, "single article element", paragraphs(articles[0]), True))
-    found += [(3, "microdata articleBody", paragraphs(n), True) for n in [n for n in nodes if n.attrs.get("itemprop") == "articleBody"][:2]]
-    cells = [n.text() for n in nodes if n.tag == "td" and not any(x.tag == "td" for x in n.all() if x is not n)]
-    if cells and len(longest := max(cells, key=len)) > 1000 and not promoted(longest):
-        found.append((1, "table article cell", longest, True))
-    blocks = [n for n in nodes if n.tag in ("div", "section", "main", "body", "article") and not _aside(n, root)]
-    dense = max((paragraphs(n) for n in blocks), key=len, default="")
-    og = any(n.tag == "meta" and n.attrs.get("property") == "og:type" and n.attrs.get("content") == "article" for n in nodes)
-    marked = [len(t) for r, _, t, _ in found if r == 3]
-    empty = bool(marked) and max(marked) < 100  # a body's marker without a body outranks a guess
-    found.append((0, "fallback parser", dense, (bool(schemas) or og) and not empty))
-    best = None
-    listing = len(articles) > 8 and not schemas and not wall
-    for rank, method, text, anchored in found:
-        text = "\n\n".join(x for x in text.split("\n\n") if x.strip() and not promoted(x))
-        cut = bool(links) or bool(re.search(r"(\.\.\.|…|read more|continue reading)\s*$", text, re.I))
-        quality = "candidate" if len(text) >= 400 and anchored and not wall and not cut else "partial" if len(text) >= 100 and (anchored or schemas or wall) else "missing"
-        if quality == "candidate" and rank >= 3:
-            listing = False
-        score = ({"candidate": 3, "partial": 2, "missing": 0}[quality], rank, len(text))
-        if best is None or score > best[0]:
-            best = (score, method, text, quality)
-    _, method, text, quality = best
-    reason = "Article body passes structural checks" if quality == "candidate" else "Subscription preview" if wall else "Truncated or insufficient article body"
-    out |= {"text": text if quality != "missing" else "", "quality": quality, "method": method, "reason": reason, "paywall": wall, "candidates": len(found), "continuations": links}
-    if listing:
-        out |= {"text": "", "quality": "missing", "reason": "Listing page, not a single article"}
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+#: Elements whose contents are no article text.
+OUTSIDE = ("script", "style", "noscript", "svg", "nav", "aside", "footer", "form")
+#: Characters of a whole article and of a part of one, and articles that make a listing.
+WHOLE, PART, LISTING = 600, 150, 8
+#: Wording of a paywall, and titles of pages that are no article.
+WALLS = r"subscribe to (?:read|continue)|subscribers only|sign in to continue reading|log in to read"
+REFUSALS = r"just a moment|access denied|attention required|verify you are human|captcha|page not found|404 not found"
+#: Entities of HTML that text of articles holds; the ampersand comes last.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+
+def plain(html: Column) -> Column:
+    """Text without tags and entities, with single spaces."""
+    text = F.regexp_replace(html, r"<[^>]*>", " ")
+    for name, sign in ENTITIES:
+        text = F.replace(text, F.lit(name), F.lit(sign))
+    return F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
+
+
+def content(html: Column) -> Column:
+    """The page without comments and without the elements OUTSIDE."""
+    out = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?s)<!--.*?-->", " ")
+    for name in OUTSIDE:
+        out = F.regexp_replace(out, rf"(?is)<{name}\b.*?</{name}>", " ")
     return out
 
 
-def extract_pages(pages: DataFrame) -> DataFrame:
-    """pages(page_id, url, html) with what `extract` finds in each."""
+def paragraphs(region: Column) -> Column:
+    """The texts of p elements; a p ends where it is closed or the next begins."""
+    found = F.split(region, r"(?i)<p\b[^>]*>")
+    cut = F.transform(F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0))), lambda x: plain(F.get(F.split(x, r"(?i)</p>"), F.lit(0))))
+    return F.filter(cut, lambda x: x != "")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [{"page_id": p} | extract(h or "", u or "") for p, u, h in zip(batch["page_id"], batch["url"], batch["html"], strict=True)]
-            yield pd.DataFrame(rows, columns=["page_id", "title", "text", "quality", "method", "reason", "paywall", "candidates", "continuations"])
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, SCHEMA)
+def extract_pages(pages: DataFrame) -> DataFrame:
+    """page_id, title, method, quality, reason, n_paragraphs, characters and text of
+    pages(page_id, html)."""
+    # generators keep the optimizer from reading a page again for every column
+    body = pages.select("page_id", F.explode(F.array(content(F.col("html")))).alias("body"))
+    article = F.regexp_extract("body", r"(?is)<article\b[^>]*>(.*?)</article>", 1)
+    articles = F.regexp_count("body", F.lit(r"(?i)<article\b"))
+    single = (articles == 1) & (article != "")
+    read = body.select(
+        "page_id", articles.alias("articles"), F.when(single, "single article element").otherwise("whole page").alias("method"),
+        plain(F.coalesce(F.nullif(F.regexp_extract("body", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1), F.lit("")), F.regexp_extract("body", r"(?is)<title\b[^>]*>(.*?)</title>", 1))).alias("title"),
+        F.explode(F.array(paragraphs(F.when(single, article).otherwise(F.col("body"))))).alias("found"),
+    )
+    text = F.array_join("found", "\n\n")
+    judged = read.select("page_id", "title", "method", "articles", F.size("found").cast("long").alias("n_paragraphs"), F.explode(F.array(text)).alias("text"))
+    size = F.length("text")
+    reason = (
+        F.when(F.lower("title").rlike(REFUSALS), "challenge or error page").when((F.col("articles") >= LISTING) & (size < WHOLE), "listing")
+        .when(size < PART, "too short").when(F.lower("text").rlike(WALLS), "paywall").when(size < WHOLE, "short")
+    )
+    quality = F.when(reason.isNull(), "candidate").when(reason.isin("paywall", "short"), "partial").otherwise("missing")
+    return judged.select("page_id", "title", "method", quality.alias("quality"), reason.alias("reason"), "n_paragraphs", size.cast("long").alias("characters"), "text")
+
+
+def oracle_sql() -> str:
+    """The same by DuckDB, in the order of the text."""
+    body = r"regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->', ' ', 'g')"
+    for name in OUTSIDE:
+        body = rf"regexp_replace({body}, '(?is)<{name}\b.*?</{name}>', ' ', 'g')"
+
+    def bare(x: str) -> str:
+        out = f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"
+        for name, sign in ENTITIES:
+            out = "replace({}, '{}', '{}')".format(out, name, sign.replace("'", "''"))
+        return rf"trim(regexp_replace({out}, '[\x20\x09-\x0D]+', ' ', 'g'))"
+
+    heading, title = r"regexp_extract(body, '(?is)<h1\b[^>]*>(.*?)</h1>', 1)", r"regexp_extract(body, '(?is)<title\b[^>]*>(.*?)</title>', 1)"
+    return rf"""WITH b AS (SELECT page_id, {body} AS body FROM pages),
+a AS (SELECT *, len(regexp_extract_all(body, '(?i)<article\b')) AS articles, regexp_extract(body, '(?is)<article\b[^>]*>(.*?)</article>', 1) AS article FROM b),
+r AS (SELECT page_id, articles, articles = 1 AND article <> '' AS single, {bare(f"CASE WHEN {heading} <> '' THEN {heading} ELSE {title} END")} AS title, regexp_split_to_array(CASE WHEN articles = 1 AND article <> '' THEN article ELSE body END, '(?i)<p\b[^>]*>') AS p FROM a),
+f AS (SELECT *, list_filter(list_transform(p[2:], lambda x: {bare("regexp_split_to_array(x, '(?i)</p>')[1]")}), lambda x: x <> '') AS found FROM r),
+t AS (SELECT *, array_to_string(found, chr(10) || chr(10)) AS text FROM f),
+j AS (SELECT *, CASE WHEN regexp_matches(lower(title), '{REFUSALS}') THEN 'challenge or error page' WHEN articles >= {LISTING} AND length(text) < {WHOLE} THEN 'listing' WHEN length(text) < {PART} THEN 'too short' WHEN regexp_matches(lower(text), '{WALLS}') THEN 'paywall' WHEN length(text) < {WHOLE} THEN 'short' END AS reason FROM t)
+SELECT page_id, title, CASE WHEN single THEN 'single article element' ELSE 'whole page' END AS method, CASE WHEN reason IS NULL THEN 'candidate' WHEN reason IN ('paywall', 'short') THEN 'partial' ELSE 'missing' END AS quality, reason, len(found) AS n_paragraphs, length(text) AS characters, text FROM j"""

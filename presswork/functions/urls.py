@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: How an archive's replay URL embeds the original.
+#: Fixed value: how an archive's replay URL embeds the original.
 REPLAY = r"^/web/[0-9]{1,14}(?:(?:id|if|im|js|cs|oe|mp)_)?/(https?://.+)$"
 
 
@@ -42,6 +42,7 @@ def label(url: Column, outlet: Column) -> Column:
     """A name for a story from the last part of its path, or a plain one."""
     last = F.element_at(F.split(F.rtrim(F.coalesce(part(url, "PATH"), F.lit("")), F.lit("/")), "/"), -1)
     text = F.coalesce(F.try_url_decode(last), last)
+    # fixed values: endings of files and the words of a plain name
     text = F.trim(F.regexp_replace(F.regexp_replace(text, r"(?i)\.(html?|aspx?|php)$", ""), r"[-_]+", " "))
     return F.when(F.length(text) > 12, text).otherwise(F.concat(F.lit("Open article on "), F.coalesce(outlet, F.lit("this site"))))
 
@@ -54,5 +55,26 @@ def bare_homepage(requested: Column, final: Column) -> Column:
 
 def evidence_path(uri: Column, bucket: str, run_id: Column, article_id: Column) -> Column:
     """Whether a URI names evidence of the run's article in the bucket."""
-    pattern = F.concat(F.lit(f"^gs://{bucket}/runs/"), run_id, F.lit("/results/"), article_id, F.lit(r"/[A-Za-z0-9_.-]+\.json(\.gz)?$"))
-    return F.coalesce(F.regexp_like(uri, pattern), F.lit(False))
+    start = F.concat(F.lit(f"gs://{bucket}/runs/"), run_id, F.lit("/results/"), article_id, F.lit("/"))
+    return F.coalesce(F.startswith(uri, start) & F.substr(uri, F.length(start) + 1).rlike(r"^[A-Za-z0-9_.-]+\.json(\.gz)?$"), F.lit(False))
+
+
+def joined(base: Column, link: Column) -> Column:
+    """A link as a page at base means it: absolute, of the same scheme, from the root, a query
+    or fragment alone, or beside the page; dot segments are left as they are."""
+    scheme, site = part(base, "PROTOCOL"), part(base, "AUTHORITY")
+    root = F.concat(scheme, F.lit("://"), site)
+    path = F.coalesce(part(base, "PATH"), F.lit(""))
+    folder = F.regexp_replace(F.when(path == "", "/").otherwise(path), r"[^/]*$", "")
+    return (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link).when(link.startswith("//"), F.concat(scheme, F.lit(":"), link)).when(link.startswith("/"), F.concat(root, link))
+        .when(link.rlike(r"^[?#]"), F.concat(root, path, link)).when(link == "", base).otherwise(F.concat(root, folder, link))
+    )
+
+
+def other_page(url: Column, link: Column) -> Column:
+    """The page on the same host that a link at url names, if its path has more than five
+    characters and it is another URL; null else (X20)."""
+    full = joined(url, link)
+    good = (host(full) == host(url)) & (F.length(part(full, "PATH")) > 5) & (full != url)
+    return F.when(good, full)

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.plans.lineage import cut
+
 #: Location types that name a place below a country.
 SPECIFIC = ("2", "3", "4", "5")
+#: Rows of a mapping that is broadcast.
+BROADCAST = 1_000_000
 GROUPS = ("Chinese", "Local", "Third country", "Unknown or uncertain")
 
 
@@ -32,13 +36,25 @@ def places(raw: Column, country: Column, types: tuple[str, ...] = SPECIFIC) -> C
     return F.array_sort(F.array_distinct(F.transform(found, lambda p: F.get(p, F.lit(1)))))
 
 
-def registrable_domain(url: Column, suffixes: tuple[str, ...] = ("co.ke", "or.ke", "go.ke", "ac.ke", "com.cn", "co.uk", "com.au", "com.ph", "com.br", "co.za")) -> Column:
-    """The registrable domain of a URL's host: its last two labels, three below the public
-    suffixes of two labels given; null without a host."""
+#: Second-level labels below which countries register names, as in co.uk or com.au.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "go", "gob", "gov", "gouv", "mil", "ne", "net", "nom", "or", "org", "sch")
+
+
+def registrable_domain(url: Column, suffixes: tuple[str, ...] = (), exceptions: tuple[str, ...] = ()) -> Column:
+    """The registrable domain of a URL's host, null without one: its last two labels, or three
+    where the last two are a public suffix. Those are the two-label entries of a public
+    suffix list, if given (``public_suffixes`` reads one), less its exceptions; without a
+    list, a country's two letters after one of SECOND_LEVEL."""
     host = F.rtrim(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit("."))
-    two = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
-    three = F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)
-    return F.nullif(F.when(two.isin(*suffixes), three).otherwise(two), F.lit(""))
+    suffix = r"[^.]+\.(?:" + "|".join(x.replace(".", r"\.") for x in suffixes) + ")" if suffixes else r"[^.]+\.(?:" + "|".join(SECOND_LEVEL) + r")\.[a-z]{2}"
+    kept = "(?!(?:" + "|".join(x.replace(".", r"\.") for x in exceptions) + ")$)" if exceptions else ""
+    return F.nullif(F.regexp_extract(host, rf"(?:^|\.)({kept}{suffix}|[^.]+\.[^.]+)$", 1), F.lit(""))
+
+
+def public_suffixes(lines: list[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """The two-label suffixes and the exceptions of a public suffix list's lines."""
+    rules = [x.strip().lower() for x in lines if x.strip() and not x.startswith("//")]
+    return tuple(sorted(x for x in rules if x.count(".") == 1 and x[0] not in "*!")), tuple(sorted(x[1:] for x in rules if x.startswith("!")))
 
 
 def last_label(outlet: Column) -> Column:
@@ -59,12 +75,15 @@ def unambiguous(pairs: DataFrame) -> DataFrame:
 
 def with_evidence(docs: DataFrame, outlets: DataFrame, suffixes: DataFrame) -> DataFrame:
     """docs(day, url, v2locations) whose url is http(s), with outlet, estimated_country and
-    domain_country. The mappings are small dimensions; Spark broadcasts them by their size."""
-    rows = docs.where(F.col("url").rlike("(?i)^https?://")).withColumn("outlet", registrable_domain(F.col("url")))
-    estimated = unambiguous(outlets).select(F.col("key").alias("o_key"), F.col("value").alias("estimated_country"))
-    domain = unambiguous(suffixes).select(F.col("key").alias("s_key"), F.col("value").alias("domain_country"))
-    joined = rows.join(estimated, F.col("outlet") == F.col("o_key"), "left")
-    return joined.join(domain, last_label(F.col("outlet")) == F.col("s_key"), "left").drop("o_key", "s_key")
+    domain_country. The mappings are small dimensions: they are counted, and broadcast up to
+    BROADCAST rows; beyond, Spark joins them by a shuffle. URLs are read once: a generator
+    keeps the optimizer from repeating the expression for each join."""
+    rows = docs.where(F.col("url").rlike("(?i)^https?://")).select("*", F.explode(F.array(registrable_domain(F.col("url")))).alias("outlet"))
+    estimated = cut(unambiguous(outlets).select(F.col("key").alias("o_key"), F.col("value").alias("estimated_country")))
+    domain = cut(unambiguous(suffixes).select(F.col("key").alias("s_key"), F.col("value").alias("domain_country")))
+    small = lambda side: F.broadcast(side) if side.limit(BROADCAST + 1).count() <= BROADCAST else side
+    joined = rows.join(small(estimated), F.col("outlet") == F.col("o_key"), "left")
+    return joined.join(small(domain), last_label(F.col("outlet")) == F.col("s_key"), "left").drop("o_key", "s_key")
 
 
 def outlet_country(est: Column, dom: Column) -> Column:
@@ -108,3 +127,16 @@ def by_source_country(obs: DataFrame, sources: list[str]) -> DataFrame:
 def catalog_codes(obs: DataFrame, pivot: str) -> DataFrame:
     """Distinct codes by which anything was published, without the pivot."""
     return obs.select(F.explode(F.array("estimated_country", "domain_country")).alias("code")).where(F.col("code").isNotNull() & (F.col("code") != pivot)).distinct().orderBy("code")
+
+
+def filter_matrix(obs: DataFrame, about: str) -> DataFrame:
+    """outlet_group, filter, daily_observations, unique_urls, websites: five filters on what
+    observations mention, counted for each group (A24). Rows are folded to one a URL and
+    outlet, with a count for each filter, before they are spread over the filters."""
+    named, place = F.array_contains("countries", about), F.array_contains("specific_location_countries", about)
+    pair = named & (F.size("countries") == 2)
+    tests = {"broad": F.lit(True), "both": named, "only_pair": pair, "only_pair_specific": pair & place, "specific": place}
+    folded = obs.groupBy("outlet_group", "url", "outlet").agg(*[F.count_if(test).alias(name) for name, test in tests.items()])
+    spread = folded.select("outlet_group", "url", "outlet", F.explode(F.array(*[F.struct(F.lit(x).alias("filter"), F.col(x).alias("n")) for x in tests])).alias("x")).select("outlet_group", "url", "outlet", "x.*")
+    hit = lambda c: F.count_distinct(F.when(F.col("n") > 0, F.col(c)))
+    return spread.groupBy("outlet_group", "filter").agg(F.sum("n").alias("daily_observations"), hit("url").alias("unique_urls"), hit("outlet").alias("websites"))

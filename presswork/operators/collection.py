@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from presswork.plans.pieces import numbered
+
 PENDING = ("deferred", "retrying", "queued")
 TERMINAL_WORKERS = ("completed", "continuing", "paused_by_operator", "paused_limit", "interrupted", "failed", "recovery_failed")
 #: States of a cohort by priority, after `running`.
@@ -149,20 +155,34 @@ def stop_reason(totals: DataFrame, max_bytes: int, max_attempts: int) -> DataFra
 
 def phase_counts(changes: DataFrame) -> DataFrame:
     """Articles in each phase from changes(article_id, seq, from_phase, to_phase): sums of +1
-    and -1, never negative."""
+    and -1. A negative sum means that the log lacks changes, and is given as it is."""
     moves = changes.select(F.explode(F.array(F.struct(F.col("to_phase").alias("phase"), F.lit(1).alias("d")), F.struct(F.col("from_phase").alias("phase"), F.lit(-1).alias("d")))).alias("m")).select("m.*")
-    return moves.where("phase is not null").groupBy("phase").agg(F.greatest(F.lit(0), F.sum("d")).alias("articles"))
+    return moves.where("phase is not null").groupBy("phase").agg(F.sum("d").alias("articles"))
 
 
 def fingerprint(manifest: DataFrame) -> DataFrame:
-    """One SHA-256 over the sorted lines `article_id NUL outlet`, by run. Lines are hashed
-    first where they are; the digests of a run are sorted, so a run's text is 64 bytes a
-    line and no line is read twice."""
-    line = F.sha2(F.concat(F.col("article_id"), F.lit("\0"), F.col("outlet"), F.lit("\n")), 256)
-    part = manifest.select("run_id", line.alias("d"), F.substring(line, 1, 2).alias("p"))
-    # 256 pieces by first byte, so that no task sorts a whole run
-    pieces = part.groupBy("run_id", "p").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("d")), ""), 256).alias("h"), F.count(F.lit(1)).alias("n"))
-    return pieces.groupBy("run_id").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "h"))), lambda x: x["h"]), ""), 256).alias("fingerprint"), F.sum("n").alias("articles"))
+    """run_id, fingerprint, articles: one SHA-256 over a run's sorted lines `article_id NUL
+    outlet`. A digest is sequential, so a run is read by one task; it reads the sorted lines
+    as a stream and holds none of them."""
+    lines = manifest.select("run_id", "article_id", "outlet").repartition("run_id").sortWithinPartitions("run_id", "article_id", "outlet")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, digest, n = None, hashlib.sha256(), 0
+
+        def out() -> pa.RecordBatch:
+            return pa.record_batch([pa.array([now]), pa.array([digest.hexdigest()]), pa.array([n], pa.int64())], names=["run_id", "fingerprint", "articles"])
+
+        for batch in batches:
+            for run_id, article, outlet in zip(*(batch.column(x).to_pylist() for x in ("run_id", "article_id", "outlet")), strict=True):
+                if n and run_id != now:
+                    yield out()
+                    digest, n = hashlib.sha256(), 0
+                now, n = run_id, n + 1
+                digest.update(f"{article}\0{outlet}\n".encode())
+        if n:
+            yield out()
+
+    return lines.mapInArrow(run, "run_id string, fingerprint string, articles long")
 
 
 def stage_coverage(events: DataFrame, required: list[str]) -> DataFrame:
@@ -212,12 +232,21 @@ def schedule(backlog: DataFrame, picks: int, per_outlet: int) -> DataFrame:
     return each.select("outlet", "j", priority.alias("priority")).orderBy(F.desc("priority"), F.desc("outlet"), "j").limit(picks)
 
 
-def streaks(events: DataFrame, key: str, hit: Column, order: list[str]) -> DataFrame:
-    """events with the length of the run of hits that each ends, 0 where it is none."""
-    ordered = Window.partitionBy(key).orderBy(*order)
-    marked = events.withColumn("_hit", hit.cast("int")).withColumn("_island", F.sum(1 - F.col("_hit")).over(ordered))
-    inside = Window.partitionBy(key, "_island").orderBy(*order)
-    return marked.withColumn("streak", F.sum("_hit").over(inside)).drop("_hit", "_island")
+def _days(events: DataFrame, time: str) -> Column:
+    """The days of a column of times; one piece for a column of another type."""
+    return F.to_date(time) if dict(events.dtypes)[time].startswith(("timestamp", "date")) else F.lit(0)
+
+
+def streaks(events: DataFrame, key: str, hit: Column, order: list[str], piece: Column | None = None) -> DataFrame:
+    """events with the length of the run of hits that each ends, 0 where it is none: its
+    position less that of the last event that is no hit. Keys are worked on in pieces, the
+    days of order[0] where none are given."""
+    marked = events.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+    rows = numbered(marked, key, order, _days(events, order[0]) if piece is None else piece, {"_missed": F.max(F.when(~F.col("_hit"), F.col("_n")))})
+    inside = Window.partitionBy(key, "_piece").orderBy(*order)
+    at = F.col("_before") + F.col("_n")
+    missed = F.max(F.when(~F.col("_hit"), at)).over(inside)
+    return rows.withColumn("streak", at - F.coalesce(missed, "_missed", F.lit(0))).drop("_hit", "_missed", "_before", "_n", "_piece")
 
 
 def paused_outlets(events: DataFrame, order: list[str]) -> DataFrame:
@@ -226,10 +255,23 @@ def paused_outlets(events: DataFrame, order: list[str]) -> DataFrame:
     return runs.where((F.col("streak") >= 2) | F.col("status").isin("rate_limited", "robots_unavailable")).select("outlet").distinct()
 
 
-def rolling(events: DataFrame, key: str, value: str, n: int, order: list[str]) -> DataFrame:
-    """events with the last n values of their key."""
-    window = Window.partitionBy(key).orderBy(*order).rowsBetween(-(n - 1), 0)
-    return events.withColumn("last", F.collect_list(value).over(window))
+def rolling(events: DataFrame, key: str, value: str, n: int, order: list[str], piece: Column | None = None) -> DataFrame:
+    """events with the last n values of their key. Keys are worked on in pieces, the days of
+    order[0] where none are given; a piece hands on its last n - 1 values."""
+    tail = F.transform(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("_n", value)))), 1, n - 1), lambda x: x[value])
+    rows = events.withColumn("_piece", _days(events, order[0]) if piece is None else piece)
+    inside = Window.partitionBy(key, "_piece").orderBy(*order)
+    rows = rows.withColumn("_n", F.row_number().over(inside))
+    back = F.row_number().over(Window.partitionBy(key, "_piece").orderBy(*[F.desc(c) for c in order]))
+    ends = rows.withColumn("_back", back).where(F.col("_back") < n)  # n - 1 rows a piece
+    each = ends.groupBy(F.col(key).alias("_key"), F.col("_piece").alias("_own")).agg(F.reverse(tail).alias("_tail"))
+    # n - 1 pieces before hold n - 1 values at least, if there are so many
+    before = Window.partitionBy("_key").orderBy("_own").rowsBetween(-(n - 1), -1)
+    each = each.withColumn("_tail", F.flatten(F.collect_list("_tail").over(before)))
+    joined = rows.join(each, F.col(key).eqNullSafe(F.col("_key")) & F.col("_piece").eqNullSafe(F.col("_own")), "left")
+    here = F.collect_list(value).over(inside.rowsBetween(-(n - 1), 0))
+    every = F.concat(F.coalesce("_tail", F.array().cast(f"array<{dict(events.dtypes)[value]}>")), here)
+    return joined.withColumn("last", F.slice(every, F.greatest(F.lit(1), F.size(every) - n + 1), n)).drop("_key", "_own", "_tail", "_piece", "_n")
 
 
 def rate(snapshots: DataFrame, key: str, value: str, time: str) -> DataFrame:
@@ -270,6 +312,29 @@ def download_index(index: DataFrame, changed: DataFrame) -> DataFrame:
     return kept.unionByName(changed.where(keep).select("url", "status"))
 
 
+def refresh_index(index: DataFrame | None, rows: DataFrame, watermark, expected: int, overlap: str = "120 seconds") -> DataFrame:
+    """The index (url, status) of rows(url, state, status, result_uri, updated_at) from an
+    earlier one: what changed since `overlap` before the watermark is merged. Where the
+    result has not the expected number of entries, or there is no index, it is built anew
+    from all rows."""
+    if index is not None:
+        since = F.lit(watermark).cast("timestamp") - F.expr(f"INTERVAL {overlap}")
+        merged = download_index(index, rows.where(F.col("updated_at").cast("timestamp") >= since))
+        if merged.count() == expected:
+            return merged
+    return download_index(rows.select("url", "status").limit(0), rows)
+
+
+def browser_gate(best: Column, first_status: Column, http_status: Column, paywall: Column, homepage: Column, seconds: Column, phase: Column) -> Column:
+    """Whether a browser may be tried for an article: the first rule that holds."""
+    return (
+        F.when(phase == "archive", "skipped").when(best == "candidate", "not_needed")
+        .when(first_status.isin("blocked", "robots_denied", "robots_unavailable", "rate_limited") | F.coalesce(paywall, F.lit(False)), "not_applicable: restricted")
+        .when(F.coalesce(http_status, F.lit(0)) != 200, "not_applicable: no document").when(homepage, "not_applicable: homepage")
+        .when(seconds > 240, "deferred").when(phase == "publisher", "handoff").otherwise("render")
+    )
+
+
 def best_candidate(rows: DataFrame) -> DataFrame:
     """The best text of each article among rows(article_id, stage_no, raw_uri, quality, text):
     the last assessment of a body replaces earlier ones; then quality, then length."""

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset (tests, local mode), a
-    folder of this driver's own that is remembered for the session."""
+    """spark.checkpoint.dir of the session. Where it is unset in local mode, a folder of this
+    driver's own that is remembered for the session; on a cluster, where executors could
+    not see such a folder, an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = getattr(spark, "_presswork_dir", None)
         if not found:
             found = spark._presswork_dir = tempfile.mkdtemp(prefix="presswork-")

@@ -12,10 +12,11 @@ from presswork.functions import pages as page_functions
 from presswork.functions import text as texts
 from presswork.functions import urls
 from presswork.operators import audit, browse, classify, collection, export
+from presswork.plans.lineage import cut
 from presswork.sources import proxy
 from presswork.sources.proxy import CODE, EVENTS_SQL, OBS_SQL, PIVOT, RAW_SQL, TARGET
 from presswork.sources.tables import table
-from presswork.streaming import fold, hosts, stateful
+from presswork.streaming import pacing, stateful
 
 START, END = date(2016, 1, 1), date(2019, 12, 31)
 MISSING = [date(2016, 2, 15), date(2017, 7, 1), date(2017, 7, 2), date(2019, 12, 31)]
@@ -120,10 +121,11 @@ def classify_observations(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("day", "url", "outlet", "outlet_country", "classification_basis", "estimated_country", "domain_country", "outlet_group", _text("countries"), F.array_join("raw_locations", "|").alias("raw_locations"), "source_records")
 
 
-@query("""SELECT k AS key, CASE WHEN count(DISTINCT v) = 1 THEN max(v) END AS value FROM (VALUES ('a.ke','KE'),('a.ke','KE'),('b.com','KE'),('b.com','CH'),('c.cn','CH')) t(k, v) GROUP BY k""")
+@query("""SELECT lower(o_orderpriority || '-' || CAST(o_custkey AS VARCHAR)) AS key, CASE WHEN count(DISTINCT o_orderstatus) = 1 THEN max(o_orderstatus) END AS value FROM orders GROUP BY 1""")
 def ambiguous_mapping(spark: SparkSession, d: str) -> DataFrame:
-    """A mapping that arrives as a JSON parameter."""
-    return classify.unambiguous(classify.json_pairs(spark, '[["A.ke","KE"],["a.ke","KE"],["b.com","KE"],["B.com","CH"],["c.cn","CH"]]'))
+    """A mapping whose keys may be given several values."""
+    pairs = table(spark, d, "orders").select(F.concat_ws("-", "o_orderpriority", F.col("o_custkey").cast("string")).alias("key"), F.col("o_orderstatus").alias("value"))
+    return classify.unambiguous(pairs)
 
 
 @query(OBS + f""" SELECT source_country, day, url FROM (SELECT DISTINCT unnest(list_distinct([estimated_country, domain_country])) AS source_country, day, url, outlet FROM obs) WHERE source_country IN ('{PIVOT}', '{TARGET}', 'N14')""")
@@ -290,13 +292,7 @@ _FILTERS = f"{{'broad': TRUE, 'both': list_contains(countries, '{TARGET}'), 'onl
 SELECT outlet_group, f.key AS filter, count(*) FILTER (f.value) AS daily_observations, count(DISTINCT url) FILTER (f.value) AS unique_urls, count(DISTINCT outlet) FILTER (f.value) AS websites FROM m GROUP BY 1, 2""")
 def pilot_filter_matrix(spark: SparkSession, d: str) -> DataFrame:
     """Groups by filters, as URLs and as daily observations."""
-    about, place = F.array_contains("countries", TARGET), F.array_contains("specific_location_countries", TARGET)
-    pair = about & (F.size("countries") == 2)
-    tests = {"broad": F.lit(True), "both": about, "only_pair": pair, "only_pair_specific": pair & place, "specific": place}
-    kept = F.filter(F.array(*[F.struct(F.lit(k).alias("filter"), v.alias("hit")) for k, v in tests.items()]), lambda x: F.lit(True))
-    rows = _obs(spark, d).select("outlet_group", "url", "outlet", F.explode(kept).alias("x")).select("outlet_group", "url", "outlet", "x.*")
-    hit = lambda c: F.count_distinct(F.when(F.col("hit"), F.col(c)))
-    return rows.groupBy("outlet_group", "filter").agg(F.count_if("hit").alias("daily_observations"), hit("url").alias("unique_urls"), hit("outlet").alias("websites"))
+    return classify.filter_matrix(_obs(spark, d), TARGET)
 
 
 @query(OBS + f" SELECT day, url, outlet FROM obs WHERE contains(lower(coalesce(outlet, '')), 's1') OR contains(lower(coalesce(CASE estimated_country WHEN '{PIVOT}' THEN 'Pivotland' ELSE estimated_country END, '')), 's1') OR contains(lower(coalesce(estimated_country, '')), 's1')")
@@ -501,18 +497,17 @@ def network_counters(spark: SparkSession, d: str) -> DataFrame:
     return collection.network(collection.latest_workers(_beats(spark, d), 12), NOW)
 
 
-@query("""WITH l AS (SELECT run_id, sha256(article_id || chr(0) || outlet || chr(10)) AS d FROM (SELECT DISTINCT 'r' || (user_id % 3) AS run_id, sha256('u' || user_id) AS article_id, 'o' || (user_id % 10) AS outlet FROM events)),
-p AS (SELECT run_id, substr(d, 1, 2) AS p, sha256(string_agg(d, '' ORDER BY d)) AS h, count(*) AS n FROM l GROUP BY 1, 2)
-SELECT run_id, sha256(string_agg(h, '' ORDER BY p)) AS fingerprint, CAST(sum(n) AS BIGINT) AS articles FROM p GROUP BY 1""")
+@query("""WITH l AS (SELECT DISTINCT 'r' || (user_id % 3) AS run_id, sha256('u' || user_id) AS article_id, 'o' || (user_id % 10) AS outlet FROM events)
+SELECT run_id, sha256(string_agg(article_id || chr(0) || outlet || chr(10), '' ORDER BY article_id, outlet)) AS fingerprint, count(*) AS articles FROM l GROUP BY 1""")
 def manifest_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     """One digest of a run's manifest."""
     return collection.fingerprint(_manifest(spark, d))
 
 
-@query("WITH e AS (SELECT 'u' || user_id AS article_id, list(DISTINCT event_type) AS s FROM events WHERE event_id % 9 = 0 GROUP BY 1), m AS (SELECT article_id, list_sort(list_filter(['view', 'click', 'error'], lambda x: NOT list_contains(s, x))) AS m FROM e) SELECT article_id, array_to_string(m, ';') AS missing FROM m WHERE len(m) > 0")
+@query("WITH e AS (SELECT 'u' || user_id || '-' || strftime(ts, '%Y%m%d') AS article_id, list(DISTINCT event_type) AS s FROM events GROUP BY 1), m AS (SELECT article_id, list_sort(list_filter(['view', 'click', 'error'], lambda x: NOT list_contains(s, x))) AS m FROM e) SELECT article_id, array_to_string(m, ';') AS missing FROM m WHERE len(m) > 0")
 def stage_coverage(spark: SparkSession, d: str) -> DataFrame:
-    """Articles that lack a stage."""
-    e = table(spark, d, "events").where("event_id % 9 = 0").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("article_id"), F.col("event_type").alias("stage"))
+    """Articles, one for each user and day, that lack a stage."""
+    e = table(spark, d, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("article_id"), F.col("event_type").alias("stage"))
     return collection.stage_coverage(e, ["view", "click", "error"]).select("article_id", _text("missing"))
 
 
@@ -538,16 +533,21 @@ def accepted_versions(spark: SparkSession, d: str) -> DataFrame:
     return collection.accepted(e, wanted).select("article_id", "verdict")
 
 
-@query(EV + """, o AS (SELECT article_id AS url, arg_max(status, seq) AS status FROM ev WHERE seq < 5000 GROUP BY 1), i AS (SELECT * FROM o WHERE status IN ('saved', 'partial')), c AS (SELECT article_id AS url, arg_max(status, seq) AS status FROM ev WHERE seq >= 9000 GROUP BY 1)
-SELECT url, status FROM i WHERE url NOT IN (SELECT url FROM c) UNION ALL SELECT url, status FROM c WHERE status IN ('saved', 'partial')""")
+@query(EV + " SELECT article_id AS url, arg_max(status, (updated_at, seq)) AS status FROM ev GROUP BY 1 HAVING arg_max(status, (updated_at, seq)) IN ('saved', 'partial')")
 def download_index(spark: SparkSession, d: str) -> DataFrame:
-    """The download index after a batch of changes: the merge of T3 alone, without its watermark,
-    overlap and rebuild; index and batch end at fixed numbers of events."""
+    """The download index after the last day's changes (T3). Before them stands an index of all
+    events up to the start of that day; what changed since its watermark less two minutes is
+    merged, and the count of saved and partial results says whether that was all."""
     e = _events(spark, d)
-    newest = lambda rows: rows.groupBy(F.col("article_id").alias("url")).agg(F.max_by("status", "seq").alias("status"))
-    index = newest(e.where("seq < 5000")).where("status in ('saved', 'partial')")
-    changed = newest(e.where("seq >= 9000")).withColumn("state", F.when(F.col("status") == "deferred", "ready").otherwise("done")).withColumn("result_uri", F.lit("gs://x"))
-    return collection.download_index(index, changed)
+    newest = e.groupBy(F.col("article_id").alias("url")).agg(F.max_by(F.struct("status", "updated_at"), F.struct("updated_at", "seq")).alias("x"))
+    state = F.when(F.col("status") == "deferred", "ready").otherwise("done")
+    rows = cut(newest.select("url", "x.*").withColumn("state", state).withColumn("result_uri", F.lit("gs://x")))
+    watermark = e.agg(F.date_trunc("day", F.max("updated_at"))).first()[0]
+    if watermark is None:
+        return rows.select("url", "status")
+    earlier = e.where(F.col("updated_at") < F.lit(watermark)).groupBy(F.col("article_id").alias("url")).agg(F.max_by("status", F.struct("updated_at", "seq")).alias("status"))
+    expected = rows.where("status in ('saved', 'partial')").count()
+    return collection.refresh_index(earlier.where("status in ('saved', 'partial')"), rows, watermark, expected)
 
 
 @query(EV + " SELECT outlet, status, count(*) AS articles FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY updated_at DESC, seq) AS rn FROM ev) WHERE rn = 1) WHERE status <> 'deferred' GROUP BY ALL")
@@ -560,7 +560,7 @@ def latest_state_stream(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, regexp_extract(lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)), '([^.]+\\.[^.]+)$', 1) AS domain FROM pages""")
 def registrable_domain(spark: SparkSession, d: str) -> DataFrame:
-    """Hosts and registrable domains."""
+    """Hosts and registrable domains; no host of the table is below a two-label suffix."""
     return table(spark, d, "pages").select("page_id", urls.host(F.col("url")).alias("host"), classify.registrable_domain(F.col("url")).alias("domain"))
 
 
@@ -601,11 +601,48 @@ def squeezed_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", texts.squeeze(F.col("text")).alias("text"))
 
 
-@query("""WITH v(s) AS (VALUES ('2024-02-29'), ('2025-02-29'), ('2025-1-01'), ('2025-12-31'), ('x'), ('2025-13-01'), (NULL)) SELECT s, s IN ('2024-02-29', '2025-12-31') AND s IS NOT NULL AS valid FROM v""")
+@query("""WITH v AS (SELECT event_id, CAST(2020 + user_id % 6 AS VARCHAR) || '-' || CASE WHEN event_id % 7 = 0 THEN CAST(event_id % 14 AS VARCHAR) ELSE lpad(CAST(event_id % 14 AS VARCHAR), 2, '0') END || '-' || lpad(CAST(user_id % 32 AS VARCHAR), 2, '0') AS s FROM events)
+SELECT event_id, s, regexp_full_match(s, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_strptime(s, '%Y-%m-%d') IS NOT NULL AS valid FROM v""")
 def valid_days(spark: SparkSession, d: str) -> DataFrame:
-    """Days that exist."""
-    rows = spark.createDataFrame([(x,) for x in ("2024-02-29", "2025-02-29", "2025-1-01", "2025-12-31", "x", "2025-13-01", None)], "s string")
-    return rows.select("s", texts.valid_day(F.col("s")).alias("valid"))
+    """Days that exist, among days made of events' numbers."""
+    month, two = (F.col("event_id") % 14).cast("string"), lambda c: F.lpad(c, 2, "0")
+    day = F.concat_ws("-", (2020 + F.col("user_id") % 6).cast("string"), F.when(F.col("event_id") % 7 == 0, month).otherwise(two(month)), two((F.col("user_id") % 32).cast("string")))
+    return table(spark, d, "events").select("event_id", day.alias("s")).withColumn("valid", texts.valid_day(F.col("s")))
+
+
+@query("""WITH p AS (SELECT page_id, url, CAST(page_id % 6 AS INT) AS k, html FROM pages),
+b AS (SELECT *, CASE k WHEN 0 THEN 200 WHEN 1 THEN 403 WHEN 2 THEN 404 WHEN 3 THEN 503 WHEN 4 THEN 200 ELSE 302 END AS code, page_id % 4 = 3 AS large, CASE WHEN page_id % 5 = 4 THEN 'application/pdf' ELSE 'text/HTML; charset=utf-8' END AS kind,
+  CASE WHEN page_id % 18 = 0 THEN 'Just a moment...' WHEN page_id % 18 = 6 THEN '404 Not Found' ELSE regexp_extract(html, '(?is)<title>(.*?)</title>', 1) END AS title, page_id % 4 = 0 AS home FROM p)
+SELECT page_id, CASE WHEN large THEN 'needs_inspection' WHEN code = 403 THEN 'blocked' WHEN code = 404 THEN 'unavailable' WHEN code = 503 THEN 'temporary_error' WHEN code = 302 OR kind = 'application/pdf' THEN 'needs_inspection'
+  WHEN regexp_matches(lower(title), 'just a moment|access denied|attention required|verify you are human|captcha') THEN 'blocked' WHEN regexp_matches(lower(title), 'page not found|404 not found|page cannot be found') THEN 'needs_inspection' WHEN home THEN 'needs_inspection' ELSE 'retrieved' END AS outcome FROM b""")
+def http_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """What responses mean, for the pages with codes and types by their number."""
+    p = F.col("page_id")
+    code = F.element_at(F.array(*map(F.lit, (200, 403, 404, 503, 200, 302))), (p % 6 + 1).cast("int"))
+    title = F.when(p % 18 == 0, "Just a moment...").when(p % 18 == 6, "404 Not Found").otherwise(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1))
+    kind = F.when(p % 5 == 4, "application/pdf").otherwise("text/HTML; charset=utf-8")
+    final = F.when(p % 4 == 0, F.concat(F.lit("https://"), urls.host(F.col("url")), F.lit("/"))).otherwise(F.col("url"))
+    return table(spark, d, "pages").select("page_id", texts.http_outcome(code, p % 4 == 3, kind, title, F.col("url"), final).alias("outcome"))
+
+
+@query("""WITH p AS (SELECT page_id, CAST(page_id AS BIGINT) AS id, url, event_id FROM pages JOIN events ON event_id = page_id)
+SELECT page_id, CASE WHEN event_id % 9 = 0 THEN 'skipped' WHEN event_id % 5 = 0 THEN 'not_needed' WHEN event_id % 4 = 1 OR event_id % 11 = 0 THEN 'not_applicable: restricted' WHEN event_id % 3 = 1 THEN 'not_applicable: no document' WHEN event_id % 13 = 0 THEN 'not_applicable: homepage' WHEN event_id % 300 > 240 THEN 'deferred' WHEN event_id % 2 = 0 THEN 'handoff' ELSE 'render' END AS gate FROM p""")
+def browser_gates(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a browser may be tried for each page."""
+    rows = table(spark, d, "pages").join(table(spark, d, "events").select("event_id"), F.col("page_id") == F.col("event_id"))
+    e = F.col("event_id")
+    phase = F.when(e % 9 == 0, "archive").when(e % 2 == 0, "publisher").otherwise("all")
+    gate = collection.browser_gate(F.when(e % 5 == 0, "candidate"), F.when(e % 4 == 1, "blocked").otherwise("retrieved"), F.when(e % 3 == 1, 500).otherwise(200), e % 11 == 0, e % 13 == 0, e % 300, phase)
+    return rows.select("page_id", gate.alias("gate"))
+
+
+@query("""WITH p AS (SELECT page_id, url, lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, regexp_extract(html, '(?i)<a href="([^"]*)"', 1) AS link FROM pages),
+f AS (SELECT page_id, CASE WHEN link = '' THEN url ELSE regexp_extract(url, '^(https?://[^/?#]+)', 1) || link END AS target, url FROM p)
+SELECT page_id, CASE WHEN target <> url AND length(regexp_extract(target, '^https?://[^/?#]+([^?#]*)', 1)) > 5 THEN target END AS page FROM f""")
+def linked_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The page of the same host that each page's first link names."""
+    link = F.regexp_extract("html", '(?i)<a href="([^"]*)"', 1)
+    return table(spark, d, "pages").select("page_id", urls.other_page(F.col("url"), link).alias("page"))
 
 
 @query("""WITH b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '') AS w FROM benchmark), o AS (SELECT item_id, array_to_string(w[1:12], ' ') AS o FROM b WHERE len(w) >= 12),
@@ -616,29 +653,25 @@ def article_identity(spark: SparkSession, d: str) -> DataFrame:
 
     The opening twelve words are looked up by equality among the documents' runs of twelve
     words: an equi-join, where a containment test would compare all pairs."""
-    w = texts.tokens(F.col("text"))
-    openings = table(spark, d, "benchmark").withColumn("w", w).where(F.size("w") >= 12).select("item_id", F.array_join(F.slice("w", 1, 12), " ").alias("run"))
-    docs = table(spark, d, "documents").select("doc_id", w.alias("w")).where(F.size("w") >= 12)
-    runs = docs.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 11), lambda i: F.array_join(F.slice("w", i, 12), " "))).alias("run"))
-    return runs.join(openings, "run").select("doc_id", "item_id").distinct()
+    return browse.opened_by(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
 
 
-@query("""WITH a(t, o) AS (VALUES ('Big fire in old town market | Daily', 'Big fire in old town market - Post'), ('Short one', 'Short one'), ('A b c d e f', 'g h i j k l')) SELECT t, o, CASE WHEN t LIKE 'Big%' THEN 'headline' END AS verdict FROM a""")
+@query("""WITH h AS (SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title, regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1) AS heading FROM pages),
+w AS (SELECT page_id, list_distinct(list_filter(regexp_split_to_array(lower(string_split(string_split(title, ' | ')[1], ' - ')[1]), '[^\\p{L}\\p{N}_]+'), lambda x: x <> '')) AS a, list_distinct(list_filter(regexp_split_to_array(lower(string_split(string_split(heading, ' | ')[1], ' - ')[1]), '[^\\p{L}\\p{N}_]+'), lambda x: x <> '')) AS b FROM h),
+n AS (SELECT page_id, len(a) AS na, len(b) AS nb, len(list_intersect(a, b)) AS nc FROM w)
+SELECT page_id, CASE WHEN least(na, nb) >= 5 AND 2 * nc >= 0.8 * (na + nb) THEN 'headline' END AS verdict FROM n""")
 def same_story(spark: SparkSession, d: str) -> DataFrame:
-    """Identity of stories by headline."""
-    rows = spark.createDataFrame([("Big fire in old town market | Daily", "Big fire in old town market - Post"), ("Short one", "Short one"), ("A b c d e f", "g h i j k l")], "t string, o string")
-    return rows.select("t", "o", texts.same_story(F.col("t"), F.lit("none"), F.col("o"), F.lit("other")).alias("verdict"))
+    """Whether a page's title and its heading are the same story's, by their words."""
+    title, heading = F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1), F.regexp_extract("html", "(?is)<h1>(.*?)</h1>", 1)
+    return table(spark, d, "pages").select("page_id", texts.same_story(title, F.lit("none"), heading, F.lit("other")).alias("verdict"))
 
 
-_HTTP = [(429, False, "text/html", "x", "/a", "/a", "rate_limited"), (200, True, "text/html", "x", "/a", "/a", "needs_inspection"), (403, False, "text/html", "x", "/a", "/a", "blocked"), (404, False, "text/html", "x", "/a", "/a", "unavailable"), (503, False, "", "x", "/a", "/a", "temporary_error"), (302, False, "", "x", "/a", "/a", "needs_inspection"), (200, False, "application/pdf", "x", "/a", "/a", "needs_inspection"), (200, False, "text/HTML", "Just a moment", "/a", "/a", "blocked"), (200, False, "text/html", "Page Not Found", "/a", "/a", "needs_inspection"), (200, False, "text/html", "x", "/a", "/", "needs_inspection"), (200, False, "text/html", "x", "/a", "/a", "retrieved")]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, '{r[-1]}')" for i, r in enumerate(_HTTP)) + ") t(i, outcome)")
-def http_outcomes(spark: SparkSession, d: str) -> DataFrame:
-    """What responses mean."""
-    rows = spark.createDataFrame([(i, *r[:6]) for i, r in enumerate(_HTTP)], "i int, code int, large boolean, kind string, title string, asked string, final string")
-    at = lambda c: F.concat(F.lit("https://a.ke"), F.col(c))
-    return rows.select("i", texts.http_outcome(F.col("code"), F.col("large"), F.col("kind"), F.col("title"), at("asked"), at("final")).alias("outcome"))
+@query("""WITH d AS (SELECT doc_id, text, array_to_string(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> ''), ' ') AS t FROM documents WHERE text IS NOT NULL),
+p AS (SELECT doc_id, t, list_transform(string_split(text, chr(10) || chr(10)), lambda p: list_filter(regexp_split_to_array(lower(p), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '')) AS p FROM d)
+SELECT doc_id, CASE WHEN len(list_filter(p, lambda w: len(w) >= 12 AND contains(t, array_to_string(w[1:12], ' ')))) > 0 THEN 'opening_text' END AS verdict FROM p""")
+def opening_text(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose paragraphs open a story that they themselves tell."""
+    return table(spark, d, "documents").where("text is not null").select("doc_id", texts.same_story(F.lit("a"), F.col("text"), F.lit("b"), F.col("text")).alias("verdict"))
 
 
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events FROM events GROUP BY ALL")
@@ -647,40 +680,47 @@ def tumbling_windows(spark: SparkSession, d: str) -> DataFrame:
     return stateful.late_windows(table(spark, d, "events"), size="1 hour")
 
 
-# -- folds and extraction: no SQL; tests hold them against small cases --------------------
+# -- extraction and pacing ------------------------------------------------------------------
 
-@query()
+@query(page_functions.oracle_sql())
 def extract_pages(spark: SparkSession, d: str) -> DataFrame:
     """Article text of pages."""
     return page_functions.extract_pages(table(spark, d, "pages"))
 
 
-def _requests(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events")
-    code = F.when(F.col("event_type") == "error", 503).when(F.col("event_type") == "purchase", 404).otherwise(200)
-    return e.select(F.concat(F.lit("h"), (F.col("user_id") % 10).cast("string")).alias("host"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"), "event_id", code.alias("status"), (F.col("value") / 50).alias("seconds"), F.lit(None).cast("string").alias("transport"), F.lit("ask").alias("kind"), F.col("event_id").cast("string").alias("owner"), F.lit(0.0).alias("value"))
+_MICROS = "epoch_us(ts)"
 
 
-@query()
+def _log(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").withColumns({"host": F.concat(F.lit("h"), F.col("user_id").cast("string")), "t": F.unix_micros(F.col("ts").cast("timestamp"))})
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT 'h' || user_id AS host, event_id, {_MICROS} AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+r AS (SELECT host, event_id, n, t, t AS start FROM e WHERE n = 1 UNION ALL SELECT e.host, e.event_id, e.n, e.t, greatest(e.t, r.start + 3600000000) FROM e JOIN r ON e.host = r.host AND e.n = r.n + 1)
+SELECT host, event_id, start, start - t AS wait FROM r""")
 def host_pacing_fold(spark: SparkSession, d: str) -> DataFrame:
-    """Permits of hosts over their requests."""
-    return fold.fold(_requests(spark, d), "host", ["t", "event_id"], hosts.new_host, lambda s, e: {"host": e["host"], "event_id": e["event_id"]} | hosts.permit(s, e), "host string, event_id long, admitted boolean, wait double, active int")
+    """When hosts' requests may start that are an hour apart."""
+    return pacing.starts(_log(spark, d), "host", F.col("t"), ["t", "event_id"], 3_600_000_000).select("host", "event_id", "start", "wait")
 
 
-@query()
+@query("""WITH e AS (SELECT 'h' || user_id AS host, event_id, ts, CAST(event_type IN ('error', 'purchase') AS INT) AS hit FROM events), i AS (SELECT *, sum(1 - hit) OVER (PARTITION BY host ORDER BY ts, event_id) AS g FROM e),
+f AS (SELECT host, event_id, CAST(sum(hit) OVER (PARTITION BY host, g ORDER BY ts, event_id) AS BIGINT) AS failures FROM i) SELECT host, event_id, failures, CAST(least(300, 5 * pow(2, failures)) AS DOUBLE) AS delay FROM f""")
 def adaptive_rate_fold(spark: SparkSession, d: str) -> DataFrame:
-    """Delays that hosts' responses lead to."""
-    rules = hosts.Rate(requests=None)
-    return fold.fold(_requests(spark, d), "host", ["t", "event_id"], lambda: hosts.new_rate(rules), lambda s, e: {"host": e["host"], "event_id": e["event_id"]} | hosts.adapt(s, e, rules), "host string, event_id long, phase string, delay double, change string, cooldown double")
+    """Delays that hosts' failures lead to."""
+    rows = pacing.delays(_log(spark, d), "host", F.col("event_type").isin("error", "purchase"), ["ts", "event_id"], 5, 300)
+    return rows.select("host", "event_id", "failures", "delay")
 
 
-@query()
+@query(f"""WITH e AS (SELECT user_id AS article, event_id, {_MICROS} AS t, CASE event_type WHEN 'view' THEN 'claim' WHEN 'click' THEN 'renew' WHEN 'error' THEN 'release' ELSE 'complete' END AS kind, 'w' || (event_id % 3) AS owner FROM events),
+m AS (SELECT * FROM e WHERE kind IN ('claim', 'release')),
+j AS (SELECT e.*, arg_max(m.kind, (m.t, m.event_id)) AS lk, arg_max(m.owner, (m.t, m.event_id)) AS lo, max(m.t) AS lt FROM e LEFT JOIN m ON m.article = e.article AND (m.t, m.event_id) < (e.t, e.event_id) GROUP BY ALL),
+h AS (SELECT *, CASE WHEN lk = 'claim' AND t - lt < 172800000000 THEN lo END AS holder FROM j)
+SELECT article, event_id, holder, CASE WHEN kind = 'claim' THEN holder IS NULL OR holder = owner ELSE coalesce(holder = owner, FALSE) END AS ok FROM h""")
 def lease_fold(spark: SparkSession, d: str) -> DataFrame:
-    """Leases of articles over claims and completions (T4 T5)."""
-    e = table(spark, d, "events")
-    kind = F.when(F.col("event_type") == "view", "claim").when(F.col("event_type") == "click", "renew").when(F.col("event_type") == "error", "release").when(F.col("event_type") == "signup", "handoff").otherwise("complete")
-    rows = e.select(F.col("user_id").alias("article"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"), "event_id", kind.alias("kind"), (F.col("user_id") % 3).cast("string").alias("owner"), F.lit("k").alias("token"), F.col("event_id").cast("string").alias("result"), F.col("event_id").alias("bytes"))
-    return fold.fold(rows, "article", ["t", "event_id"], hosts.new_article, lambda s, x: {"article": x["article"], "event_id": x["event_id"]} | hosts.lease(s, x), "article long, event_id long, state string, ok boolean, delta long")
+    """Who holds an article at each event, and whether the event is allowed (T4)."""
+    kind = F.when(F.col("event_type") == "view", "claim").when(F.col("event_type") == "click", "renew").when(F.col("event_type") == "error", "release").otherwise("complete")
+    rows = _log(spark, d).withColumns({"kind": kind, "owner": F.concat(F.lit("w"), (F.col("event_id") % 3).cast("string")), "article": F.col("user_id")})
+    return pacing.leases(rows, "article", F.col("t"), ["t", "event_id"], 172_800_000_000).select("article", "event_id", "holder", "ok")
 
 
 @query()
@@ -708,7 +748,7 @@ def recoverable_cohort(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH c AS (SELECT event_id, user_id, event_type AS to_phase, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS from_phase FROM events),
-m AS (SELECT to_phase AS phase, 1 AS d FROM c UNION ALL SELECT from_phase, -1 FROM c WHERE from_phase IS NOT NULL) SELECT phase, CAST(greatest(0, sum(d)) AS BIGINT) AS articles FROM m GROUP BY 1""")
+m AS (SELECT to_phase AS phase, 1 AS d FROM c UNION ALL SELECT from_phase, -1 FROM c WHERE from_phase IS NOT NULL) SELECT phase, CAST(sum(d) AS BIGINT) AS articles FROM m GROUP BY 1""")
 def phase_counts(spark: SparkSession, d: str) -> DataFrame:
     """Articles in each phase as sums of changes."""
     before = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))

@@ -43,7 +43,7 @@ class Latest(StatefulProcessor):
 
 
 class Machine(StatefulProcessor):
-    """A state machine of `hosts` over a stream: the state is kept as JSON by key, the rows of
+    """A state machine over a stream: the state is kept as JSON by key, the rows of
     a micro-batch are taken in order of time, and step gives the rows that come out."""
 
     def __init__(self, key: str, order: list[str], start, step, columns: list[str]):
@@ -67,7 +67,7 @@ class Machine(StatefulProcessor):
 
 
 def machine(events: DataFrame, key: str, order: list[str], start, step, schema: str) -> DataFrame:
-    """`fold.fold` for a stream: what step(state, event) returns for each event. Events that
+    """A fold of a stream: what step(state, event) returns for each event. Events that
     arrive in a later micro-batch are taken later, whatever their time."""
     columns = [x.strip().split(" ")[0] for x in schema.split(",")]
     return events.groupBy(key).transformWithStateInPandas(statefulProcessor=Machine(key, order, start, step, columns), outputStructType=schema, outputMode="Append", timeMode="None")
@@ -111,6 +111,7 @@ def stream_latest(spark, events: DataFrame) -> DataFrame:
     """Status totals of events, computed by writing them out and reading them as a stream."""
     import uuid
 
+    spark = spark.newSession()  # the caller's settings stay as they are
     use_rocksdb(spark)
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     events.write.parquet(f"{base}/in")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from presswork.functions import pages, text, urls
 from presswork.operators import audit, browse, classify, collection, export
 from presswork.plans.components import components
-from presswork.sources import files
-from presswork.streaming import fold, hosts
+from presswork.sources import files, tables
+from presswork.streaming import pacing
 
 OBS = "day date, url string, outlet string, estimated_country string, domain_country string, countries array<string>, specific_location_countries array<string>"
 
@@ -169,73 +169,120 @@ def _page(body, head=""):
 LONG = "".join(f"<p>Sentence number {i} of a story that goes on for quite a while here.</p>" for i in range(12))
 
 
-def test_extraction():
-    assert pages.extract("", "https://a.ke/x")["quality"] == "missing"
-    whole = pages.extract(_page(f"<article>{LONG}</article>"), "https://a.ke/x")
-    assert whole["quality"] == "candidate" and whole["method"] == "single article element" and whole["title"] == "Title"
-    wall = pages.extract(_page(f"<article>{LONG}<p>Subscribe to read this article</p></article>"), "https://a.ke/x")
-    assert wall["quality"] == "partial" and wall["paywall"]
-    assert pages.extract(_page(f"<div class='advert'>{LONG}</div>"), "https://a.ke/x")["quality"] == "missing"
-    assert pages.extract("<title>Access denied</title><p>x</p>", "https://a.ke/x")["reason"] == "Challenge or error page"
-    more = pages.extract(_page(f"<article>{LONG}<a href='/full'>Read more</a></article>"), "https://a.ke/x")
-    assert more["quality"] == "partial" and more["continuations"] == ["https://a.ke/full"]
-    aside = pages.extract(_page(f"<article>{LONG}<nav><a href='/full'>Read more</a></nav></article>"), "https://a.ke/x")
-    assert aside["continuations"] == [] and aside["quality"] == "candidate"
-    cards = pages.extract(_page("<article><p>card</p></article>" * 9 + f"<div>{LONG}</div>"), "https://a.ke/x")
-    assert cards["quality"] == "missing" and cards["reason"].startswith("Listing")
-    body = pages.extract(_page("<article><p>card</p></article>" * 9 + f"<div class='entry-content'>{LONG}</div>"), "https://a.ke/x")
-    assert body["quality"] == "candidate"
-    schema = '<script type="application/ld+json">{"@type":"NewsArticle","articleBody":"' + "word " * 100 + '"}</script>'
-    assert pages.extract(_page("", schema), "https://a.ke/x")["method"] == "structured articleBody"
-
-
-def test_permits():
-    state, rules = hosts.new_host(), hosts.Permits(delay=2, capacity=1, lasts=10)
-    ask = lambda t, o: hosts.permit(state, {"t": t, "kind": "ask", "owner": o}, rules)
-    assert ask(0, "a")["admitted"]
-    assert ask(3, "b") == {"admitted": False, "wait": 7.0, "active": 1}
-    hosts.permit(state, {"t": 3, "kind": "release", "owner": "a"}, rules)
-    assert ask(3, "b")["admitted"]
-    hosts.permit(state, {"t": 4, "kind": "cooldown", "value": 30}, rules)
-    hosts.permit(state, {"t": 4, "kind": "robots", "value": 1}, rules)
-    assert ask(20, "c")["wait"] == 14
-
-
-def test_adaptive_rate():
-    rules = hosts.Rate(requests=None, window=5, initial=5, least=1)
-    state = hosts.new_rate(rules)
-    for i in range(5):
-        out = hosts.adapt(state, {"t": i, "status": 200, "seconds": 1, "transport": None}, rules)
-    assert out["change"] == "healthy_window" and out["delay"] == pytest.approx(3.5)
-    out = hosts.adapt(state, {"t": 10, "status": 503, "seconds": 1, "transport": None}, rules)
-    assert out["change"] == "overload" and out["cooldown"] == 40 and out["delay"] == 5
-    out = hosts.adapt(state, {"t": 41, "status": 500, "seconds": 1, "transport": None}, rules)
-    assert out["change"] == "failed_probe" and out["cooldown"] == 101
-    for i in range(3):
-        out = hosts.adapt(state, {"t": 102 + i, "status": 404, "seconds": 1, "transport": None}, rules)
-    assert out["change"] == "healthy_probes" and out["delay"] == pytest.approx(3.5)
-    bounded = hosts.Rate(requests=10, window=5)
-    state = hosts.new_rate(bounded)
-    for i in range(3):
-        out = hosts.adapt(state, {"t": i, "status": 429, "seconds": 1, "transport": None}, bounded)
-    assert out["phase"] == "aborted"
-
-
-def test_leases():
-    state = hosts.new_article()
-    do = lambda t, kind, o="a", **k: hosts.lease(state, {"t": t, "kind": kind, "owner": o, "token": o, "result": "r", "bytes": 5} | k)
-    assert do(0, "claim")["ok"] and not do(1, "claim", "b")["ok"]
-    assert not do(2, "complete", "b")["ok"]
-    assert do(601, "claim", "b")["ok"] and not do(602, "renew", "a")["ok"]
-    assert do(603, "complete", "b") == {"state": "done", "ok": True, "delta": 5}
-    assert do(604, "complete", "b") == {"state": "done", "ok": True, "delta": 0}
-    assert not do(605, "complete", "a")["ok"]
-
-
-def test_fold_keeps_order(spark):
-    rows = spark.createDataFrame([(k, t) for k in "ab" for t in (3, 1, 2)], "k string, t int")
-    out = fold.fold(rows, "k", ["t"], lambda: {"s": ""}, lambda s, e: s.update(s=s["s"] + str(e["t"])) or {"k": e["k"], "s": s["s"]}, "k string, s string")
-    assert {r["k"]: r["s"] for r in out.where("length(s) = 3").collect()} == {"a": "123", "b": "123"}
+def test_extraction(spark):
+    def read(html):
+        return pages.extract_pages(spark.createDataFrame([(1, html)], "page_id int, html string")).first()
+
+    assert read("")["quality"] == read(None)["quality"] == "missing"
+    whole = read(_page(f"<nav><p>menu</p></nav><article>{LONG}</article><!-- <p>no</p> -->", "<title>Site</title>"))
+    assert whole["quality"] == "candidate" and whole["method"] == "single article element" and whole["title"] == "Title" and whole["n_paragraphs"] == 12
+    wall = read(_page(f"<article>{LONG}<p>Subscribe to read this article</p></article>"))
+    assert wall["quality"] == "partial" and wall["reason"] == "paywall"
+    assert read(_page(f"<aside>{LONG}</aside>"))["quality"] == "missing"
+    assert read("<title>Access denied</title>" + LONG)["reason"] == "challenge or error page"
+    assert read(_page("<article><p>card</p></article>" * 9))["reason"] == "listing"
+    text = read("<p>a &amp; b&nbsp;<b>c</b><p>&lt;d&gt;</p> outside <P class='x'>e\n f")["text"]
+    assert text == "a & b c\n\n<d>\n\ne f"
+
+
+def test_pacing(spark):
+    rows = spark.createDataFrame([("a", 0), ("a", 1), ("a", 2), ("a", 40), ("b", 7)], "host string, t long")
+    got = {(r["host"], r["t"]): (r["start"], r["wait"]) for r in pacing.starts(rows, "host", F.col("t"), ["t"], 10).collect()}
+    assert got == {("a", 0): (0, 0), ("a", 1): (10, 9), ("a", 2): (20, 18), ("a", 40): (40, 0), ("b", 7): (7, 0)}
+    events = spark.createDataFrame([("x", 1, "claim", "a"), ("x", 2, "complete", "a"), ("x", 3, "renew", "b"), ("x", 4, "release", "a"), ("x", 5, "complete", "a"), ("x", 6, "claim", "b"), ("x", 30, "renew", "b"), ("x", 31, "claim", "c")], "article string, t long, kind string, owner string")
+    got = [(r["holder"], r["ok"]) for r in pacing.leases(events, "article", F.col("t"), ["t"], 10).orderBy("t").collect()]
+    assert got == [(None, True), ("a", True), ("a", False), ("a", True), (None, False), (None, True), (None, False), (None, True)]
+
+
+def test_runs_over_pieces(spark):
+    """Pieces of any size give what one window a key gives."""
+    rows = spark.createDataFrame([(None if i % 9 == 0 else f"k{i % 2}", i, None if i % 10 == 3 else i % 7 in (1, 2, 3)) for i in range(120)], "key string, t long, hit boolean")
+    from pyspark.sql import Window
+
+    whole = collection.streaks(rows, "key", F.col("hit"), ["t"], F.lit(0))
+    for size in (1, 4, 50):
+        piece = F.floor(F.col("t") / size)
+        assert sorted(map(tuple, collection.streaks(rows, "key", F.col("hit"), ["t"], piece).collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+        got = {r["t"]: r["last"] for r in collection.rolling(rows, "key", "t", 4, ["t"], piece).collect()}
+        want = {r["t"]: r["x"] for r in rows.select("t", F.collect_list("t").over(Window.partitionBy("key").orderBy("t").rowsBetween(-3, 0)).alias("x")).collect()}
+        assert got == want
+    assert {r["streak"] for r in whole.where("t in (0, 7, 21)").collect()} == {0}
+
+
+def test_gzip_files(spark, tmp_path):
+    import gzip
+
+    one = gzip.compress(b"hello ")
+    for name, data in {"two.gz": one + gzip.compress(b"world"), "short.gz": one[:-6], "plain.txt": b"plain", "large.gz": gzip.compress(b"x" * 1000), "bad.gz": one + b"rubbish"}.items():
+        (tmp_path / name).write_bytes(data)
+    got = {r["path"].rsplit("/", 1)[1]: (r["text"], r["error"]) for r in files.bounded_texts(spark, str(tmp_path), 100).collect()}
+    assert got["two.gz"] == ("hello world", None) and got["plain.txt"] == ("plain", None)
+    assert got["short.gz"][0] is None and "ends" in got["short.gz"][1] and got["large.gz"] == (None, "larger than the limit") and got["bad.gz"][1]
+
+
+def test_caches_and_checkpoints(spark, tmp_path):
+    import json
+
+    for i, n in enumerate((2, 3)):
+        (tmp_path / f"p{i}.json").write_text(json.dumps({"country": "KE", "fields": ["url", "countries"], "rows": [[f"u{i}{k}", ["KE"]] for k in range(n)]}))
+    assert files.json_cache(spark, str(tmp_path), expected=5, rows_of={"p0.json": 2, "p1.json": 3}).count() == 5
+    with pytest.raises(ValueError, match="p1.json"):
+        files.json_cache(spark, str(tmp_path), rows_of={"p0.json": 2, "p1.json": 4})
+    log = str(tmp_path / "log")
+    for i in (1, 2):
+        files.append_checkpoints(spark.createDataFrame([(i, "x")], "id long, more string"), log)
+    assert {r["id"] for r in files.checkpoints(spark, log, "id long").collect()} == {1, 2}
+    assert [r["value"] for r in export.jsonl(spark.createDataFrame([(1, "a")], "n int, s string")).collect()] == ['{"n":1,"s":"a"}']
+
+
+def test_days_are_skipped_by_folder(spark, tmp_path):
+    rows = spark.range(400).select("id", (F.col("id") % 5).alias("k"), F.timestamp_seconds(F.col("id") * 20_000).alias("at"))
+    tables.write_by_day(rows, str(tmp_path / "t"), "at", ["k"], files=2)
+    some = tables.read_days(spark, str(tmp_path / "t"), date(1970, 1, 3), date(1970, 1, 5))
+    assert some.count() == rows.where("date(at) between '1970-01-03' and '1970-01-05'").count() > 0
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "1970-01-05)], PushedFilters: []" in plan
+
+
+def test_index_is_rebuilt_when_counts_differ(spark):
+    rows = spark.createDataFrame([("a", "done", "saved", "u", 1000), ("b", "done", "partial", "u", 1000), ("c", "ready", "saved", "u", 1000), ("d", "done", "saved", "u", 2000)], "url string, state string, status string, result_uri string, s long").withColumn("updated_at", F.timestamp_seconds("s"))
+    mark = __import__("datetime").datetime(1970, 1, 1, 0, 33, 0)
+    old = spark.createDataFrame([("a", "saved"), ("c", "saved")], "url string, status string")
+    read = lambda df: {r["url"]: r["status"] for r in df.collect()}
+    assert read(collection.refresh_index(old, rows, mark, 3)) == {"a": "saved", "c": "saved", "d": "saved"}  # the merge alone
+    assert read(collection.refresh_index(old, rows, mark, 4)) == {"a": "saved", "b": "partial", "d": "saved"}  # built anew
+    assert read(collection.refresh_index(None, rows, mark, 0)) == {"a": "saved", "b": "partial", "d": "saved"}
+
+
+def test_domains_and_links(spark):
+    def domain(url, **k):
+        return spark.range(1).select(classify.registrable_domain(F.lit(url), **k).alias("x")).first()["x"]
+
+    assert [domain(f"https://{h}/x") for h in ("www.a.co.ke", "a.co.ke", "co.ke", "b.news.com", "www.a.com.au", "x.org", "localhost")] == ["a.co.ke", "a.co.ke", "co.ke", "news.com", "a.com.au", "x.org", None]
+    suffixes, exceptions = classify.public_suffixes(["// list", "com", "co.ke", "*.ck", "!www.ck", "city.jp"])
+    assert (suffixes, exceptions) == (("city.jp", "co.ke"), ("www.ck",))
+    assert domain("https://x.a.city.jp/", suffixes=suffixes) == "a.city.jp" and domain("https://x.a.com.au/", suffixes=suffixes) == "com.au"
+
+    def page(url, link):
+        return spark.range(1).select(urls.other_page(F.lit(url), F.lit(link)).alias("x")).first()["x"]
+
+    assert page("https://a.ke/n/story", "/n/other-story") == "https://a.ke/n/other-story" and page("https://a.ke/n/story", "second") == "https://a.ke/n/second"
+    assert page("https://a.ke/n/story", "https://b.ke/n/other") is None and page("https://a.ke/n/story", "/n") is None and page("https://a.ke/n/story", "story") is None
+    assert page("https://a.ke/n/story", "//a.ke/n/third1") == "https://a.ke/n/third1" and page("https://a.ke/n/story", "?p=2") == "https://a.ke/n/story?p=2"
+    assert [spark.range(1).select(urls.normal_host(F.lit(x)).alias("x")).first()["x"] for x in (" A.ke. ", "a b", "", "x/y")] == ["a.ke", None, None, None]
+    evidence = lambda uri, run="r.1": spark.range(1).select(urls.evidence_path(F.lit(uri), "b", F.lit(run), F.lit("art")).alias("x")).first()["x"]
+    assert evidence("gs://b/runs/r.1/results/art/x.json.gz") and not evidence("gs://b/runs/rX1/results/art/x.json") and not evidence("gs://b/runs/r.1/results/art/x/y.json")
+
+
+def test_lineage_needs_a_shared_folder_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from presswork.plans import lineage
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        lineage.shared_dir(far)
+    assert lineage.shared_dir(spark)
 
 
 def test_stream_equals_batch(spark):
@@ -248,20 +295,21 @@ def test_stream_equals_batch(spark):
     assert {(r["outlet"], r["status"]): r["articles"] for r in stateful.stream_latest(spark, rows).collect()} == {("o", "partial"): 2}
 
 
-def test_machine_stream_equals_fold(spark, tmp_path):
+def test_machine_stream(spark, tmp_path):
     from presswork.streaming import stateful
 
-    rows = [(f"h{i % 3}", float(i), "ask" if i % 4 else "cooldown", f"o{i}", 1.0) for i in range(60)]
-    events = spark.createDataFrame(rows, "host string, t double, kind string, owner string, value double")
+    rows = [(f"h{i % 3}", float(i), "claim" if i % 4 else "complete", f"o{i % 5}") for i in range(90)]
+    events = spark.createDataFrame(rows, "host string, t double, kind string, owner string")
     events.write.parquet(str(tmp_path / "in"))
-    step = lambda s, e: {"host": e["host"], "t": e["t"]} | hosts.permit(s, e)
-    schema = "host string, t double, admitted boolean, wait double, active int"
+    step = lambda s, e: {"host": e["host"]} | pacing.grant(s, e, 7.0)
     stateful.use_rocksdb(spark)
     stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
-    folder = stateful.run_to_table(stateful.machine(stream, "host", ["t"], hosts.new_host, step, schema), "m", str(tmp_path / "log"), "append")
-    got = spark.read.parquet(folder).drop("batch").collect()
-    want = fold.fold(events, "host", ["t"], hosts.new_host, step, schema).collect()
-    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 60
+    folder = stateful.run_to_table(stateful.machine(stream, "host", ["t"], dict, step, "host string, t double, ok boolean"), "m", str(tmp_path / "log"), "append")
+    got = {(r["host"], r["t"]): r["ok"] for r in spark.read.parquet(folder).collect()}
+    want, states = {}, {}
+    for host, at, kind, owner in rows:
+        want[host, at] = pacing.grant(states.setdefault(host, {}), {"t": at, "kind": kind, "owner": owner}, 7.0)["ok"]
+    assert got == want and len(got) == 90 and {True, False} == set(got.values())
 
 
 def test_packing_and_manifest(spark):
