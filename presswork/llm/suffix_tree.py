@@ -17,9 +17,10 @@ A token's probability is that of its symbols, smoothed with its frequency among
 training tokens: WORDS parts of count over all, the rest the tree's; words never seen
 have the tree's part alone. Both are distributions over tokens, and so is the mixture.
 
-By PMIN the model has at most DEPTH / PMIN entries however large the corpus is, and far
-fewer in practice; should more than MAX_ENTRIES be left, PMIN is doubled until they are
-not, so that the driver's work and the broadcast stay bounded.
+PMIN is the only bound: every context and symbol that reaches it is kept, at most 1 / PMIN of
+each depth however large the corpus is, and far fewer in practice, which bounds the driver's
+work and the broadcast. A share of all symbols is the usual least probability of suffix
+trees; the table of word counts has no bound and grows with the corpus.
 
 The base model needs every token's count. The most frequent words, HEAD at most, are
 broadcast; the other tokens' hashes leave the scoring pass beside the scores and are
@@ -46,7 +47,7 @@ from presswork.llm.base import remainder, small_batches
 from presswork.plans.lineage import cut
 
 DEPTH, PMIN, DIVERGENCE, DISCOUNT, PRIOR = 6, 2e-7, 0.001, 1.0, 10.0
-MAX_ENTRIES, HEAD = 4_000_000, 1 << 18
+HEAD = 1 << 18
 #: The part of word frequencies in a token's probability.
 WORDS = 0.2
 #: Symbols handled at once, and keys that a partition's counts hold before they are merged.
@@ -205,22 +206,31 @@ def train(docs: DataFrame, pmin: float = PMIN) -> dict:
     counts = cut(statistics(docs))
     words, raw = counts.where("kind = 0").select("key", "n"), counts.where("kind = 1")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    levels = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), F.col("key").bitwiseAND(F.lit(_mask(d + 1))).alias("edge")) for d in range(DEPTH + 1)]))
-    edges = cut(raw.select(levels.alias("x"), "n").groupBy("x.depth", "x.edge").agg(F.sum("n").alias("n")))
+    # each depth's counts are the next deeper one's, folded over its farthest symbol
+    levels = {DEPTH: raw.select(F.col("key").alias("edge"), "n")}
+    for d in range(DEPTH - 1, -1, -1):
+        levels[d] = cut(levels[d + 1].groupBy(F.col("edge").bitwiseAND(F.lit(_mask(d + 1))).alias("edge")).agg(F.sum("n").alias("n")))
     single = np.zeros(256)
-    for r in edges.where("depth = 0").collect():  # 256 rows at most
+    for r in levels[0].collect():  # 256 rows at most
         single[r["edge"]] = r["n"]
-    total = float(single.sum())
-    contexts = edges.where("depth > 0").groupBy("depth", F.shiftright("edge", 8).alias("context")).agg(F.sum("n").alias("n"))
-    while True:
-        least = max(2.0, math.ceil(pmin * total))
-        if edges.where((F.col("depth") > 0) & (F.col("n") >= least)).count() <= MAX_ENTRIES:
-            break
-        pmin *= 2
-    depth, edge, count = _columns(edges.where((F.col("depth") > 0) & (F.col("n") >= least)), "depth", "edge", "n")
-    cdepth, context, ccount = _columns(contexts.where(F.col("n") >= 2 * least), "depth", "context", "n")
-    by_depth = lambda d, key, x: [(key[k][(o := np.argsort(key[k]))], x[k][o]) for i in range(1, DEPTH + 1) for k in [np.flatnonzero(d == i)]]
-    tree = grow(single, by_depth(depth, edge, count), by_depth(cdepth, context, ccount), least)
+    least = max(2.0, math.ceil(pmin * float(single.sum())))
+    edges, contexts = [], []
+    before = (np.flatnonzero(single), single[single > 0])
+    for d in range(1, DEPTH + 1):
+        # what is followed by a symbol is a context: all that was counted one depth before but
+        # ends, and the start of a text
+        key, count = before
+        some = (count >= 2 * least) & ((key & 255) != 10)
+        start = sum(10 << (8 * i) for i in range(d))
+        texts = [single[10]] if single[10] >= 2 * least else []
+        key, count = np.concatenate([key[some], np.full(len(texts), start, np.int64)]), np.concatenate([count[some], texts]).astype(np.int64)
+        order = np.argsort(key)
+        contexts.append((key[order], count[order]))
+        key, count = _columns(levels[d].where(F.col("n") >= least), "edge", "n")
+        order = np.argsort(key)
+        before = key[order], count[order]
+        edges.append(before)
+    tree = grow(single, edges, contexts, least)
     # the head: the most frequent words, by a threshold that leaves HEAD at most
     step = F.floor(F.log2("n") * 8)
     steps = sorted(((r["step"], r["count"]) for r in words.groupBy(step.alias("step")).count().collect()), reverse=True)  # a few hundred rows
