@@ -10,7 +10,8 @@ a character; bytes are joined before they are read as UTF-8, and ``decode`` carr
 bytes of an unfinished character from one piece to the next.
 
 Long texts are cut where a space or newline follows a character that is none, which no
-match of the pattern crosses, so memory is bounded by a piece, not by a text.
+match of the pattern crosses, so memory is bounded by a piece; a text without such places is
+one piece.
 
 Defined cases: null and empty texts have no tokens; repeated rows are encoded alike; an
 empty table gives an empty result; other columns are ignored. The model goes to the
@@ -137,15 +138,17 @@ def _coder(shared) -> Coder:
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the cores
+    tokens, built, digest = shared.value
     cached = globals().get("_loaded")
-    if not cached or cached[0] != shared.value[1][:64] + str(len(shared.value[1])):
-        cached = globals()["_loaded"] = (shared.value[1][:64] + str(len(shared.value[1])), Coder(*shared.value))
+    if not cached or cached[0] != digest:
+        cached = globals()["_loaded"] = (digest, Coder(tokens, built))
     return cached[1]
 
 
 def shared_model(spark: SparkSession, path: str, pattern: str):
     tokens = read_ranks(path)
-    return spark.sparkContext.broadcast((tokens, model(tokens, pattern)))
+    built = model(tokens, pattern)
+    return spark.sparkContext.broadcast((tokens, built, hashlib.sha256(built.encode()).hexdigest()))
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:

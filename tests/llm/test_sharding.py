@@ -1,6 +1,9 @@
+import math
+import struct
 import zlib
 from collections import Counter
 
+import xxhash
 from pyspark.sql import functions as F
 
 from presswork.llm import sharding
@@ -24,6 +27,18 @@ def test_law(make, odd):
         assert places.setdefault(r["doc_id"], r["shard"]) == r["shard"]
 
 
+def test_winner_equals_brute_force(make, odd):
+    def bid(key, j):
+        first = xxhash.xxh64_intdigest(key.encode(), 42)
+        u = ((xxhash.xxh64_intdigest(struct.pack("<i", j), first) >> 11) + 0.5) / 2**53
+        return -1 / math.log(u)
+
+    for r in sharding.assign(make(odd + [(i, "t") for i in range(500)]), [1.0] * 16).collect():
+        key = "null" if r["doc_id"] is None else str(r["doc_id"])
+        bids = [bid(key, j) for j in range(17)]
+        assert r["shard"] == max(range(16), key=bids.__getitem__) and r["grown_shard"] == max(range(17), key=bids.__getitem__)
+
+
 def test_weights_and_growth(spark):
     df = spark.range(20_000).select(F.col("id").alias("k"), F.lit(1).alias("bids"), F.lit(2).alias("shard_"))
     four = sharding.shards(df, "k", [1, 1, 2, 4])
