@@ -9,8 +9,9 @@ Templates are of two kinds, and each has windows that suit it:
   TEXT_BANDS bands of TEXT_ROWS MinHash values each are compared with those of the template's
   windows, cut at every offset. Where a template's CONTAINMENT is reached, some window has that
   share of its shingles in common with the template's window beside it, a similarity of 2/3 at
-  0.8: it collides with probability 1 - (1 - (2/3)**2)**8 = 0.99, and a text has a window for
-  every TEXT_STRIDE shingles. Verified is the share of the template's distinct shingles that
+  0.8: it collides with probability 1 - (1 - (2/3)**2)**4 = 0.905. The shortest text has two
+  windows, one of which collides with 0.99, and each TEXT_STRIDE shingles more add one: 0.9999
+  for four. Verified is the share of the template's distinct shingles that
   the document holds; first_word is where the first of them stands.
 * notices, which may be one shingle long. A window holds WIDTH shingles and starts at each.
   Bands are single MinHash values, as a window with one shingle of a template in common
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHINGLE, WIDTH, BANDS, CONTAINMENT = 5, 2, 10, 0.8
-LONG, TEXT_WIDTH, TEXT_STRIDE, TEXT_BANDS, TEXT_ROWS = 48, 32, 16, 8, 2
+LONG, TEXT_WIDTH, TEXT_STRIDE, TEXT_BANDS, TEXT_ROWS = 48, 32, 16, 4, 2
 #: Shingles of notices and of texts that one pass looks for.
 PER_PASS = {"notices": 4_000, "texts": 100_000}
 
