@@ -59,7 +59,7 @@ _END = xxhash.xxh64_intdigest(b"")
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 400_000:
             self.clear()
         found = self[word] = xxhash.xxh64_intdigest(word)
         return found
@@ -78,12 +78,13 @@ def symbols(words: list[bytes]) -> bytes:
 
 
 def grams(stream: bytes, at: int = 0, n: int | None = None) -> np.ndarray:
-    """Each symbol from `at` on with the DEPTH before it, as a number."""
+    """Each symbol from `at` on and the DEPTH before it, nearest first, as the bytes of a
+    number: the key of a shorter context is the number shifted right, which keeps the order."""
     total = len(stream) - DEPTH
     n = total - at if n is None else min(n, total - at)
     data = np.frombuffer(stream, np.uint8)[at : at + n + DEPTH].astype(np.int64)
     out = np.zeros(n, np.int64)
-    for j in range(DEPTH + 1):
+    for j in range(DEPTH, -1, -1):
         out = (out << 8) | data[j : j + n]
     return out
 
@@ -149,7 +150,8 @@ def statistics(docs: DataFrame) -> DataFrame:
         for tally in tallies:
             yield from tally.out()
 
-    return docs.select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    # tallies have merged what a task holds: dealt out first, keys are not hashed again before they move
+    return docs.select("text").mapInArrow(run, "kind int, key long, n long").repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
@@ -160,38 +162,47 @@ def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: flo
     return np.where(keys[at] == wanted, values[at], default)
 
 
-def probabilities(model: dict, found: np.ndarray, upto: int = DEPTH) -> np.ndarray:
-    """The probability of each gram's last symbol after its longest state of upto symbols or
-    fewer. Each depth looks up its distinct grams alone, in order."""
-    upto = min(upto, len(model["levels"]))
-    if not upto:
-        return model["single"][found & 255]
-    edge, back = np.unique(found & _mask(upto + 1), return_inverse=True)
-    states, left, edges, share = model["levels"][upto - 1]
-    return (_look(edges, share, edge, 0.0) + _look(states, left, edge >> 8, 1.0) * probabilities(model, edge, upto - 1))[back]
+def probabilities(model: dict, found: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """The probability of each key's symbol after its longest state; keys of that depth."""
+    edge, back = np.unique(found, return_inverse=True)
+    return _in_order(model, edge, depth)[back]
 
 
-def grow(single: np.ndarray, edges: list[tuple[np.ndarray, np.ndarray]], contexts: list[tuple[np.ndarray, np.ndarray]], least: float) -> dict:
-    """The tree from the counts of single symbols and, for each depth, of the (context,
-    symbol) pairs counted `least` times or more and of the contexts counted twice that; all
-    sorted by key."""
+def _in_order(model: dict, edge: np.ndarray, depth: int) -> np.ndarray:
+    """The same for sorted keys: those of each shorter depth are sorted too."""
+    if not depth or not len(edge):
+        return model["single"][edge]
+    short = edge >> 8
+    first = np.concatenate([[True], short[1:] != short[:-1]])
+    lower = _in_order(model, short[first], depth - 1)[np.cumsum(first) - 1]
+    states, left, edges, share = model["levels"][depth - 1]
+    return _look(edges, share, edge, 0.0) + _look(states, left, edge & _mask(depth), 1.0) * lower
+
+
+def grow(single: np.ndarray, edges: list[tuple[np.ndarray, np.ndarray]], contexts: list[tuple[np.ndarray, np.ndarray]]) -> dict:
+    """The tree from the counts of single symbols and, for each depth, of the (symbol,
+    context) keys that are frequent enough and of the contexts; contexts sorted."""
     n = single.sum()
     model: dict = {"single": (single + 0.01) / (n + 2.56), "levels": []}
     for depth, ((edge, count), (context, total)) in enumerate(zip(edges, contexts, strict=True), 1):
-        of = _look(context, total.astype(float), edge >> 8, 0.0)
+        order = np.argsort(edge & _mask(depth), kind="stable")
+        edge, count = edge[order], count[order]
+        of = _look(context, total.astype(float), edge & _mask(depth), 0.0)
         edge, count, of = edge[of > 0], count[of > 0], of[of > 0]
+        after = edge & _mask(depth)
         share = np.maximum(count - DISCOUNT, 0) / (of + PRIOR)
-        start = np.searchsorted(edge >> 8, context)
-        stop = np.searchsorted(edge >> 8, context, side="right")
+        start, stop = np.searchsorted(after, context), np.searchsorted(after, context, side="right")
         ratio = count / of
-        gain = ratio * np.log(ratio / probabilities(model, edge, depth - 1))
+        gain = ratio * np.log(ratio / probabilities(model, edge >> 8, depth - 1))
         sums = np.concatenate([[0.0], np.cumsum(gain)])
         mass = np.concatenate([[0.0], np.cumsum(share)])
         keep = (sums[stop] - sums[start] >= DIVERGENCE) & (stop > start)
         left = np.clip(1 - (mass[stop] - mass[start]), 1e-9, 1.0)[keep]
         states = context[keep]
-        mine = _look(states, np.ones(len(states)), edge >> 8, 0.0) > 0
-        model["levels"].append((states, left, edge[mine], share[mine]))
+        mine = _look(states, np.ones(len(states)), after, 0.0) > 0
+        edge, share = edge[mine], share[mine]
+        order = np.argsort(edge)
+        model["levels"].append((states, left, edge[order], share[order]))
     return model
 
 
@@ -209,7 +220,7 @@ def train(docs: DataFrame, pmin: float = PMIN) -> dict:
     # each depth's counts are the next deeper one's, folded over its farthest symbol
     levels = {DEPTH: raw.select(F.col("key").alias("edge"), "n")}
     for d in range(DEPTH - 1, -1, -1):
-        levels[d] = cut(levels[d + 1].groupBy(F.col("edge").bitwiseAND(F.lit(_mask(d + 1))).alias("edge")).agg(F.sum("n").alias("n")))
+        levels[d] = cut(levels[d + 1].groupBy(F.shiftright("edge", 8).alias("edge")).agg(F.sum("n").alias("n")))
     single = np.zeros(256)
     for r in levels[0].collect():  # 256 rows at most
         single[r["edge"]] = r["n"]
@@ -217,20 +228,18 @@ def train(docs: DataFrame, pmin: float = PMIN) -> dict:
     edges, contexts = [], []
     before = (np.flatnonzero(single), single[single > 0])
     for d in range(1, DEPTH + 1):
-        # what is followed by a symbol is a context: all that was counted one depth before but
-        # ends, and the start of a text
+        # a context's key is that of its last symbol after the others: what was counted one
+        # depth before, but for the ends of texts, and the start of a text
         key, count = before
-        some = (count >= 2 * least) & ((key & 255) != 10)
+        some = (count >= 2 * least) & (key >> (8 * (d - 1)) != 10)
         start = sum(10 << (8 * i) for i in range(d))
         texts = [single[10]] if single[10] >= 2 * least else []
         key, count = np.concatenate([key[some], np.full(len(texts), start, np.int64)]), np.concatenate([count[some], texts]).astype(np.int64)
         order = np.argsort(key)
         contexts.append((key[order], count[order]))
-        key, count = _columns(levels[d].where(F.col("n") >= least), "edge", "n")
-        order = np.argsort(key)
-        before = key[order], count[order]
-        edges.append(before)
-    tree = grow(single, edges, contexts, least)
+        before = _columns(levels[d].where(F.col("n") >= least), "edge", "n")
+        edges.append(tuple(before))
+    tree = grow(single, edges, contexts)
     # the head: the most frequent words, by a threshold that leaves HEAD at most
     step = F.floor(F.log2("n") * 8)
     steps = sorted(((r["step"], r["count"]) for r in words.groupBy(step.alias("step")).count().collect()), reverse=True)  # a few hundred rows

@@ -87,7 +87,7 @@ def test_distribution_sums_to_one(make):
     tree = suffix_tree.train(docs)["tree"]
     contexts = suffix_tree.grams(suffix_tree.symbols(words("abc abq zzz")))
     for g in contexts:
-        every = (int(g) >> 8 << 8) | np.arange(256)
+        every = (int(g) & suffix_tree._mask(suffix_tree.DEPTH)) | (np.arange(256) << 8 * suffix_tree.DEPTH)
         assert abs(suffix_tree.probabilities(tree, every).sum() - 1) < 1e-9
 
 
