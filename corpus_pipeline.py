@@ -6,8 +6,15 @@ near      of each group of near-duplicate rows the one with the smallest doc_id
 mix       rows are repeated or left out to balance the sources
 encode    every remaining row's text as byte-level BPE tokens, with digests
 
-All stages but the last return the columns of documents, extra ones too. The classifier
-learns from labels and from the documents that it is given.
+All stages but the last return the columns of documents, extra ones too, whatever their
+names. The classifier learns from labels and from the documents that it is given.
+
+Defined cases, stage by stage: null and empty texts score the prior of the labels in the
+quality stage and stay where that is 0.5 or more; they are equal texts in the exact stage, of
+which one stays; they are near nothing; they have no tokens. A null doc_id loses
+against any other of an equal text, is near nothing and is mixed as any other row. Rows that repeat whole
+are copies: one stays. Of texts that tie the smallest doc_id stays. An empty table goes
+through every stage as an empty table.
 """
 
 from __future__ import annotations
