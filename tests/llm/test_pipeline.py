@@ -49,3 +49,18 @@ def test_queries_are_whole(spark, small):
     n = spark.read.parquet(f"{small}/documents.parquet").count()
     for name in ("op4_suffix_tree_scores", "op6_quality_classifier", "op7_bpe_round_trip", "op8_rendezvous_shards", "op9_toxicity"):
         assert found[name](spark, small).count() == n
+
+
+def test_stages_on_odd_and_empty_tables(make, odd, spark, small):
+    import corpus_pipeline
+
+    for docs in (make(odd), make([])):
+        columns, n = docs.columns, docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            docs = cut(stage(spark, docs, small))
+            assert name == "encode" or docs.columns == columns
+            ids = Counter(r["doc_id"] for r in docs.select("doc_id").collect())
+            if name in ("exact", "near"):
+                assert max(ids.values(), default=1) == 1
+                assert sum(ids.values()) <= n
+        assert (n == 0) == (sum(ids.values()) == 0)
