@@ -1,40 +1,40 @@
 """Language-model scores from a probabilistic suffix tree.
 
 Tokens are words between runs of [\\x20\\x09-\\x0D] (A-Z lower-cased) and one end for each
-text. The tree's symbols are the bytes of those tokens, a space after each word and a
-newline for the end, so the probability of the symbols is that of the tokens. A context
-is the 1 to DEPTH symbols before the next one (newlines before the first).
+text. They are the tree's symbols, and a context is the start of a text or a word, and the
+token after it, CONTEXTS symbols at most. A token's own distribution is that of the empty context:
+ROOT parts of its share of all training tokens, and the rest that of its spelling, which
+a second tree of the same kind gives: its symbols are a word's bytes and a newline, its
+contexts the 1 to DEPTH bytes before the next one (newlines before the first).
 
 Training counts every context with its next symbol over all texts that are not held out.
-A context is a state if it makes up PMIN of all symbols twice over and its next-symbol
+A context is a state if it occurs twice as often as `least` asks for, and its next-symbol
 distribution diverges from its longest shorter state's by DIVERGENCE nats or more. A
-state's distribution gives each next symbol seen in PMIN of all symbols its count less
+state's distribution gives each next symbol seen `least` times its count less
 DISCOUNT, over the state's count and PRIOR, and spreads what is left as the shorter state
-does, down to smoothed single symbols. A symbol is scored by the longest suffix
-of what precedes it that is a state.
+does, down to the empty context. A symbol is scored by the longest suffix of what precedes it
+that is a state. All are distributions over tokens.
 
-A token's probability is that of its symbols, smoothed with its frequency among the
-training tokens: WORDS parts of count over all, the rest the tree's; words never seen
-have the tree's part alone. Both are distributions over tokens, and so is the mixture.
+`least` is KEEP times the symbols of the corpus to the power 2/3, and 2 at least: states are
+at most the cube root of the symbols over KEEP for each depth, so that they grow with the corpus
+but stay small enough for the driver and a broadcast (at 100 TB, 5 * 10**8 were every
+one of them as rare as that allows). No context is counted but those that the depth before
+has shown to be frequent enough, which leaves out nothing that could become a state.
 
-PMIN is the only bound: every context and symbol that reaches it is kept, at most 1 / PMIN of
-each depth however large the corpus is, and far fewer in practice, which bounds the driver's
-work and the broadcast. A share of all symbols is the usual least probability of suffix
-trees; the table of word counts has no bound and grows with the corpus.
-
-The base model needs every token's count. The most frequent words, HEAD at most, are
-broadcast; the other tokens' hashes leave the scoring pass beside the scores and are
-joined with the whole table of counts.
+Words that occur `least` times are broadcast with their counts. The other tokens' hashes leave
+the scoring pass beside the score of their spelling and are joined with the table of all
+words' counts, which has no bound and grows with the corpus.
 
 Defined cases: null and empty texts are one end; repeated rows are scored (and counted)
 each; null ids count as the empty text for the held-out rule; without training texts all
-single symbols are equally likely; an empty table gives an empty result; other columns
+single bytes are equally likely; an empty table gives an empty result; other columns
 are ignored. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,22 +46,30 @@ from pyspark.sql import functions as F
 from presswork.llm.base import remainder, small_batches
 from presswork.plans.lineage import cut
 
-DEPTH, PMIN, DIVERGENCE, DISCOUNT, PRIOR = 6, 2e-7, 0.001, 1.0, 10.0
-HEAD = 1 << 18
-#: The part of word frequencies in a token's probability.
-WORDS = 0.2
-#: Symbols handled at once, and keys that a partition's counts hold before they are merged.
+DEPTH, DIVERGENCE, DISCOUNT, PRIOR = 6, 0.001, 1.0, 10.0
+#: Words of a context, and what is taken off counts of words and added to their contexts'.
+CONTEXTS, WORD_DISCOUNT, WORD_PRIOR = 2, 0.75, 4.0
+#: See `least`.
+KEEP = 5e-5
+#: The part of word frequencies in a token's own probability.
+ROOT = 0.3
+#: Bytes handled at once, and keys that a partition's counts hold before they are merged.
 AT_ONCE, TALLIED = 1 << 20, 1 << 21
+#: Different words, and characters, that a partition counts before it hands words on.
+COUNTED, READ = 400_000, 128 << 20
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_END = xxhash.xxh64_intdigest(b"")
 
 
 class _Hashes(dict):
+    """Spark's xxhash64 of words."""
+
     def __missing__(self, word: bytes) -> int:
         if len(self) > 400_000:
             self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
+        found = xxhash.xxh64_intdigest(word, 42)
+        if len(word) <= 64:
+            self[word] = found
         return found
 
 
@@ -72,9 +80,9 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
 
 
-def symbols(words: list[bytes]) -> bytes:
-    """The symbols of a text, after the newlines that stand before its first."""
-    return b"\n" * DEPTH + b" ".join([*words, b"\n"])
+def least(symbols: float) -> float:
+    """How often a symbol must follow a context in a corpus of so many."""
+    return max(2.0, math.ceil(KEEP * symbols ** (2 / 3)))
 
 
 def grams(stream: bytes, at: int = 0, n: int | None = None) -> np.ndarray:
@@ -97,11 +105,11 @@ class Tally:
     """Counts of keys within a partition: sorted runs that are merged when they hold
     TALLIED keys, and handed on when merging no longer helps."""
 
-    def __init__(self, kind: int):
-        self.kind, self.raw, self.waiting, self.runs, self.held = kind, [], 0, [], 0
+    def __init__(self):
+        self.raw, self.waiting, self.runs, self.held = [], 0, [], 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.raw.append(keys)
+    def add(self, keys: np.ndarray, n: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        self.raw.append((keys, np.ones(len(keys), np.int64) if n is None else n))
         self.waiting += len(keys)
         if self.waiting >= AT_ONCE:
             self._sort()
@@ -112,16 +120,20 @@ class Tally:
 
     def _sort(self) -> None:
         if self.waiting:
-            keys, n = np.unique(np.concatenate(self.raw), return_counts=True)
-            self.runs.append((keys, n.astype(np.int64)))
-            self.raw, self.waiting, self.held = [], 0, self.held + len(keys)
+            self.runs.append(self._summed(self.raw))
+            self.raw, self.waiting, self.held = [], 0, self.held + len(self.runs[-1][0])
 
     def _merge(self) -> None:
-        keys, n = (np.concatenate([r[i] for r in self.runs]) for i in (0, 1))
+        self.runs = [self._summed(self.runs)]
+        self.held = len(self.runs[0][0])
+
+    @staticmethod
+    def _summed(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, n = (np.concatenate([r[i] for r in runs]) for i in (0, 1))
         order = np.argsort(keys, kind="stable")
         keys, n = keys[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        self.runs, self.held = [(keys[first], np.add.reduceat(n, first))], len(first)
+        return keys[first], np.add.reduceat(n, first)
 
     def out(self) -> Iterator[pa.RecordBatch]:
         self._sort()
@@ -130,28 +142,79 @@ class Tally:
         self._merge()
         (keys, n), self.runs, self.held = self.runs[0], [], 0
         for at in range(0, len(keys), 1 << 18):
-            some = keys[at : at + (1 << 18)]
-            yield pa.record_batch([pa.array(np.full(len(some), self.kind, np.int32)), pa.array(some), pa.array(n[at : at + (1 << 18)])], names=["kind", "key", "n"])
+            yield pa.record_batch([pa.array(keys[at : at + (1 << 18)]), pa.array(n[at : at + (1 << 18)])], names=["edge", "n"])
+
+
+def _summed(tallied: DataFrame) -> DataFrame:
+    # tallies have merged what a task holds: dealt out first, keys are not hashed again before they move
+    return tallied.repartition("edge").groupBy("edge").agg(F.sum("n").alias("n"))
+
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(key, word, n): the tokens of docs(text), the end as the empty word."""
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """(kind, key, n): kind 0 counts words by hash, kind 1 symbols with what precedes them;
-    over the rows that are not held out, docs(text)."""
+    def out(counts: Counter) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies = Tally(0), Tally(1)
+        counts: Counter = Counter()
+        read = 0
         for _, texts in small_batches(batches, limit=AT_ONCE):
+            read += sum(map(len, texts))
             for text in texts:
-                found = tokens(text)
-                yield from tallies[0].add(np.fromiter(map(_hashes.__getitem__, [*found, b""]), np.uint64, len(found) + 1).view(np.int64))
-                stream = symbols(found)
-                for at in range(0, len(stream) - DEPTH, AT_ONCE):
-                    yield from tallies[1].add(grams(stream, at, AT_ONCE))
-        for tally in tallies:
-            yield from tally.out()
+                counts.update(tokens(text))
+            counts[b""] += len(texts)
+            if len(counts) >= COUNTED or read >= READ:
+                yield out(counts)
+                counts.clear()
+                read = 0
+        yield out(counts)
 
-    # tallies have merged what a task holds: dealt out first, keys are not hashed again before they move
-    return docs.select("text").mapInArrow(run, "kind int, key long, n long").repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    keyed = docs.select("text").mapInArrow(run, "word binary, n long").select(F.xxhash64("word").alias("key"), "word", "n")
+    return keyed.repartition("key").groupBy("key", "word").agg(F.sum("n").alias("n"))
+
+
+def _spelt(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all symbols of words, one after the other, and how many each word has."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    keys = grams(b"".join(b"\n" * DEPTH + w + b"\n" for w in words))
+    return keys[np.arange(lengths.sum()) + np.repeat(DEPTH * np.arange(len(words)), lengths)], lengths
+
+
+def _few(words: list[bytes]) -> Iterator[slice]:
+    """Parts of about AT_ONCE bytes."""
+    at, size = 0, 0
+    for i, w in enumerate(words):
+        size += len(w) + DEPTH + 1
+        if size >= AT_ONCE:
+            yield slice(at, i + 1)
+            at, size = i + 1, 0
+    if at < len(words):
+        yield slice(at, len(words))
+
+
+def spelling(tree: dict, words: list[bytes]) -> np.ndarray:
+    """The log10 probability of each word's bytes."""
+    found = [np.zeros(0)]
+    for part in _few(words):
+        keys, lengths = _spelt(words[part])
+        found.append(np.add.reduceat(np.log10(probabilities(tree, keys)), np.concatenate([[0], np.cumsum(lengths)[:-1]])))
+    return np.concatenate(found)
+
+
+def byte_counts(words: DataFrame) -> DataFrame:
+    """(edge, n): bytes with those before them, over words(word, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
+        for batch in batches:
+            every, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            for part in _few(every):
+                keys, lengths = _spelt(every[part])
+                yield from tally.add(keys, np.repeat(n[part], lengths))
+        yield from tally.out()
+
+    return _summed(words.select("word", "n").mapInArrow(run, "edge long, n long"))
 
 
 def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
@@ -211,102 +274,163 @@ def _columns(df: DataFrame, *names: str) -> list[np.ndarray]:
     return [found.column(x).to_numpy() for x in names]
 
 
-def train(docs: DataFrame, pmin: float = PMIN) -> dict:
-    """The model of docs(text): tree, counts of all words as a written table, and their
-    totals."""
-    counts = cut(statistics(docs))
-    words, raw = counts.where("kind = 0").select("key", "n"), counts.where("kind = 1")
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+def byte_tree(words: DataFrame) -> dict:
+    """The tree of the bytes of words(word, n)."""
     # each depth's counts are the next deeper one's, folded over its farthest symbol
-    levels = {DEPTH: raw.select(F.col("key").alias("edge"), "n")}
+    levels = {DEPTH: cut(byte_counts(words))}
     for d in range(DEPTH - 1, -1, -1):
         levels[d] = cut(levels[d + 1].groupBy(F.shiftright("edge", 8).alias("edge")).agg(F.sum("n").alias("n")))
     single = np.zeros(256)
     for r in levels[0].collect():  # 256 rows at most
         single[r["edge"]] = r["n"]
-    least = max(2.0, math.ceil(pmin * float(single.sum())))
+    enough = least(float(single.sum()))
     edges, contexts = [], []
     before = (np.flatnonzero(single), single[single > 0])
     for d in range(1, DEPTH + 1):
         # a context's key is that of its last symbol after the others: what was counted one
-        # depth before, but for the ends of texts, and the start of a text
+        # depth before, but for the ends of words, and the start of a word
         key, count = before
-        some = (count >= 2 * least) & (key >> (8 * (d - 1)) != 10)
+        some = (count >= 2 * enough) & (key >> (8 * (d - 1)) != 10)
         start = sum(10 << (8 * i) for i in range(d))
-        texts = [single[10]] if single[10] >= 2 * least else []
-        key, count = np.concatenate([key[some], np.full(len(texts), start, np.int64)]), np.concatenate([count[some], texts]).astype(np.int64)
+        begun = [single[10]] if single[10] >= 2 * enough else []
+        key, count = np.concatenate([key[some], np.full(len(begun), start, np.int64)]), np.concatenate([count[some], begun]).astype(np.int64)
         order = np.argsort(key)
         contexts.append((key[order], count[order]))
-        before = _columns(levels[d].where(F.col("n") >= least), "edge", "n")
+        before = _columns(levels[d].where(F.col("n") >= enough), "edge", "n")
         edges.append(tuple(before))
-    tree = grow(single, edges, contexts)
-    # the head: the most frequent words, by a threshold that leaves HEAD at most
-    step = F.floor(F.log2("n") * 8)
-    steps = sorted(((r["step"], r["count"]) for r in words.groupBy(step.alias("step")).count().collect()), reverse=True)  # a few hundred rows
-    some, floor = 0, None
-    for at, size in steps:
-        some += size
-        if some > HEAD:
-            break
-        floor = at
-    key, count = _columns(words.where(step >= floor) if floor is not None else words.limit(0), "key", "n")
+    return grow(single, edges, contexts)
+
+
+def token_ids(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """The tokens of texts, one after the other: hashes, numbers (-1 for words that are not
+    broadcast), whether they begin a text, how many each text has, and the words without number."""
+    split = [[*tokens(t), b""] for t in texts]
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    words = [w for found in split for w in found]
+    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words)).view(np.int64)
+    ids = _places(model["keys"], hashes)
+    first = np.zeros(len(ids), bool)
+    first[np.cumsum(sizes) - sizes] = True
+    return hashes, ids, first, sizes, [words[i] for i in np.flatnonzero(ids < 0).tolist()]
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each of wanted stands in the sorted keys; -1 if it does not."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.searchsorted(keys, wanted)
+    at[at >= len(keys)] = 0
+    return np.where(keys[at] == wanted, at, -1)
+
+
+def edges_of(model: dict, ids: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each depth, each token's context and its edge there (-1 for none). A context is a
+    number of the depth before: a word's, or that of the start, and then an edge's."""
+    begin = len(model["keys"])
+    context = np.concatenate([[-1], ids[:-1]])
+    context[first] = begin
+    for level in model["levels"]:
+        edge = np.full(len(ids), -1)
+        good = np.flatnonzero((context >= 0) & (ids >= 0))
+        edge[good] = _places(level["edges"], context[good] << 32 | ids[good])
+        yield context, edge
+        context = np.concatenate([[-1], edge[:-1]])
+        context[first] = -1
+
+
+def next_counts(docs: DataFrame, model: dict) -> DataFrame:
+    """(edge, n): the tokens that follow the contexts of the depth that the model lacks."""
+    shared = docs.sparkSession.sparkContext.broadcast({"keys": model["keys"], "frequent": model["frequent"], "levels": [{"edges": level["edges"]} for level in model["levels"]]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally, grown = Tally(), shared.value
+        for _, texts in small_batches(batches, limit=AT_ONCE):
+            _, ids, first, _, _ = token_ids(grown, texts)
+            context, edge = np.concatenate([[-1], ids[:-1]]), ids
+            context[first] = len(grown["keys"])
+            for _, edge in edges_of(grown, ids, first):
+                context = np.concatenate([[-1], edge[:-1]])
+                context[first] = -1
+            # a token that is too rare after the shorter context is so after this one
+            some = (context >= 0) & (edge >= 0)
+            context, ids = context[some], ids[some]
+            often = grown["frequent"][context]
+            yield from tally.add(context[often] << 32 | ids[often])
+        yield from tally.out()
+
+    return _summed(docs.select("text").mapInArrow(run, "edge long, n long"))
+
+
+def train(docs: DataFrame) -> dict:
+    """The model of docs(text): the tree of bytes, that of words, counts of all words as a
+    written table, and their totals."""
+    words = cut(word_counts(docs))
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    spelt, enough = byte_tree(words), least(float(n or 0))
+    tree = docs.sparkSession.sparkContext.broadcast(spelt)
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(spelling(tree.value, batch.column(1).to_pylist()))], names=["key", "n", "log"])
+
+    often = words.where(F.col("n") >= enough).mapInArrow(spell, "key long, n long, log double")
+    key, count, log = _columns(often.groupBy("key").agg(F.sum("n").alias("n"), F.max("log").alias("log")), "key", "n", "log")
     order = np.argsort(key)
-    return {"tree": tree, "words": words, "n": int(n), "v": int(v), "head": (key[order].astype(np.int64), count[order].astype(np.int64))}
+    key, count, log = key[order], count[order], log[order]
+    root = ROOT * count / max(1, n) + (1 - ROOT) * 10.0**log
+    model: dict = {"spelling": spelt, "words": words, "n": int(n), "v": int(v), "keys": key, "counts": count, "root": root, "levels": []}
+    # how often each context of the next depth occurs, and the context that is one word shorter
+    begun = _places(key, np.array([_hashes[b""]], np.uint64).view(np.int64))[0]
+    occurs, shorter = np.concatenate([count, [count[begun] if begun >= 0 else 0]]), None
+    if begun >= 0:
+        occurs[begun] = 0  # nothing follows an end
+    for _ in range(CONTEXTS):
+        model["frequent"] = occurs >= 2 * enough
+        edge, count = _columns(next_counts(docs, model).where(F.col("n") >= enough), "edge", "n")
+        order = np.argsort(edge)
+        edge, count = edge[order], count[order].astype(float)
+        context, word = edge >> 32, edge & ((1 << 32) - 1)
+        if shorter is None:
+            lower, below = word, root[word]
+        else:
+            lower = _places(model["levels"][-1]["edges"], shorter[context] << 32 | word)
+            below = model["levels"][-1]["of_edge"][lower]
+        share = np.maximum(count - WORD_DISCOUNT, 0) / (occurs[context] + WORD_PRIOR)
+        ratio = count / np.maximum(occurs[context], 1)
+        size = len(occurs)
+        kept = np.bincount(context, ratio * np.log(ratio / below), size) >= DIVERGENCE
+        left = np.where(kept, np.clip(1 - np.bincount(context, share, size), 1e-9, 1.0), 1.0)
+        share = np.where(kept[context], share, 0.0)
+        model["levels"].append({"edges": edge, "share": share, "left": left, "of_edge": share + left[context] * below})
+        # an edge is the next depth's context; one word shorter it is this depth's, and without its first word the lower edge
+        occurs, shorter = np.where(word == begun, 0, count), lower
+    del model["frequent"]
+    return model
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of
     docs."""
-    shared = docs.sparkSession.sparkContext.broadcast({"tree": model["tree"], "head": model["head"]})
+    levels = [{x: level[x] for x in ("edges", "share", "left")} for level in model["levels"]]
+    shared = docs.sparkSession.sparkContext.broadcast({**{x: model[x] for x in ("spelling", "keys", "counts", "root")}, "levels": levels})
     below = model["n"] + 0.1 * (model["v"] + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, (keys, counts) = shared.value["tree"], shared.value["head"]
+        m = shared.value
         for part, texts in small_batches(batches, limit=AT_ONCE):
-            n = len(texts)
-            size, known, base, total = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-            rest: list[list[np.ndarray]] = [[] for _ in texts]
-            queue: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-
-            def drain() -> None:
-                if not queue:
-                    return
-                logs = np.log10(probabilities(tree, np.concatenate([q[1] for q in queue])))
-                lengths = np.concatenate([q[2] for q in queue])
-                own = np.add.reduceat(logs, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
-                at = 0
-                for row, _, some, hashes in queue:
-                    tree_log, at = own[at : at + len(some)], at + len(some)
-                    found = _look(keys, counts, hashes, 0)
-                    head = found > 0
-                    plain = np.log10((found[head] + 0.1) / below)
-                    known[row] += head.sum()
-                    base[row] += plain.sum()
-                    total[row] += np.log10(WORDS * 10.0**plain + (1 - WORDS) * 10.0 ** tree_log[head]).sum()
-                    rest[row] += [hashes[~head], tree_log[~head]]
-                queue.clear()
-
-            waiting = 0
-            for row, text in enumerate(texts):
-                words = tokens(text)
-                hashes = np.fromiter(map(_hashes.__getitem__, [*words, b""]), np.uint64, len(words) + 1).view(np.int64)
-                lengths = np.fromiter(map(len, [*words, b""]), np.int64, len(words) + 1) + 1
-                size[row] = len(hashes)
-                stream, ends = symbols(words), np.cumsum(lengths)
-                first = 0
-                while first < len(ends):
-                    began = int(ends[first] - lengths[first])
-                    last = max(first + 1, int(np.searchsorted(ends, began + AT_ONCE, side="right")))
-                    queue.append((row, grams(stream, began, int(ends[last - 1]) - began), lengths[first:last], hashes[first:last]))
-                    waiting += len(queue[-1][1])
-                    first = last
-                    if waiting >= AT_ONCE:
-                        drain()
-                        waiting = 0
-            drain()
-            tail_keys = [np.concatenate(x[::2]) if x else np.zeros(0, np.int64) for x in rest]
-            tail_logs = [np.concatenate(x[1::2]) if x else np.zeros(0) for x in rest]
-            yield pa.record_batch([part.column(0), part.column(2), pa.array(size), pa.array(known), pa.array(base), pa.array(total), pa.array(tail_keys, pa.list_(pa.int64())), pa.array(tail_logs, pa.list_(pa.float64()))], names=["doc_id", "held_out", "n_tokens", "known", "base", "total", "keys", "logs"])
+            hashes, ids, first, sizes, rest = token_ids(m, texts)
+            ends = np.cumsum(sizes)
+            known = ids >= 0
+            p, base = np.ones(len(ids)), np.zeros(len(ids))
+            p[known], base[known] = m["root"][ids[known]], np.log10((m["counts"][ids[known]] + 0.1) / below)
+            for level, (context, edge) in zip(m["levels"], edges_of(m, ids, first), strict=True):
+                after, seen = context >= 0, edge >= 0
+                p[after] *= level["left"][context[after]]
+                p[seen] += level["share"][edge[seen]]
+            by_row = lambda x: np.add.reduceat(x, ends - sizes)  # noqa: B023, E731
+            logs, bounds = spelling(m["spelling"], rest), np.concatenate([[0], np.cumsum(by_row((~known).astype(np.int64)))]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x)) for x in (hashes[~known], logs)]
+            yield pa.record_batch([part.column(0), part.column(2), pa.array(sizes), pa.array(by_row(known.astype(np.int64))), pa.array(by_row(base)), pa.array(by_row(np.log10(p))), *lists], names=["doc_id", "held_out", "n_tokens", "known", "base", "total", "keys", "logs"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), (remainder(F.col("doc_id"), 10) == 0).alias("held_out"))
@@ -314,8 +438,10 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     scored = cut(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
     tail = scored.select("row", F.explode(F.arrays_zip("keys", "logs")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.logs").alias("log"))
     plain = (F.coalesce("n", F.lit(0)) + 0.1) / F.lit(float(below))
-    mixed = F.log10(F.when(F.col("n") > 0, F.lit(WORDS) * plain).otherwise(F.lit(0.0)) + F.lit(1 - WORDS) * F.pow(F.lit(10.0), F.col("log")))
-    counted = tail.join(model["words"], "key", "left").groupBy("row").agg(F.count("n").alias("more"), F.sum(F.log10(plain)).alias("added"), F.sum(mixed).alias("mixed"))
+    # long words' probabilities are below what a double holds: unseen ones stay logarithms
+    mixed = F.when(F.col("n") > 0, F.log10(F.lit(ROOT / max(1, model["n"])) * F.col("n") + F.lit(1 - ROOT) * F.pow(F.lit(10.0), F.col("log")))).otherwise(F.lit(math.log10(1 - ROOT)) + F.col("log"))
+    counts = model["words"].groupBy("key").agg(F.sum("n").alias("n"))
+    counted = tail.join(counts, "key", "left").groupBy("row").agg(F.count("n").alias("more"), F.sum(F.log10(plain)).alias("added"), F.sum(mixed).alias("mixed"))
     full = scored.drop("keys", "logs").join(counted, "row", "left")
     return full.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"), F.lit(model["n"]).cast("long").alias("train_tokens"),
