@@ -121,8 +121,8 @@ def nodes(sets: np.ndarray, d: int, count: int = TREES) -> np.ndarray:
 
 
 def _described(docs: DataFrame, d: int) -> DataFrame:
-    """(id, key, nodes, n) for each row that has an id and shingles; key: a 128-bit hash of
-    the set; n: its size."""
+    """(id, mark, key, nodes, n) for each row that has an id; mark: a column of docs that is
+    carried along; key: a 128-bit hash of the set, null without shingles; n: its size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in small_batches(batches):
@@ -140,10 +140,10 @@ def _described(docs: DataFrame, d: int) -> DataFrame:
                     last = (key, nodes(s, d).tobytes())
                 keys.append(key)
                 found.append(last[1])
-            yield pa.record_batch([part.column(0), pa.array(keys, pa.binary()), pa.array(found, pa.binary()), pa.array(sizes, pa.int64())], names=["id", "key", "nodes", "n"])
+            yield pa.record_batch([part.column(0), part.column(2), pa.array(keys, pa.binary()), pa.array(found, pa.binary()), pa.array(sizes, pa.int64())], names=["id", "mark", "key", "nodes", "n"])
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, key binary, nodes binary, n long")
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), "mark")
+    return rows.mapInArrow(run, "id long, mark string, key binary, nodes binary, n long")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -272,13 +272,14 @@ def _grouped(docs: DataFrame, classes: DataFrame, d: int, threshold: float, reca
 
 
 def _solved(docs: DataFrame, threshold: float, recall: float, chunk: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Members (id, c, size), counted links (c, links, rows) and groups (c, component)."""
+    """Members (id, mark, c, size), counted links (c, links, rows) and groups (c, component) of
+    docs(doc_id, text, mark)."""
     d = depth(threshold, recall=recall)
     described = cut(_described(docs, d))
     keyed = described.where("key is not null")
     classes = keyed.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("nodes").alias("nodes"), F.first("n").alias("n"))
     classes = cut(classes.withColumn("c", F.monotonically_increasing_id()))
-    member = keyed.select("id", "key").join(classes.select("key", "c", "size"), "key").select("id", "c", "size")
+    member = keyed.select("id", "mark", "key").join(classes.select("key", "c", "size"), "key").select("id", "mark", "c", "size")
 
     near = cut(_grouped(docs, classes, d, threshold, recall, chunk).join(classes.select("c", "id", "size", "key", "n"), "c"))
     sizes = near.groupBy("group").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("weight"))
@@ -298,7 +299,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     """doc_id, class_id (the smallest doc_id that links lead to), n_links (other rows that
     are as similar as the threshold or more, copies too) and n_texts (the different texts
     among them) for each row of docs."""
-    member, counted, groups = _solved(docs, threshold, recall, chunk)
+    member, counted, groups = _solved(docs.select("doc_id", "text", F.lit(None).cast("string").alias("mark")), threshold, recall, chunk)
     rows = member.join(groups, "c", "left").join(counted, "c", "left").select("id", F.coalesce("component", "c").alias("component"), (F.coalesce("rows", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_texts"))
     rows = cut(rows)
     # written, so that the join is of two plain exchanges, whose hot partitions Spark can split
@@ -309,13 +310,24 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     return linked.unionByName(alone)
 
 
-def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """The rows of docs that stay, all columns untouched: of each group of linked rows those
-    with the smallest doc_id."""
-    found = links(docs, threshold, recall)
-    gone = found.where("doc_id <> class_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"))
-    return packed.join(gone, packed["id"] == gone["gone_id"], "left_anti").select("row.*")
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
+    """The rows of docs that stay, all columns untouched: of each group of linked rows the one
+    with the smallest (doc_id, MD5 of the text), one of them where rows repeat. Rows are
+    told apart by id and text, so an id that repeats with another text loses only the text
+    that has a partner."""
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mark"))
+    member, _, groups = _solved(packed.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text"), "mark"), threshold, recall, chunk)
+    rows = cut(member.join(groups, "c", "left").select("id", "mark", F.coalesce("component", "c").alias("component")))
+    # written, so that the join is of two plain exchanges, whose hot partitions Spark can split
+    best = cut(rows.groupBy("component").agg(F.min(F.struct("id", "mark")).alias("best")))
+    judged = rows.join(best, "component").select("id", "mark", (F.struct("id", "mark") == F.col("best")).alias("stays"))
+    judged = judged.groupBy("id", "mark").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n"))
+    verdict = cut(judged.where("not stays or n > 1").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "stays"))
+    joined = packed.join(verdict, (F.col("id") == F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+    out = joined.where("stays is null").select("row.*")
+    if verdict.where("stays").isEmpty():
+        return out
+    return out.union(joined.where("stays").dropDuplicates(["id", "mark"]).select("row.*"))
 
 
 ORACLE_SQL = r"""

@@ -99,3 +99,38 @@ def test_default_recall(make):
     pairs = near_copies(400, 40, seed=5)
     want, got = brute(pairs), found(ngram_join.links(make(pairs)))
     assert sum(n for *_, n in got) >= 0.998 * sum(n for *_, n in want)
+
+
+def survivors(pairs):
+    """(doc_id, text) that stay: of each group the least by id and MD5 of the text, once."""
+    import hashlib
+
+    rows = [(i, t) for i, t in pairs if i is not None and (t or "").split()]
+    sets = [{tuple(w[k : k + 5]) for w in [t.lower().encode().split()] for k in range(max(1, len(w) - 4))} for _, t in rows]
+    group = list(range(len(rows)))
+    for x in range(len(rows)):
+        for y in range(x):
+            if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]) - 1e-9 and group[x] != group[y]:
+                old = group[x]
+                group = [group[y] if g == old else g for g in group]
+    order = lambda k: (rows[k][0], hashlib.md5(rows[k][1].encode()).hexdigest())
+    best = [rows[min((k for k in range(len(rows)) if group[k] == g), key=order)] for g in set(group)]
+    return sorted(best + [(i, t) for i, t in pairs if i is None or not (t or "").split()], key=repr)
+
+
+def repeated_ids(seed=11):
+    """Near copies whose ids repeat with other texts."""
+    rng = random.Random(seed)
+    pairs = [(rng.randrange(40), t) for _, t in near_copies(90, 14, seed)]
+    return pairs + pairs[:7]
+
+
+def test_ids_that_repeat_with_other_texts(make, odd):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    four = [(1, a), (5, a + " end"), (5, b), (9, b + " end")]
+    kept = lambda pairs: sorted(((r["doc_id"], r["text"]) for r in ngram_join.keep_one(make(pairs), recall=0.999999).collect()), key=repr)
+    assert kept(four) == [(1, a), (5, b)]
+    pairs = repeated_ids() + odd
+    assert kept(pairs) == survivors(pairs)
+    assert found(ngram_join.links(make(pairs), recall=0.999999)) == brute(pairs)

@@ -64,3 +64,29 @@ def test_stages_on_odd_and_empty_tables(make, odd, spark, small):
                 assert max(ids.values(), default=1) == 1
                 assert sum(ids.values()) <= n
         assert (n == 0) == (sum(ids.values()) == 0)
+
+
+def test_stages_on_ids_that_repeat_with_other_texts(make, spark, small):
+    import corpus_pipeline
+    from test_ngram_join import repeated_ids, survivors
+
+    pairs = repeated_ids(seed=12) + [(3, "one  two three four five six"), (2, "one two three four five six"), (2, "other words of the same id here")]
+    docs = make(pairs)
+    rows = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+    stages = dict(corpus_pipeline.STAGES)
+    first = {}
+    for i, t in sorted(pairs):
+        first.setdefault(" ".join(t.split()), (i, t))
+    exact = cut(stages["exact"](spark, docs, small))
+    assert [(i, " ".join(t.split())) for i, t in rows(exact)] == sorted(((i, k) for k, (i, _) in first.items()), key=repr)
+    near = cut(stages["near"](spark, exact, small))
+    assert rows(near) == survivors(rows(exact))
+    accepted = rows(stages["quality"](spark, docs, small))
+    from presswork.llm import quality
+    from presswork.sources.tables import table
+
+    fitted = quality.train(docs, table(spark, small, "labels"))
+    assert Counter(accepted) == Counter(x for x in rows(docs) if quality.vote(fitted, quality.terms([x[1]]))[0] >= 0.5)
+    mixed = Counter(rows(stages["mix"](spark, near, small)))
+    assert set(mixed) <= set(rows(near))
+    assert stages["encode"](spark, near, small).count() == near.count()
