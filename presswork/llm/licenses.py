@@ -9,9 +9,9 @@ Templates are of two kinds, and each has windows that suit it:
   TEXT_BANDS bands of TEXT_ROWS MinHash values each are compared with those of the template's
   windows, cut at every offset. Where a template's CONTAINMENT is reached, some window has that
   share of its shingles in common with the template's window beside it, a similarity of 2/3 at
-  0.8: it collides with probability 1 - (1 - (2/3)**2)**4 = 0.905. The shortest text has two
-  windows, one of which collides with 0.99, and each TEXT_STRIDE shingles more add one: 0.9999
-  for four. Verified is the share of the template's distinct shingles that
+  0.8: it collides with probability 1 - (1 - (2/3)**2)**4 = 0.905. A text of LONG + TEXT_STRIDE - 1
+  shingles has two windows wherever it starts, one of which collides with 0.99, and each
+  TEXT_STRIDE shingles more add one: 0.9999 for four. Verified is the share of the template's distinct shingles that
   the document holds; first_word is where the first of them stands.
 * notices, which may be one shingle long. A window holds WIDTH shingles and starts at each.
   Bands are single MinHash values, as a window with one shingle of a template in common
@@ -164,7 +164,8 @@ def scan_texts(docs: DataFrame, found: dict[str, list[str]], width: int = TEXT_W
     windows = _template_windows(docs.sparkSession, found, width, False)
     table = windows.select("license", value(lambda f: _least(F.col("window"), f))).distinct()
 
-    least = int(containment * min(map(len, found.values())))
+    # no text of fewer words has enough distinct shingles
+    least = max(SHINGLE, int(containment * min(len({tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}) for w in found.values())))
     cut_up = docs.select("doc_id", words(F.col("text")).alias("w")).where(F.size("w") >= least)
     # generators keep the optimizer from hashing shingles again for every function and window
     one = cut_up.select("doc_id", F.explode(F.array(_shingles("w"))).alias("sh"))

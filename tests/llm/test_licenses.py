@@ -98,3 +98,11 @@ def test_odd_templates(make):
 
 def test_empty(make):
     assert licenses.scan(make([])).count() == 0
+
+
+def test_a_template_that_repeats_a_passage(make):
+    passage = " ".join(f"clause{i}" for i in range(60))
+    templates = {"twice": f"{passage} {passage}", "word": "again " * 70}
+    rows = {(r["doc_id"], r["license"]): r["containment"] for r in licenses.scan(make([(1, passage), (2, f"x y z {passage} {passage}"), (3, "again again again again again"), (4, "too short")]), templates).collect()}
+    assert rows[(2, "twice")] == 1.0 and rows[(3, "word")] == 1.0
+    assert rows[(1, "twice")] == round(56 / 60, 6)
