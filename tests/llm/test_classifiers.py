@@ -250,3 +250,28 @@ def test_quality_equals_brute_force(make, spark):
         want = (w * y[near]).sum() / w.sum()
         off += min(abs(s - want) for j, s in got if j == i) > 0.02
     assert off <= 0.02 * len(rows)  # neighbours that tie but for rounding
+
+
+def test_words_of_many_doubled_letters(monkeypatch):
+    import time
+
+    from presswork.llm import toxicity
+
+    words = ["bookkeeper", "aabbccddeeffgghhiijjkkllmmnnooppqqrr", "ballooned", "mississippi", "aardvark", "glass"]
+    model = {"grams": toxicity.grams([" ".join(words)]), "ratio": {w + "$": 3.0 for w in words}}
+    began = time.time()
+    few = toxicity.Scorer(model)
+    assert time.time() - began < 2
+    assert few.long
+    monkeypatch.setattr(toxicity, "DOUBLED", 0)
+    none = toxicity.Scorer(model)
+    assert len(none.long) > len(few.long)
+    short = {k: v for k, v in model["ratio"].items() if len(k) < 20}
+    for spelled in ("book keeper", "bo okke eper", "b o o k keeper", "bal looned", "ballo oned", "mis sis sippi", "miss iss ippi", "aa rdvark", "a ardvark", "glas s", "gla ss", "glass", "bokeeper", "book ke e per", "gl as sx"):
+        tokens = spelled.split()
+        forms = [toxicity.form(t) for t in tokens]
+        monkeypatch.setattr(toxicity, "DOUBLED", 99)
+        every = toxicity.Scorer(model | {"ratio": short})
+        stream = "".join(forms)
+        assert sorted(set(every.spelled_out(stream))) == sorted({x for x in none.spelled_out(stream) if x[1] > 1})
+        assert every.fragments(tokens, forms) == none.fragments(tokens, forms) == few.fragments(tokens, forms)
