@@ -117,11 +117,15 @@ def pair_candidates(obs: DataFrame, pivot: str, target: str) -> DataFrame:
     return obs.where(((by == pivot) & has(target)) | ((by == target) & has(pivot)) | (has(pivot) & has(target)))
 
 
-def by_source_country(obs: DataFrame, sources: list[str]) -> DataFrame:
-    """A row for each source country that published an observation by estimate or domain: the
-    theta cross join rewritten as an explode of at most two candidates."""
-    some = F.filter(F.array_distinct(F.array("estimated_country", "domain_country")), lambda c: c.isin(*sources))
-    return obs.where(F.col("estimated_country").isin(*sources) | F.col("domain_country").isin(*sources)).withColumn("source_country", F.explode(some))
+def by_source_country(obs: DataFrame, sources: list[str] | None = None) -> DataFrame:
+    """A row for each source country that published an observation by estimate or domain, among
+    the given ones or all: the theta cross join rewritten as an explode of at most two
+    candidates."""
+    some = F.array_compact(F.array_distinct(F.array("estimated_country", "domain_country")))
+    if sources is not None:
+        obs = obs.where(F.col("estimated_country").isin(*sources) | F.col("domain_country").isin(*sources))
+        some = F.filter(some, lambda c: c.isin(*sources))
+    return obs.withColumn("source_country", F.explode(some))
 
 
 def catalog_codes(obs: DataFrame, pivot: str) -> DataFrame:

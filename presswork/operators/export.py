@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import gzip
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from presswork.plans.lineage import cut
+from presswork.sources.sinks import ContentFiles
+
 
 def csv_field(value: Column, is_text: bool = True) -> Column:
     """A quoted field; text that would start a formula gets an apostrophe first."""
@@ -43,39 +41,24 @@ def jsonl(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*")).alias("value"))
 
 
-def packed(rows: DataFrame, key: str, order: list[str], max_rows: int, max_bytes: int) -> DataFrame:
-    """(key, part, rows, bytes, sha256, body) for the ordered rows of each key as JSON arrays
-    of at most max_rows rows and max_bytes bytes; one row may exceed the bytes alone. The
-    greedy packing reads each key's sorted rows as a stream, part by part."""
-    lines = rows.select(key, *order, F.to_json(F.struct(*[c for c in rows.columns if c != key])).alias("line"))
-    lines = lines.repartition(key).sortWithinPartitions(key, *order).select(key, "line")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, part, held, size = None, 0, [], 0
-
-        def out() -> pd.DataFrame:
-            body = "[" + ",".join(held) + "]"
-            return pd.DataFrame({key: [now], "part": [part], "rows": [len(held)], "bytes": [len(body.encode())], "sha256": [hashlib.sha256(body.encode()).hexdigest()], "body": [gzip.compress(body.encode(), 9, mtime=0)]})
-
-        for batch in batches:
-            for k, line in zip(batch[key], batch["line"], strict=True):
-                n = len(line.encode())
-                if held and (k != now or len(held) >= max_rows or size + n > max_bytes):
-                    yield out()
-                    part, held, size = (part + 1 if k == now else 0), [], 0
-                now = k
-                held.append(line)
-                size += n
-        if held:
-            yield out()
-
-    return lines.mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, part int, rows long, bytes long, sha256 string, body binary")
-
-
 def manifest(parts: DataFrame, key: str) -> DataFrame:
-    """Rows, bytes and the ordered digests of each key's parts."""
-    item = F.struct("part", F.concat(F.lit("articles-"), F.substring("sha256", 1, 12), F.lit(".json")).alias("json"), "rows", "bytes")
-    return parts.groupBy(key).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.to_json(F.array_sort(F.collect_list(item))).alias("parts"))
+    """A row for each part of ``packing.packed``: its place, its files' names and what they hold."""
+    name = F.concat(F.lit("articles-"), F.substring("sha256", 1, 12), F.lit(".json"))
+    return parts.select(key, "part", name.alias("json"), F.concat(name, F.lit(".gz")).alias("gzip"), "rows", "sha256", F.col("bytes").alias("json_bytes"))
+
+
+def write_parts(parts: DataFrame, key: str, folder: str) -> DataFrame:
+    """Write each part's body as it is and compressed under its content's name in a folder for its
+    key, and the manifest as JSON lines beside them. Returns the manifest, read back. Bodies
+    that exist are left alone, so a task or a job that runs again changes nothing."""
+    spark = parts.sparkSession
+    spark.dataSource.register(ContentFiles)
+    held = cut(parts)
+    place = F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("none")), F.concat(F.lit("articles-"), F.substring("sha256", 1, 12), F.lit(".json")))
+    held.select(place.alias("name"), "body").write.format("content_files").mode("append").option("folder", folder).save()
+    rows = manifest(held, key)
+    rows.orderBy(key, "part").write.mode("overwrite").json(f"{folder}/manifest")
+    return spark.read.schema(rows.schema).json(f"{folder}/manifest")
 
 
 def within_budget(df: DataFrame, limit: int) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from presswork.functions import pages as page_functions
 from presswork.functions import text as texts
 from presswork.functions import urls
-from presswork.operators import audit, browse, classify, collection, export
+from presswork.operators import audit, browse, classify, collection, export, packing
 from presswork.plans.lineage import cut
 from presswork.sources import proxy
 from presswork.sources.proxy import CODE, EVENTS_SQL, OBS_SQL, PIVOT, RAW_SQL, TARGET
@@ -723,11 +723,23 @@ def lease_fold(spark: SparkSession, d: str) -> DataFrame:
     return pacing.leases(rows, "article", F.col("t"), ["t", "event_id"], 172_800_000_000).select("article", "event_id", "holder", "ok")
 
 
-@query()
+_FIELDS = ["day", "url", "outlet", "estimated_country", "domain_country", "countries", "specific_location_countries"]
+_QUOTED = " || ',' || ".join(f"coalesce('\"' || {c} || '\"', 'null')" for c in ("strftime(day, '%Y-%m-%d')", "url", "outlet", "estimated_country", "domain_country"))
+
+
+@query(OBS.replace("WITH ", "WITH RECURSIVE ", 1) + f""", l AS (SELECT source_country, day, url, '[' || {_QUOTED} || ',' || CAST(to_json(countries) AS VARCHAR) || ',' || CAST(to_json(specific_location_countries) AS VARCHAR) || ']' AS line
+  FROM (SELECT *, unnest(list_distinct([estimated_country, domain_country])) AS source_country FROM obs) WHERE source_country IS NOT NULL),
+r AS MATERIALIZED (SELECT *, row_number() OVER w - 1 AS n, sum(strlen(line) + 1) OVER w AS e FROM l WINDOW w AS (PARTITION BY source_country ORDER BY day, url, line)),
+p(source_country, part, s, base) AS (SELECT DISTINCT source_country, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS HUGEINT) FROM r
+  UNION ALL SELECT p.source_country, p.part + 1, max(r.n) + 1, max(r.e) FROM p JOIN r ON r.source_country = p.source_country AND r.n >= p.s AND r.n < p.s + 500 AND (r.n = p.s OR r.e <= p.base + 65536) GROUP BY p.source_country, p.part),
+x AS (SELECT p.source_country, part, '{{"source_country":"' || p.source_country || '","fields":["{'","'.join(_FIELDS)}"],"rows":[' || string_agg(line, ',' ORDER BY n) || ']}}' AS body, count(*) AS rows
+  FROM (SELECT *, lead(s, 1, 1000000000) OVER (PARTITION BY source_country ORDER BY part) AS t FROM p) p JOIN r ON r.source_country = p.source_country AND r.n >= p.s AND r.n < p.t GROUP BY p.source_country, part)
+SELECT source_country, part, 'articles-' || substr(sha256(body), 1, 12) || '.json' AS json, rows, sha256(body) AS sha256, strlen(body) AS json_bytes FROM x""")
 def packed_export(spark: SparkSession, d: str) -> DataFrame:
-    """Bounded, content-addressed parts of an ordered export."""
-    rows = classify.by_source_country(_obs(spark, d), [PIVOT, TARGET, "N24", "N19", "N03"]).select("source_country", "day", "url", "outlet", "countries")
-    return export.manifest(export.packed(rows, "source_country", ["day", "url"], 500, 65536), "source_country")
+    """Bounded, content-addressed parts of every country's ordered export."""
+    rows = classify.by_source_country(_obs(spark, d)).select("source_country", *_FIELDS)
+    parts = packing.packed(rows, "source_country", ["day", "url"], 500, 65536)
+    return export.manifest(parts, "source_country").drop("gzip")
 
 
 # -- more of collection and evidence ------------------------------------------------------

@@ -312,11 +312,8 @@ def test_machine_stream(spark, tmp_path):
     assert got == want and len(got) == 90 and {True, False} == set(got.values())
 
 
-def test_packing_and_manifest(spark):
-    rows = spark.createDataFrame([("k", i, "x" * 50) for i in range(10)] + [("k", 99, "y" * 500)], "key string, i int, v string")
-    parts = export.packed(rows, "key", ["i"], 4, 300).orderBy("part").collect()
-    assert sum(r["rows"] for r in parts) == 11 and all(r["rows"] <= 4 for r in parts) and parts[-1]["rows"] == 1
-    assert export.manifest(export.packed(rows, "key", ["i"], 4, 300), "key").first()["rows"] == 11
+def test_order_of_exports(spark):
+    rows = spark.createDataFrame([("k", i) for i in range(10)] + [("k", 99)], "key string, i int")
     assert export.increasing(rows, "key", ["i"]).count() == 0 and export.duplicate_keys(rows, ["key"]).count() == 1
 
 
