@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions.text import tokens
-from presswork.operators.classify import BROADCAST, places
+from presswork.functions.domains import BROADCAST
+from presswork.operators.classify import places
 from presswork.plans.lineage import cut
 
 PAGE = 20

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.functions import domains
 from presswork.plans.lineage import cut
 
 #: Location types that name a place below a country.
 SPECIFIC = ("2", "3", "4", "5")
-#: Rows of a mapping that is broadcast.
-BROADCAST = 1_000_000
 GROUPS = ("Chinese", "Local", "Third country", "Unknown or uncertain")
 
 
@@ -40,21 +39,16 @@ def places(raw: Column, country: Column, types: tuple[str, ...] = SPECIFIC) -> C
 SECOND_LEVEL = ("ac", "co", "com", "edu", "go", "gob", "gov", "gouv", "mil", "ne", "net", "nom", "or", "org", "sch")
 
 
-def registrable_domain(url: Column, suffixes: tuple[str, ...] = (), exceptions: tuple[str, ...] = ()) -> Column:
-    """The registrable domain of a URL's host, null without one: its last two labels, or three
-    where the last two are a public suffix. Those are the two-label entries of a public
-    suffix list, if given (``public_suffixes`` reads one), less its exceptions; without a
-    list, a country's two letters after one of SECOND_LEVEL."""
-    host = F.rtrim(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit("."))
-    suffix = r"[^.]+\.(?:" + "|".join(x.replace(".", r"\.") for x in suffixes) + ")" if suffixes else r"[^.]+\.(?:" + "|".join(SECOND_LEVEL) + r")\.[a-z]{2}"
-    kept = "(?!(?:" + "|".join(x.replace(".", r"\.") for x in exceptions) + ")$)" if exceptions else ""
-    return F.nullif(F.regexp_extract(host, rf"(?:^|\.)({kept}{suffix}|[^.]+\.[^.]+)$", 1), F.lit(""))
+def _domain(host: Column) -> Column:
+    suffix = r"[^.]+\.(?:" + "|".join(SECOND_LEVEL) + r")\.[a-z]{2}"
+    return F.nullif(F.regexp_extract(host, rf"(?:^|\.)({suffix}|[^.]+\.[^.]+)$", 1), F.lit(""))
 
 
-def public_suffixes(lines: list[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
-    """The two-label suffixes and the exceptions of a public suffix list's lines."""
-    rules = [x.strip().lower() for x in lines if x.strip() and not x.startswith("//")]
-    return tuple(sorted(x for x in rules if x.count(".") == 1 and x[0] not in "*!")), tuple(sorted(x[1:] for x in rules if x.startswith("!")))
+def registrable_domain(url: Column) -> Column:
+    """The registrable domain of a URL's host without a public suffix list, null without one: its
+    last two labels, or three where a country's two letters follow one of SECOND_LEVEL. With a
+    list, ``domains.registrable`` tells it for all hosts at once."""
+    return _domain(domains.host(url))
 
 
 def last_label(outlet: Column) -> Column:
@@ -73,17 +67,22 @@ def unambiguous(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(F.lower("key").alias("key")).agg(F.when(F.count_distinct("value") == 1, F.max("value")).alias("value"))
 
 
-def with_evidence(docs: DataFrame, outlets: DataFrame, suffixes: DataFrame) -> DataFrame:
+def with_evidence(docs: DataFrame, outlets: DataFrame, suffixes: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     """docs(day, url, v2locations) whose url is http(s), with outlet, estimated_country and
-    domain_country. The mappings are small dimensions: they are counted, and broadcast up to
-    BROADCAST rows; beyond, Spark joins them by a shuffle. URLs are read once: a generator
-    keeps the optimizer from repeating the expression for each join."""
-    rows = docs.where(F.col("url").rlike("(?i)^https?://")).select("*", F.explode(F.array(registrable_domain(F.col("url")))).alias("outlet"))
-    estimated = cut(unambiguous(outlets).select(F.col("key").alias("o_key"), F.col("value").alias("estimated_country")))
-    domain = cut(unambiguous(suffixes).select(F.col("key").alias("s_key"), F.col("value").alias("domain_country")))
-    small = lambda side: F.broadcast(side) if side.limit(BROADCAST + 1).count() <= BROADCAST else side
-    joined = rows.join(small(estimated), F.col("outlet") == F.col("o_key"), "left")
-    return joined.join(small(domain), last_label(F.col("outlet")) == F.col("s_key"), "left").drop("o_key", "s_key")
+    domain_country. What a URL says, it says by its host: each distinct host gets its domain
+    (by a public suffix list's rules, if given: ``domains.rules``) and meets both mappings,
+    and the rows meet that one table of hosts, which is broadcast where it was counted to be
+    small and joined by a shuffle else."""
+    # a generator keeps the optimizer from reading a URL again for each use of its host
+    rows = docs.where(F.col("url").rlike("(?i)^https?://")).select("*", F.explode(F.array(domains.host(F.col("url")))).alias("host"))
+    hosts = rows.select("host").where("host is not null").distinct()
+    named = domains.registrable(hosts, rules) if rules is not None else hosts.select("host", _domain(F.col("host")).alias("domain"))
+    named = cut(named.withColumnRenamed("domain", "outlet"))
+    estimated = unambiguous(outlets).select(F.col("key").alias("o_key"), F.col("value").alias("estimated_country"))
+    domain = unambiguous(suffixes).select(F.col("key").alias("s_key"), F.col("value").alias("domain_country"))
+    known = named.join(estimated, F.col("outlet") == F.col("o_key"), "left").join(domain, last_label(F.col("outlet")) == F.col("s_key"), "left")
+    known = cut(known.select(F.col("host").alias("_host"), "outlet", "estimated_country", "domain_country"))
+    return rows.join(domains.small(known), F.col("host") == F.col("_host"), "left").drop("host", "_host")
 
 
 def outlet_country(est: Column, dom: Column) -> Column:

@@ -8,9 +8,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from presswork.functions import domains, urls
 from presswork.functions import pages as page_functions
 from presswork.functions import text as texts
-from presswork.functions import urls
 from presswork.operators import audit, browse, classify, collection, export, packing
 from presswork.plans.lineage import cut
 from presswork.sources import proxy
@@ -103,7 +103,7 @@ SELECT outlet, est AS estimated_country, dom AS domain_country,
   count(*) AS records FROM e GROUP BY ALL""")
 def classify_documents(spark: SparkSession, d: str) -> DataFrame:
     """Registrable domain, mappings with ambiguity, evidence and basis."""
-    raw = proxy.raw_documents(spark, d)
+    raw = cut(proxy.raw_documents(spark, d).select("day", "url", "estimated_country", "domain_country", "v2locations"))
     key = classify.registrable_domain(F.col("url"))
     value = F.when(F.substring_index(F.substring(key, 2, 99), ".", 1).cast("int") % 3 == 0, F.col("estimated_country")).otherwise(F.col("domain_country"))
     outlets = raw.select(key.alias("key"), value.alias("value")).where("value is not null").distinct()
@@ -564,6 +564,30 @@ def registrable_domain(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", urls.host(F.col("url")).alias("host"), classify.registrable_domain(F.col("url")).alias("domain"))
 
 
+#: Rules of one, two and three labels, wildcards and exceptions.
+RULES = ["// a list", "com", "uk", "co.uk", "us", "ma.us", "k12.ma.us", "*.ck", "!www.ck", "jp", "*.kawasaki.jp", "!city.kawasaki.jp", "kobe.jp // more"]
+_ENDS = ["com", "co.uk", "pvt.k12.ma.us", "k12.ma.us", "ck", "www.ck", "kawasaki.jp", "city.kawasaki.jp", "x.kobe.jp", "unlisted", "uk"]
+
+
+@query(f"""WITH h AS (SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN '' WHEN o_custkey % 5 = 1 THEN 'Www.c' || o_custkey || '.' ELSE 'c' || o_custkey || '.' END || ({_ENDS!r})[1 + o_orderkey % {len(_ENDS)}] AS raw FROM orders),
+d AS (SELECT DISTINCT lower(raw) AS host FROM h),
+r(rule) AS (VALUES {", ".join(f"('{x.split()[0]}')" for x in RULES[1:])}),
+m AS (SELECT host, rule, len(string_split(rule, '.')) AS n FROM d, r WHERE CASE WHEN starts_with(rule, '!') THEN host = rule[2:] OR ends_with(host, '.' || rule[2:])
+  WHEN starts_with(rule, '*.') THEN regexp_matches(host, '(^|\.)[^.]+\.' || replace(rule[3:], '.', '\.') || '$') ELSE host = rule OR ends_with(host, '.' || rule) END),
+w AS (SELECT host, arg_max(CASE WHEN starts_with(rule, '!') THEN n - 1 ELSE n END, CASE WHEN starts_with(rule, '!') THEN 100 ELSE n END) AS n FROM m GROUP BY host),
+x AS (SELECT d.host, string_split(d.host, '.') AS l, coalesce(n, 1) AS n FROM d LEFT JOIN w USING (host))
+SELECT o_orderkey, CASE WHEN len(l) > n THEN array_to_string(l[len(l) - n:], '.') END AS domain FROM h JOIN x ON x.host = lower(raw)""")
+def suffix_domains(spark: SparkSession, d: str) -> DataFrame:
+    """Registrable domains under plain, wildcard and exception rules, the longest first."""
+    c = F.col("o_custkey")
+    start = F.when(c % 5 == 0, "").when(c % 5 == 1, F.concat(F.lit("Www.c"), c.cast("string"), F.lit("."))).otherwise(F.concat(F.lit("c"), c.cast("string"), F.lit(".")))
+    end = F.element_at(F.array(*map(F.lit, _ENDS)), (1 + F.col("o_orderkey") % len(_ENDS)).cast("int"))
+    rows = table(spark, d, "orders").select("o_orderkey", domains.host(F.concat(F.lit("https://"), start, end, F.lit("/story"))).alias("host"))
+    rules = domains.rules(spark.createDataFrame([(x,) for x in RULES], "line string"))
+    named = cut(domains.registrable(rows, rules))
+    return rows.join(domains.small(named), "host").select("o_orderkey", "domain")
+
+
 @query("""WITH u AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'https://web.archive.org/web/20200101' || CASE WHEN page_id % 2 = 0 THEN 'id_' ELSE '' END || '/' || url WHEN page_id % 3 = 1 THEN 'ftp://x.y/z' ELSE url END AS u, url FROM pages)
 SELECT page_id, CASE WHEN page_id % 3 = 1 THEN NULL ELSE lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) END AS publisher FROM u""")
 def publisher_host(spark: SparkSession, d: str) -> DataFrame:

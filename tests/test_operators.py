@@ -255,13 +255,10 @@ def test_index_is_rebuilt_when_counts_differ(spark):
 
 
 def test_domains_and_links(spark):
-    def domain(url, **k):
-        return spark.range(1).select(classify.registrable_domain(F.lit(url), **k).alias("x")).first()["x"]
+    def domain(url):
+        return spark.range(1).select(classify.registrable_domain(F.lit(url)).alias("x")).first()["x"]
 
     assert [domain(f"https://{h}/x") for h in ("www.a.co.ke", "a.co.ke", "co.ke", "b.news.com", "www.a.com.au", "x.org", "localhost")] == ["a.co.ke", "a.co.ke", "co.ke", "news.com", "a.com.au", "x.org", None]
-    suffixes, exceptions = classify.public_suffixes(["// list", "com", "co.ke", "*.ck", "!www.ck", "city.jp"])
-    assert (suffixes, exceptions) == (("city.jp", "co.ke"), ("www.ck",))
-    assert domain("https://x.a.city.jp/", suffixes=suffixes) == "a.city.jp" and domain("https://x.a.com.au/", suffixes=suffixes) == "com.au"
 
     def page(url, link):
         return spark.range(1).select(urls.other_page(F.lit(url), F.lit(link)).alias("x")).first()["x"]
@@ -343,3 +340,37 @@ def test_best_candidate(spark):
 def test_paused_outlets(spark):
     rows = spark.createDataFrame([("a", 1, "blocked"), ("a", 2, "blocked"), ("b", 1, "blocked"), ("b", 2, "saved"), ("b", 3, "blocked"), ("c", 1, "rate_limited")], "outlet string, t int, status string")
     assert {r["outlet"] for r in collection.paused_outlets(rows, ["t"]).collect()} == {"a", "c"}
+
+
+PSL = ["// list", "", "com", "  co.ke  rest", "*.ck", "!www.ck", "jp", "city.jp", "*.kawasaki.jp", "!city.kawasaki.jp", "pvt.k12.ma.us", "us"]
+
+
+def test_suffix_rules(spark, tmp_path):
+    from presswork.functions import domains
+
+    (tmp_path / "list.dat").write_text("\n".join(PSL), encoding="utf-8")
+    rules = domains.read_rules(spark, str(tmp_path / "list.dat"))
+    assert rules.count() == len(PSL) - 2
+    want = {
+        "com": None, "a.com": "a.com", "x.y.a.com": "a.com", "co.ke": None, "b.co.ke": "b.co.ke", "ke": None, "c.ke": "c.ke", "ck": None, "a.ck": None, "b.a.ck": "b.a.ck", "c.b.a.ck": "b.a.ck",
+        "www.ck": "www.ck", "x.www.ck": "www.ck", "kawasaki.jp": "kawasaki.jp", "a.kawasaki.jp": None, "b.a.kawasaki.jp": "b.a.kawasaki.jp", "city.kawasaki.jp": "city.kawasaki.jp", "x.city.kawasaki.jp": "city.kawasaki.jp",
+        "a.city.jp": "a.city.jp", "s.pvt.k12.ma.us": "s.pvt.k12.ma.us", "pvt.k12.ma.us": None, "k12.ma.us": "ma.us", "nolist": None, "a.nolist": "a.nolist", "b.a.nolist": "a.nolist", "a..com": None, "10.0.0.1": None, "[::1]": None, "": None,
+    }
+    hosts = spark.createDataFrame([(h,) for h in [*want, None, "a.com"]], "host string")
+    got = {r["host"]: r["domain"] for r in domains.registrable(hosts, rules).collect()}
+    assert got == want
+    assert domains.registrable(hosts.limit(0), rules).count() == 0
+    none = domains.registrable(hosts, rules.limit(0))
+    assert {r["host"]: r["domain"] for r in none.collect()}["x.y.a.com"] == "a.com"
+
+
+def test_evidence_by_host(spark):
+    from presswork.functions import domains
+
+    docs = spark.createDataFrame([("https://WWW.a.co.ke./1", 1), ("http://b.a.co.ke/2", 2), ("ftp://a.co.ke/3", 3), ("https://c.ck/4", 4), ("https:///5", 5), ("https://d.news.com/6", 6)], "url string, n int")
+    outlets = spark.createDataFrame([("A.co.ke", "KE"), ("news.com", "US"), ("news.com", "GB")], "key string, value string")
+    suffixes = spark.createDataFrame([("ke", "KE"), ("ck", "CK")], "key string, value string")
+    read = lambda df: {r["n"]: (r["outlet"], r["estimated_country"], r["domain_country"]) for r in df.collect()}
+    assert read(classify.with_evidence(docs, outlets, suffixes)) == {1: ("a.co.ke", "KE", "KE"), 2: ("a.co.ke", "KE", "KE"), 4: ("c.ck", None, "CK"), 5: (None, None, None), 6: ("news.com", None, None)}
+    ruled = classify.with_evidence(docs, outlets, suffixes, domains.rules(spark.createDataFrame([(x,) for x in PSL], "line string")))
+    assert read(ruled) == {1: ("a.co.ke", "KE", "KE"), 2: ("a.co.ke", "KE", "KE"), 4: (None, None, None), 5: (None, None, None), 6: ("news.com", None, None)}
