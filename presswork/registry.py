@@ -16,11 +16,13 @@ from presswork.plans.lineage import cut
 from presswork.sources import proxy
 from presswork.sources.proxy import CODE, EVENTS_SQL, OBS_SQL, PIVOT, RAW_SQL, TARGET
 from presswork.sources.tables import table
-from presswork.streaming import pacing, stateful
+from presswork.streaming import expiry, outbox, pacing, snapshots, stateful
 
 START, END = date(2016, 1, 1), date(2019, 12, 31)
 MISSING = [date(2016, 2, 15), date(2017, 7, 1), date(2017, 7, 2), date(2019, 12, 31)]
 NOW = datetime(2024, 1, 20)
+#: When work is claimed: the last results of some articles lie before it, of others after.
+CLAIMED = datetime(2024, 1, 30)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -424,11 +426,11 @@ def _queue(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return q, newest.groupBy("outlet").agg((F.count(F.lit(1)) % 3).alias("inflight"))
 
 
-@query(_QUEUE + f", r AS (SELECT *, row_number() OVER (PARTITION BY outlet ORDER BY due_at, article_id) AS nth FROM q WHERE due_at <= TIMESTAMP '{NOW}' AND outlet <> 'o9') SELECT article_id, r.outlet, due_at FROM r LEFT JOIN fl USING (outlet) WHERE nth <= 4 - coalesce(inflight, 0) ORDER BY due_at, article_id LIMIT 16")
+@query(_QUEUE + f", r AS (SELECT *, row_number() OVER (PARTITION BY outlet ORDER BY due_at, article_id) AS nth FROM q WHERE due_at <= TIMESTAMP '{CLAIMED}' AND outlet <> 'o9') SELECT article_id, r.outlet, due_at FROM r LEFT JOIN fl USING (outlet) WHERE nth <= 4 - coalesce(inflight, 0) ORDER BY due_at, article_id LIMIT 16")
 def claim_selection(spark: SparkSession, d: str) -> DataFrame:
     """The next work under capacities."""
     q, inflight = _queue(spark, d)
-    return collection.claimable(q, NOW, 16, 4, inflight, ("o9",))
+    return collection.claimable(q, CLAIMED, 16, 4, inflight, ("o9",))
 
 
 @query(_QUEUE + " SELECT article_id, due_at FROM (SELECT *, row_number() OVER (ORDER BY due_at, article_id) AS n FROM q) WHERE n BETWEEN 11 AND 20")
@@ -556,6 +558,32 @@ def latest_state_stream(spark: SparkSession, d: str) -> DataFrame:
     return stateful.stream_latest(spark, _events(spark, d))
 
 
+@query(EV + " SELECT article_id AS url, arg_max(status, (updated_at, seq)) AS status FROM ev GROUP BY 1 HAVING arg_max(status, (updated_at, seq)) IN ('saved', 'partial')")
+def download_index_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The download index as a stream of events keeps it, one version a batch."""
+    state = F.when(F.col("status") == "deferred", "ready").otherwise("done")
+    changes = _events(spark, d).select(F.col("article_id").alias("url"), snapshots.status(state, F.col("status"), F.lit("gs://x")).alias("status"), "updated_at", "seq")
+    stream, base = stateful.replayed(spark, changes.repartition(6, "seq"), files=2)
+    index = snapshots.Snapshot(spark, f"{base}/index")
+    snapshots.keep_up(stream, index, f"{base}/log")
+    return index.index()
+
+
+@query(EV + """, c AS (SELECT article_id, 'gs://b/' || seq AS result_uri, CASE WHEN seq % 4 > 0 THEN 't' || (seq % 3) END AS claim_token, status, updated_at FROM ev WHERE status <> 'deferred')
+SELECT article_id, arg_max(status, (updated_at, result_uri, claim_token)) AS status, arg_max(result_uri, (updated_at, result_uri, claim_token)) AS result_uri, count(*) AS loaded, count(*) AS acknowledged FROM c GROUP BY 1""")
+def outbox_export(spark: SparkSession, d: str) -> DataFrame:
+    """Final results loaded from a stream in acknowledged batches, and the view over them."""
+    seq = F.col("seq")
+    token = F.when(seq % 4 > 0, F.concat(F.lit("t"), (seq % 3).cast("string")))
+    done = _events(spark, d).where("status <> 'deferred'").select("article_id", F.concat(F.lit("gs://b/"), seq.cast("string")).alias("result_uri"), token.alias("claim_token"), "status", "updated_at")
+    stream, base = stateful.replayed(spark, done.repartition(6, "result_uri"), files=2)
+    box = outbox.Outbox(spark, f"{base}/box", "article_id string, result_uri string, claim_token string, status string, updated_at timestamp")
+    outbox.deliver(stream, box, f"{base}/log")
+    counts = box.events().groupBy("article_id").agg(F.count(F.lit(1)).alias("loaded"))
+    acks = box.acks().groupBy("article_id").agg(F.count(F.lit(1)).alias("acknowledged"))
+    return box.view().select("article_id", "status", "result_uri").join(counts, "article_id").join(acks, "article_id", "left")
+
+
 # -- text and URLs ----------------------------------------------------------------------
 
 @query("""SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, regexp_extract(lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)), '([^.]+\\.[^.]+)$', 1) AS domain FROM pages""")
@@ -766,13 +794,57 @@ def packed_export(spark: SparkSession, d: str) -> DataFrame:
     return export.manifest(parts, "source_country").drop("gzip")
 
 
+_LASTS, _DELAY = 86_400_000_000, 3_600_000_000
+
+
+def _liveness_sql(until: str) -> str:
+    return f"""WITH b AS (SELECT CAST(user_id AS VARCHAR) AS worker, {_MICROS} AS "at" FROM events), w AS (SELECT {until} AS w FROM b),
+g AS (SELECT *, lag("at") OVER o AS before, lead("at") OVER o AS after FROM b, w WHERE "at" <= w WINDOW o AS (PARTITION BY worker ORDER BY "at"))
+SELECT worker, "at", 'up' AS change FROM g WHERE before IS NULL OR "at" - before >= {_LASTS} UNION ALL SELECT worker, "at" + {_LASTS}, 'down' FROM g WHERE (after IS NULL OR after - "at" >= {_LASTS}) AND "at" + {_LASTS} <= w"""
+
+
+@query(_liveness_sql(str(2**62)))
+def worker_liveness(spark: SparkSession, d: str) -> DataFrame:
+    """When workers come up and fall silent."""
+    return expiry.liveness(table(spark, d, "events"), "user_id", F.unix_micros(F.col("ts").cast("timestamp")), _LASTS)
+
+
+@query(_liveness_sql(f'max("at") // 1000 * 1000 - {_DELAY}'))
+def worker_liveness_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same from a stream's timers, up to its watermark."""
+    spark = spark.newSession()
+    stateful.use_rocksdb(spark)
+    ts = F.col("ts").cast("timestamp")
+    stream, base = stateful.replayed(spark, table(spark, d, "events").select(F.col("user_id").cast("string").alias("worker"), ts.alias("ts"), F.unix_micros(ts).alias("at")), files=100_000)
+    out = stateful.run_to_table(expiry.timed(stream, "worker", expiry.Liveness(_LASTS), ["at"], "1 hour"), "liveness", base, "append")
+    return spark.read.schema("worker string, at long, change string").parquet(out).select("worker", "at", "change")
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS article, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, {_MICROS} AS "at", CASE event_type WHEN 'view' THEN 'claim' WHEN 'click' THEN 'renew' WHEN 'error' THEN 'release' WHEN 'signup' THEN 'claim' ELSE 'complete' END AS kind, 'w' || (event_id % 2) AS owner, 't' || (event_id % 3) AS token FROM events),
+s AS (SELECT article, n, "at", CASE WHEN kind = 'complete' AND n % 5 > 0 THEN 'renew' ELSE kind END AS kind, owner, token, owner || '/' || token AS me FROM e),
+r AS (SELECT article, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS "at", '' AS kind, CAST(NULL AS VARCHAR) AS owner, CAST(NULL AS VARCHAR) AS token, CAST(NULL AS VARCHAR) AS h, CAST(0 AS BIGINT) AS u, FALSE AS done, FALSE AS granted, CAST(NULL AS VARCHAR) AS gone, CAST(0 AS BIGINT) AS gone_at FROM (SELECT DISTINCT article FROM s)
+  UNION ALL SELECT article, n, "at", kind, owner, token, CASE WHEN granted AND kind IN ('claim', 'renew') THEN me WHEN granted THEN NULL ELSE live END, CASE WHEN granted AND kind IN ('claim', 'renew') THEN "at" + {2 * _LASTS} ELSE u END, done OR (granted AND kind = 'complete'), granted, CASE WHEN live IS NULL THEN h END, u
+  FROM (SELECT *, NOT done AND (coalesce(live = me, FALSE) OR (kind = 'claim' AND live IS NULL)) AS granted FROM (SELECT s.*, r.h, r.u, r.done, CASE WHEN r.u > s."at" THEN r.h END AS live FROM r JOIN s ON s.article = r.article AND s.n = r.n + 1))),
+l AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY article ORDER BY n DESC) = 1)
+SELECT article, "at", kind, owner, token, granted FROM r WHERE n > 0 UNION ALL SELECT article, gone_at, 'expire', string_split(gone, '/')[1], string_split(gone, '/')[2], TRUE FROM r WHERE gone IS NOT NULL
+UNION ALL SELECT article, u, 'expire', string_split(h, '/')[1], string_split(h, '/')[2], TRUE FROM l WHERE h IS NOT NULL AND u <= (SELECT max("at") FROM s)""")
+def lease_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Requests by owners with tokens, what is granted, and leases that run out (T4)."""
+    e = F.col("event_type")
+    kind = F.when(e.isin("view", "signup"), "claim").when(e == "click", "renew").when(e == "error", "release").otherwise("complete")
+    log = _log(spark, d).withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy("t", "event_id")))
+    kind = F.when((kind == "complete") & (F.col("n") % 5 > 0), "renew").otherwise(kind)
+    rows = log.select("user_id", F.col("t").alias("at"), kind.alias("kind"), F.concat(F.lit("w"), (F.col("event_id") % 2).cast("string")).alias("owner"), F.concat(F.lit("t"), (F.col("event_id") % 3).cast("string")).alias("token"))
+    until = rows.agg(F.max("at")).first()[0] or 0
+    return expiry.leases(rows, "user_id", 2 * _LASTS, until)
+
+
 # -- more of collection and evidence ------------------------------------------------------
 
 @query(EV + " SELECT run_id, arg_max(status, (updated_at, -seq)) AS state, max(updated_at) AS updated_at FROM ev GROUP BY 1")
 def latest_runs(spark: SparkSession, d: str) -> DataFrame:
     """The newest event of each run."""
-    _events(spark, d).createOrReplaceTempView("run_events")
-    rows = collection.latest(spark.table("run_events"), ["run_id"])
+    rows = collection.latest(_events(spark, d), ["run_id"])
     return rows.select("run_id", F.col("status").alias("state"), "updated_at")
 
 

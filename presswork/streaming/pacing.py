@@ -1,7 +1,8 @@
 """Pacing of hosts and leases of articles over logs of events, as window functions.
 
 Each rule has a closed form over the ordered events of a key, so nothing is replayed row by
-row; only `grant` is the step of a stream's state. All times of the closed forms are microseconds as longs."""
+row. All times are microseconds as longs. Requests whose grants depend on earlier grants, and
+leases that run out without an event, are in ``expiry``."""
 
 from __future__ import annotations
 
@@ -42,21 +43,3 @@ def leases(events: DataFrame, key: str, time: Column, order: list[str], lasts: i
     rows = rows.withColumn("holder", F.when(live, F.col("_last.owner")))
     ok = F.when(F.col("kind") == "claim", F.col("holder").isNull() | (F.col("holder") == F.col("owner"))).otherwise(F.coalesce(F.col("holder") == F.col("owner"), F.lit(False)))
     return rows.withColumn("ok", ok).drop("_last")
-
-
-def grant(state: dict, event: dict, lasts: float = 600.0) -> dict:
-    """One step of a lease's state for ``stateful.machine``: who holds the key after this event
-    and whether it was granted. A claim is granted where nobody holds the key, or its owner
-    does; only the owner may complete it, and the same completion again counts as granted."""
-    holder = state.get("owner") if state.get("until", 0.0) > event["t"] else None
-    done = state.get("done")
-    mine = holder == event["owner"]
-    if event["kind"] == "claim":
-        ok = done is None and (holder is None or mine)
-        if ok:
-            state.update(owner=event["owner"], until=event["t"] + lasts)
-    else:
-        ok = done == event["owner"] or (done is None and mine)
-        if ok:
-            state.update(done=event["owner"])
-    return {"t": event["t"], "ok": ok}

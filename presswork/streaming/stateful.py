@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -42,37 +42,6 @@ class Latest(StatefulProcessor):
         pass
 
 
-class Machine(StatefulProcessor):
-    """A state machine over a stream: the state is kept as JSON by key, the rows of
-    a micro-batch are taken in order of time, and step gives the rows that come out."""
-
-    def __init__(self, key: str, order: list[str], start, step, columns: list[str]):
-        self.key, self.order, self.start, self.step, self.columns = key, order, start, step, columns
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("machine", "body string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
-        state = json.loads(self.state.get()[0]) if self.state.exists() else self.start()
-        out = []
-        for event in pd.concat(list(rows)).sort_values(self.order).to_dict("records"):
-            row = self.step(state, event)
-            if row is not None:
-                out.append([row.get(c) for c in self.columns])
-        self.state.update((json.dumps(state),))
-        yield pd.DataFrame(out, columns=self.columns)
-
-    def close(self) -> None:
-        pass
-
-
-def machine(events: DataFrame, key: str, order: list[str], start, step, schema: str) -> DataFrame:
-    """A fold of a stream: what step(state, event) returns for each event. Events that
-    arrive in a later micro-batch are taken later, whatever their time."""
-    columns = [x.strip().split(" ")[0] for x in schema.split(",")]
-    return events.groupBy(key).transformWithStateInPandas(statefulProcessor=Machine(key, order, start, step, columns), outputStructType=schema, outputMode="Append", timeMode="None")
-
-
 def latest_changes(events: DataFrame) -> DataFrame:
     """The changes of a stream events(article_id, updated_at, seq, status, outlet)."""
     rows = events.select("article_id", "updated_at", "seq", "status", "outlet")
@@ -107,14 +76,18 @@ def use_rocksdb(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+def replayed(spark, rows: DataFrame, files: int = 4) -> tuple[DataFrame, str]:
+    """rows written out and read again as a stream of some files a batch, and the folder that the
+    stream's own files may go to."""
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{base}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in"), base
+
+
 def stream_latest(spark, events: DataFrame) -> DataFrame:
     """Status totals of events, computed by writing them out and reading them as a stream."""
-    import uuid
-
     spark = spark.newSession()  # the caller's settings stay as they are
     use_rocksdb(spark)
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    events.write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/in")
+    stream, base = replayed(spark, events)
     folder = run_to_table(latest_changes(stream), "latest", base)
     return status_totals(spark.read.parquet(folder))

@@ -292,23 +292,6 @@ def test_stream_equals_batch(spark):
     assert {(r["outlet"], r["status"]): r["articles"] for r in stateful.stream_latest(spark, rows).collect()} == {("o", "partial"): 2}
 
 
-def test_machine_stream(spark, tmp_path):
-    from presswork.streaming import stateful
-
-    rows = [(f"h{i % 3}", float(i), "claim" if i % 4 else "complete", f"o{i % 5}") for i in range(90)]
-    events = spark.createDataFrame(rows, "host string, t double, kind string, owner string")
-    events.write.parquet(str(tmp_path / "in"))
-    step = lambda s, e: {"host": e["host"]} | pacing.grant(s, e, 7.0)
-    stateful.use_rocksdb(spark)
-    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
-    folder = stateful.run_to_table(stateful.machine(stream, "host", ["t"], dict, step, "host string, t double, ok boolean"), "m", str(tmp_path / "log"), "append")
-    got = {(r["host"], r["t"]): r["ok"] for r in spark.read.parquet(folder).collect()}
-    want, states = {}, {}
-    for host, at, kind, owner in rows:
-        want[host, at] = pacing.grant(states.setdefault(host, {}), {"t": at, "kind": kind, "owner": owner}, 7.0)["ok"]
-    assert got == want and len(got) == 90 and {True, False} == set(got.values())
-
-
 def test_order_of_exports(spark):
     rows = spark.createDataFrame([("k", i) for i in range(10)] + [("k", 99)], "key string, i int")
     assert export.increasing(rows, "key", ["i"]).count() == 0 and export.duplicate_keys(rows, ["key"]).count() == 1

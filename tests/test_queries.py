@@ -7,6 +7,9 @@ from presswork import registry
 
 QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
+#: Nothing in the smallest tables fits these.
+EMPTY = {"mode_only_pair"}
+
 
 @pytest.fixture(scope="module")
 def con(small):
@@ -15,7 +18,9 @@ def con(small):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, small, con, name):
-    same(con, QUERIES[name](spark, small), SQL[name])
+    found = QUERIES[name](spark, small)
+    same(con, found, SQL[name])
+    assert name in EMPTY or found.count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
