@@ -255,9 +255,21 @@ def paused_outlets(events: DataFrame, order: list[str]) -> DataFrame:
     return runs.where((F.col("streak") >= 2) | F.col("status").isin("rate_limited", "robots_unavailable")).select("outlet").distinct()
 
 
-def rolling(events: DataFrame, key: str, value: str, n: int, order: list[str], piece: Column | None = None) -> DataFrame:
-    """events with the last n values of their key. Keys are worked on in pieces, the days of
-    order[0] where none are given; a piece hands on its last n - 1 values."""
+def rolling(events: DataFrame, key: str, value: str, n: int, order: list[str], piece: Column | None = None, reset: Column | None = None) -> DataFrame:
+    """events with the last n values of their key, since the last event for which reset holds: that
+    one's own window still has what came before it. Keys are worked on in pieces, the days of
+    order[0] where none are given; a piece hands on its last n - 1 values and the place of its
+    last reset."""
+    if reset is not None:
+        marked = events.withColumn("_reset", F.coalesce(reset, F.lit(False)))
+        placed = numbered(marked, key, order, _days(events, order[0]) if piece is None else piece, {"_was": F.max(F.when(F.col("_reset"), F.col("_n")))})
+        at = F.col("_before") + F.col("_n")
+        earlier = Window.partitionBy(key, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        inside = F.max(F.when(F.col("_reset"), at)).over(earlier)
+        placed = placed.withColumn("_since", (at - F.coalesce(inside, "_was", F.lit(0))).cast("int")).drop("_reset", "_was", "_before", "_n")
+        found = rolling(placed, key, value, n, order, F.col("_piece"))
+        few = F.least(F.size("last"), F.col("_since"))
+        return found.withColumn("last", F.slice("last", F.size("last") - few + 1, few)).drop("_since")
     tail = F.transform(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("_n", value)))), 1, n - 1), lambda x: x[value])
     rows = events.withColumn("_piece", _days(events, order[0]) if piece is None else piece)
     inside = Window.partitionBy(key, "_piece").orderBy(*order)

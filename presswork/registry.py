@@ -463,6 +463,13 @@ def rolling_outcomes(spark: SparkSession, d: str) -> DataFrame:
     return collection.rolling(_events(spark, d), "outlet", "status", 5, ["updated_at", "seq"]).select("seq", "outlet", _text("last"))
 
 
+@query(EV + """, g AS (SELECT *, coalesce(sum(CAST(status = 'exhausted' AS INT)) OVER (PARTITION BY outlet ORDER BY updated_at, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM ev)
+SELECT seq, outlet, array_to_string(list(status) OVER (PARTITION BY outlet, g ORDER BY updated_at, seq ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), ';') AS last FROM g""")
+def rolling_outcomes_reset(spark: SparkSession, d: str) -> DataFrame:
+    """The last five outcomes of an outlet since the last one that changed its pace."""
+    return collection.rolling(_events(spark, d), "outlet", "status", 5, ["updated_at", "seq"], reset=F.col("status") == "exhausted").select("seq", "outlet", _text("last"))
+
+
 @query(EV + """, h AS (SELECT outlet, date_trunc('hour', updated_at) AS t, count(*) AS n FROM ev GROUP BY 1, 2), c AS (SELECT outlet, t, sum(n) OVER (PARTITION BY outlet ORDER BY t) AS saved FROM h)
 SELECT outlet, t, CAST(saved AS BIGINT) AS saved, round((saved - lag(saved) OVER w) / (epoch_us(t) - epoch_us(lag(t) OVER w)) * 3.6e9, 6) AS per_hour FROM c WINDOW w AS (PARTITION BY outlet ORDER BY t)""")
 def snapshot_rates(spark: SparkSession, d: str) -> DataFrame:
@@ -752,7 +759,18 @@ r AS (SELECT host, event_id, n, t, t AS start FROM e WHERE n = 1 UNION ALL SELEC
 SELECT host, event_id, start, start - t AS wait FROM r""")
 def host_pacing_fold(spark: SparkSession, d: str) -> DataFrame:
     """When hosts' requests may start that are an hour apart."""
-    return pacing.starts(_log(spark, d), "host", F.col("t"), ["t", "event_id"], 3_600_000_000).select("host", "event_id", "start", "wait")
+    return pacing.permits(_log(spark, d).select("host", "event_id", "t"), "host", F.col("t"), ["t", "event_id"], 3_600_000_000).select("host", "event_id", "start", "wait")
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT 'h' || (user_id % 7) AS host, event_id, {_MICROS} AS t, row_number() OVER (PARTITION BY user_id % 7 ORDER BY ts, event_id) AS n FROM events),
+r AS (SELECT host, event_id, n, t, [t, NULL, NULL] AS s FROM e WHERE n = 1 UNION ALL
+  SELECT e.host, e.event_id, e.n, e.t, [greatest(e.t, r.s[1] + 120000000, coalesce(r.s[3] + 5400000000, 0)), r.s[1], r.s[2]] FROM e JOIN r ON e.host = r.host AND e.n = r.n + 1)
+SELECT host, event_id, s[1] AS start, s[1] - t AS wait FROM r""")
+def host_permits(spark: SparkSession, d: str) -> DataFrame:
+    """When few hosts' many requests may start: two minutes apart, three permits of an hour and a
+    half at once (T8)."""
+    log = _log(spark, d).select(F.concat(F.lit("h"), (F.col("user_id") % 7).cast("string")).alias("host"), "event_id", "t")
+    return pacing.permits(log, "host", F.col("t"), ["t", "event_id"], 120_000_000, 5_400_000_000, 3).select("host", "event_id", "start", "wait")
 
 
 @query("""WITH e AS (SELECT 'h' || user_id AS host, event_id, ts, CAST(event_type IN ('error', 'purchase') AS INT) AS hit FROM events), i AS (SELECT *, sum(1 - hit) OVER (PARTITION BY host ORDER BY ts, event_id) AS g FROM e),

@@ -357,3 +357,45 @@ def test_evidence_by_host(spark):
     assert read(classify.with_evidence(docs, outlets, suffixes)) == {1: ("a.co.ke", "KE", "KE"), 2: ("a.co.ke", "KE", "KE"), 4: ("c.ck", None, "CK"), 5: (None, None, None), 6: ("news.com", None, None)}
     ruled = classify.with_evidence(docs, outlets, suffixes, domains.rules(spark.createDataFrame([(x,) for x in PSL], "line string")))
     assert read(ruled) == {1: ("a.co.ke", "KE", "KE"), 2: ("a.co.ke", "KE", "KE"), 4: (None, None, None), 5: (None, None, None), 6: ("news.com", None, None)}
+
+
+def paced(times, spacing, hold, capacity):
+    starts = []
+    for t in times:
+        out = [s + hold for s in starts]
+        now = max(t, starts[-1] + spacing if starts else t)
+        while sum(e > now for e in out) >= capacity:
+            now = min(e for e in out if e > now)
+        starts.append(now)
+    return starts
+
+
+@pytest.mark.parametrize(("capacity", "spacing", "hold"), [(1, 10, 0), (1, 3, 25), (4, 2, 40), (2, 0, 17), (4, 9, 5)])
+def test_permits(spark, capacity, spacing, hold):
+    import random
+
+    rng = random.Random(capacity + spacing)
+    rows = [(h, i, rng.randrange(600)) for h in ("hot", None, "b") for i in range(150 if h == "hot" else 25)]
+    df = spark.createDataFrame(rows, "host string, i int, t long")
+    got = {(r["host"], r["i"]): (r["start"], r["wait"]) for r in pacing.permits(df, "host", F.col("t"), ["t", "i"], spacing, hold, capacity, F.floor(F.col("t") / 50)).collect()}
+    for host in ("hot", None, "b"):
+        mine = sorted((t, i) for h, i, t in rows if h == host)
+        want = paced([t for t, _ in mine], spacing, hold, capacity)
+        assert [got[host, i] for _, i in mine] == [(s, s - t) for s, (t, _) in zip(want, mine, strict=True)]
+    assert pacing.permits(df.limit(0), "host", F.col("t"), ["t", "i"], 1).count() == 0
+
+
+def test_rolling_with_resets(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [("k", i, rng.choice("abcr")) for i in range(80)] + [("j", i, "r") for i in range(5)]
+    df = spark.createDataFrame(rows, "key string, i int, v string")
+    got = {(r["key"], r["i"]): r["last"] for r in collection.rolling(df, "key", "v", 4, ["i"], F.floor(F.col("i") / 6), F.col("v") == "r").collect()}
+    for key in "kj":
+        held = []
+        for k, i, v in rows:
+            if k == key:
+                held = [*held, v][-4:]
+                assert got[k, i] == held
+                held = [] if v == "r" else held
