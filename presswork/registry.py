@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from presswork.functions import domains, urls
 from presswork.functions import pages as page_functions
 from presswork.functions import text as texts
-from presswork.operators import audit, browse, classify, collection, export, packing
+from presswork.operators import audit, browse, classify, collection, export, extraction, packing
 from presswork.plans.lineage import cut
 from presswork.sources import proxy
 from presswork.sources.proxy import CODE, EVENTS_SQL, OBS_SQL, PIVOT, RAW_SQL, TARGET
@@ -747,6 +747,40 @@ def extract_pages(spark: SparkSession, d: str) -> DataFrame:
     return page_functions.extract_pages(table(spark, d, "pages"))
 
 
+@query()
+def extract_articles(spark: SparkSession, d: str) -> DataFrame:
+    """Articles by balanced elements and a choice among candidates (E1c-E1f E2); tests hold them
+    against a tree that is built page by page."""
+    return extraction.extract(table(spark, d, "pages")).withColumn("links", F.array_join("links", " "))
+
+
+_JSON = """CASE page_id % 4 WHEN 0 THEN '{"@graph":[{"@type":"WebPage"},{"@type":"NewsArticle","articleBody":"b' || page_id || '","isAccessibleForFree":"False"}]}'
+  WHEN 1 THEN '[{"@type":["Thing","BlogPosting"],"isAccessibleForFree":false,"x":[[{"@type":"Article","articleBody":"n' || page_id || '"}]]}]' WHEN 2 THEN '{"@type":"Person"}' ELSE '{broken' END"""
+
+
+@query(f"""WITH p AS (SELECT page_id, {_JSON} AS j FROM pages), t AS (SELECT page_id, x.value AS v FROM p, LATERAL (SELECT value FROM json_tree(CASE WHEN json_valid(j) THEN j ELSE '0' END) WHERE type = 'OBJECT') x)
+SELECT page_id, json_extract_string(v, '$.articleBody') AS body, coalesce(lower(json_extract_string(v, '$.isAccessibleForFree')) = 'false', FALSE) AS closed FROM t WHERE regexp_matches(CAST(json_extract(v, '$."@type"') AS VARCHAR), 'Article|BlogPosting')""")
+def structured_articles(spark: SparkSession, d: str) -> DataFrame:
+    """What pages' structured data says of articles, at whatever depth."""
+    script = F.concat(F.lit('<script type="application/ld+json">'), F.expr(_JSON), F.lit("</script>"))
+    pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("k"), F.concat(F.coalesce("html", F.lit("")), script).alias("html"))
+    return extraction.structured(pages).select(F.col("k").cast("long").alias("page_id"), "body", "closed")
+
+
+_MORE = """CASE page_id % 5 WHEN 0 THEN '<div><p><a class="x" href="/more/' || page_id || '">Read <b>more</b></a></p></div></article>' WHEN 1 THEN '<aside><div><a href="/no">read more</a></div></aside></article>'
+  WHEN 2 THEN '</article><a href="/out">read more</a>' WHEN 3 THEN '<a href="next">Continue reading ...</a><a href="https://else.example/full">read the full story</a><a href="/third">read more</a></article>' ELSE '</article>' END"""
+
+
+@query(f"""WITH p AS (SELECT page_id, url, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS root, regexp_extract(url, '^(https?://[^?#]*/)', 1) AS folder FROM pages WHERE len(regexp_extract_all(html, '<article')) = 1)
+SELECT page_id, CASE page_id % 5 WHEN 0 THEN root || '/more/' || page_id ELSE folder || 'next https://else.example/full' END AS links FROM p WHERE page_id % 5 IN (0, 3)""")
+def continuation_links(spark: SparkSession, d: str) -> DataFrame:
+    """Where a page's article says that it goes on."""
+    pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("k"), "url", F.replace("html", F.lit("</article>"), F.expr(_MORE)).alias("html"))
+    rows = cut(extraction.events(pages))
+    links = extraction.onward(rows, cut(extraction.elements(rows)), pages)
+    return links.select(F.col("k").cast("long").alias("page_id"), F.array_join("links", " ").alias("links"))
+
+
 _MICROS = "epoch_us(ts)"
 
 
