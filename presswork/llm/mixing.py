@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswork.plans.lineage import cut
@@ -34,18 +34,16 @@ def uniform(*parts: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**52))
 
 
-def distribution(rate: Column) -> Column:
-    """Poisson distribution function at 0, 1, ... until what is left is below 2**-52."""
-    top = F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
-    zero = F.exp(-rate)
-    start = F.struct(F.array(zero).alias("at"), (-rate).alias("lp"), zero.alias("sum"))
-
-    def step(acc: Column, k: Column) -> Column:
-        lp = acc["lp"] + F.log(rate) - F.log(k.cast("double"))
-        total = acc["sum"] + F.exp(lp)
-        return F.struct(F.concat(acc["at"], F.array(total)).alias("at"), lp.alias("lp"), total.alias("sum"))
-
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), top), start, step, lambda acc: acc["at"])).otherwise(F.array(F.lit(1.0)))
+def distributions(rated: DataFrame) -> DataFrame:
+    """rated(source_key, rate) with `at`, the Poisson distribution function at 0, 1, ... until what is
+    left is below 2**-52: running sums over a row a step, so a large rate costs its length once."""
+    rate, k = F.col("rate"), F.col("k")
+    top = F.when(rate > 0, F.ceil(rate + 12 * F.sqrt(rate) + 20)).otherwise(0).cast("int")
+    order = Window.partitionBy("source_key").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    steps = rated.select("source_key", "rate", F.explode(F.sequence(F.lit(0), top)).alias("k"))
+    logs = steps.withColumn("lp", F.sum(F.when(k > 0, F.log(rate) - F.log(k.cast("double"))).otherwise(-rate)).over(order))
+    sums = logs.withColumn("p", F.sum(F.exp("lp")).over(order))
+    return sums.groupBy("source_key", "rate").agg(F.array_sort(F.collect_list("p")).alias("at"))
 
 
 def source_key(source: Column) -> Column:
@@ -69,7 +67,7 @@ def rates(docs: DataFrame, weights: Mapping[str, float] | None = None, temperatu
     n, total = counted.agg(F.sum("n"), F.sum("share")).first()
     wanted = float(rows if rows is not None else n or 0)
     rate = F.col("share") / F.lit(float(total or 1.0)) * F.lit(wanted) / F.col("n")
-    return counted.select("source_key", rate.alias("rate")).withColumn("at", distribution(F.col("rate")))
+    return distributions(counted.select("source_key", rate.alias("rate")))
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, temperature: float = 0.5, rows: float | None = None, seed: int = 20240501, detail: bool = False) -> DataFrame:

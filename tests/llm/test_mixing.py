@@ -39,8 +39,9 @@ def test_weights(make):
 
 
 def test_large_rate(spark):
-    rows = spark.createDataFrame([(900.0,), (0.0,)], "rate double").select(mixing.distribution(mixing.F.col("rate")).alias("at")).collect()
-    assert abs(rows[0]["at"][-1] - 1) < 1e-9 and rows[1]["at"] == [1.0]
+    rows = {r["source_key"]: r["at"] for r in mixing.distributions(spark.createDataFrame([("a", 900.0), ("b", 0.0), ("c", 50_000.0)], "source_key string, rate double")).collect()}
+    assert abs(rows["a"][-1] - 1) < 1e-9 and rows["b"] == [1.0] and abs(rows["c"][-1] - 1) < 1e-6
+    assert abs(rows["c"][50_000] - 0.5) < 0.01
 
 
 def test_empty(make):
