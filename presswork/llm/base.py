@@ -10,6 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Copies of a row that one task repeats.
+COPIES = 4096
+
+
+def repeated(rows: DataFrame, copies: str, key: list[str], counts: DataFrame) -> DataFrame:
+    """rows, each as often as its column `copies` says, which then numbers them from 1. Rows of more
+    than COPIES are dealt out again first, so no task repeats one more often. counts: a table that
+    is quick to read and has the same column, to see whether there are such rows."""
+    hot = not counts.where(F.col(copies) > COPIES).isEmpty()
+    numbered = lambda df, before: df.withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).withColumn(copies, F.col(copies) + before)
+    if not hot:
+        return numbered(rows, F.lit(0))
+    few = numbered(rows.where(F.col(copies) <= COPIES), F.lit(0))
+    pieces = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / COPIES))
+    many = rows.where(F.col(copies) > COPIES).withColumn("_piece", F.explode(pieces)).repartition(*key, "_piece")
+    many = many.withColumn(copies, F.least(F.lit(COPIES).cast("long"), F.col(copies) - F.col("_piece") * COPIES))
+    return few.unionByName(numbered(many, F.col("_piece") * COPIES).drop("_piece"))
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32(doc_id as text) mod modulus; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus

@@ -30,6 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presswork.llm.base import repeated
 from presswork.plans.lineage import cut
 
 N = 10
@@ -37,9 +38,6 @@ N = 10
 PER_PASS = 2_000_000
 #: Windows, counted with each of their items, up to which they are broadcast to verify hits.
 BROADCAST = 200_000
-#: Copies of a row that one task repeats.
-COPIES = 4096
-
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word with what stands before it, or the end of a text, before lower-casing.
@@ -132,18 +130,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N) -> tuple[Dat
     return each.drop("classes"), items
 
 
-def repeated(rows: DataFrame, copies: str, key: list[str]) -> DataFrame:
-    """rows, each as often as its copies says, without that column; no task repeats a row more than
-    COPIES times."""
-    rest = [c for c in rows.columns if c != copies]
-    few = rows.where(F.col(copies) <= COPIES)
-    some = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / COPIES))
-    many = rows.where(F.col(copies) > COPIES).withColumn("_piece", F.explode(some)).repartition(*key, "_piece")
-    many = many.withColumn(copies, F.least(F.lit(COPIES), F.col(copies) - F.col("_piece") * COPIES)).drop("_piece")
-    every = few.unionByName(many)
-    return every.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*rest)
-
-
 def report(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """A row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256 (of the items' ids,
     sorted as texts and joined by commas) and contaminated."""
@@ -152,7 +138,7 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     joined = each.join(ids, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text")), "left")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     out = joined.select("id", "text_key", "copies", "n_words", hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"))
-    return repeated(out, "copies", ["id", "text_key"]).select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
+    return repeated(out, "copies", ["id", "text_key"], each.select("copies")).select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, whole: bool = False, n: int = N) -> DataFrame:

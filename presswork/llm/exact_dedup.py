@@ -14,9 +14,10 @@ exactly one stays; an empty table gives an empty result; other columns are ignor
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presswork.llm.base import repeated
 from presswork.plans.lineage import cut
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -51,26 +52,23 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, bits: int = 128) -> DataFrame:
-    """A row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
+    """A row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256. Rows that repeat
+    an id with its text are one row with a count while they meet their group."""
     rows = _source(docs)
     found = cut(classes(rows, bits))
-    # identical rows on (text, doc_id) are numbered so that exactly one can stay
-    tie = Window.partitionBy("hash", "id", "sha").orderBy(F.lit(0))
-    member = rows.select("id", content_hash(F.col("norm"), bits).alias("hash"), F.sha2("norm", 256).alias("sha")).withColumn("nth", F.row_number().over(tie))
-    single = member.join(found.where("texts = 1").drop("sha", "texts"), "hash")
-    parts = [single]
+    hashed = rows.select("id", content_hash(F.col("norm"), bits).alias("hash"), F.sha2("norm", 256).alias("sha"))
+    member = cut(hashed.groupBy("id", "hash", "sha").agg(F.count(F.lit(1)).alias("nth")))
+    out = member.join(found.where("texts = 1").drop("sha", "texts"), "hash").select("id", "sha", "nth", "keep_id", "group_size")
     shared = found.where("texts > 1").select("hash")
     if not shared.isEmpty():
         # the hash collided: group these rows by their bytes alone
         clash = rows.withColumn("hash", content_hash(F.col("norm"), bits)).join(shared, "hash", "left_semi")
         exact = clash.groupBy("norm").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        numbered = clash.withColumn("nth", F.row_number().over(Window.partitionBy("norm", "id").orderBy(F.lit(0))))
-        parts.append(numbered.join(exact, "norm").withColumn("sha", F.sha2("norm", 256)).select(single.columns))
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
+        each = clash.groupBy("norm", "id").agg(F.count(F.lit(1)).alias("nth"))
+        out = out.unionByName(each.join(exact, "norm").withColumn("sha", F.sha2("norm", 256)).select(out.columns))
+    every = repeated(out, "nth", ["id", "sha"], member)
     kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)
-    return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))
+    return every.select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame, bits: int = 128) -> DataFrame:

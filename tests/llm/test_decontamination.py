@@ -5,7 +5,7 @@ import pytest
 from oracle import connect, same
 
 from presswork.llm import decontamination as d
-from presswork.llm import queries
+from presswork.llm import base, queries
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BENCH = "item_id long, text string, w string, h long"
@@ -62,7 +62,7 @@ def test_other_sizes(make, bench, n):
 def test_passes_and_joins_give_the_same(make, bench, monkeypatch):
     monkeypatch.setattr(d, "PER_PASS", 2)
     monkeypatch.setattr(d, "BROADCAST", 0)
-    monkeypatch.setattr(d, "COPIES", 3)
+    monkeypatch.setattr(base, "COPIES", 3)
     docs = DOCS + [(20, "short item")] * 10
     assert rows(d.report(make(docs), bench)) == brute(docs, ITEMS)
 

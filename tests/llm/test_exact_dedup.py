@@ -37,6 +37,17 @@ def test_keep_one(make, odd, bits):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_rows_that_repeat_often(make, monkeypatch):
+    from presswork.llm import base
+
+    monkeypatch.setattr(base, "COPIES", 4)
+    pairs = [(None, "same")] * 23 + [(7, "same")] * 9 + [(3, "one"), (None, "alone")] + [(None, "null")] * 6
+    found = exact_dedup.groups(make(pairs)).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in found), key=repr) == sorted(brute(pairs), key=repr)
+    kept = [r["text_sha256"] for r in found if r["kept"]]
+    assert len(kept) == len(set(kept)) == 4
+
+
 def test_empty(make):
     assert exact_dedup.groups(make([])).count() == 0
     assert exact_dedup.keep_one(make([])).count() == 0
