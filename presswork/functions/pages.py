@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 OUTSIDE = ("script", "style", "noscript", "svg", "nav", "aside", "footer", "form")
 #: Characters of a whole article and of a part of one, and articles that make a listing.
 WHOLE, PART, LISTING = 600, 150, 8
-#: Wording of a paywall, and titles of pages that are no article.
+#: Wording of a paywall, and titles of pages that are no article.
 WALLS = r"subscribe to (?:read|continue)|subscribers only|sign in to continue reading|log in to read"
 REFUSALS = r"just a moment|access denied|attention required|verify you are human|captcha|page not found|404 not found"
 #: Entities of HTML that text of articles holds; the ampersand comes last.

@@ -29,8 +29,9 @@ def validate(country: str, start: date, end: date, interval: str, pivot: str = "
 
 
 def daily(obs: DataFrame) -> DataFrame:
-    """The audit's fact: URLs a day for each outlet and classification."""
-    return obs.groupBy("day", "outlet_group", "outlet", "outlet_country", "estimated_country", "domain_country", "classification_basis").agg(F.count_distinct("url").alias("article_count"))
+    """The audit's fact: URLs a day for each outlet and classification, of observations, which are a
+    row for each URL of a day and classification."""
+    return obs.groupBy("day", "outlet_group", "outlet", "outlet_country", "estimated_country", "domain_country", "classification_basis").agg(F.count("url").alias("article_count"))
 
 
 def audit(facts: DataFrame, start: date, end: date, interval: str) -> DataFrame:

@@ -63,7 +63,7 @@ def write_parts(parts: DataFrame, key: str, folder: str) -> DataFrame:
 
 def within_budget(df: DataFrame, limit: int) -> int:
     """The optimizer's size of a plan in bytes; ValueError beyond the limit."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size > limit:
         raise ValueError(f"the plan reads about {size} bytes; the limit is {limit}")
     return size

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session. Where it is unset in local mode, a folder of this
-    driver's own that is remembered for the session; on a cluster, where executors could
+    driver's own that is remembered for the session and goes with the process; on a cluster, where executors could
     not see such a folder, an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
@@ -19,6 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
         found = getattr(spark, "_presswork_dir", None)
         if not found:
             found = spark._presswork_dir = tempfile.mkdtemp(prefix="presswork-")
+            atexit.register(shutil.rmtree, found, ignore_errors=True)
     return found.rstrip("/")
 
 

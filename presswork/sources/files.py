@@ -48,21 +48,22 @@ def checkpoints(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def bounded_texts(spark: SparkSession, path: str, limit: int) -> DataFrame:
     """(path, text, error) of files whose contents are limit bytes at most. Gzip files may have
-    several members; one that ends early or is broken is an error, and files without gzip's
-    first bytes are read as they are. Larger ones are reported, and not unpacked beyond the
+    several members and zero bytes after each; one that ends early or is broken is an error, and
+    files without gzip's first bytes are read as they are. Larger ones are reported, and not unpacked beyond the
     limit."""
 
     def unpacked(content: bytes) -> bytes:
         if content[:2] != b"\x1f\x8b":
             return content[: limit + 1]
-        data, rest = b"", content
-        while rest and len(data) <= limit:
+        parts, size, rest = [], 0, content
+        while rest and size <= limit:
             member = zlib.decompressobj(31)
-            data += member.decompress(rest, limit + 1 - len(data))
-            if len(data) <= limit and not member.eof:
+            parts.append(member.decompress(rest, limit + 1 - size))
+            size += len(parts[-1])
+            if size <= limit and not member.eof:
                 raise ValueError("the file ends within a member")
-            rest = member.unused_data
-        return data
+            rest = member.unused_data.lstrip(b"\0")  # files may be padded
+        return b"".join(parts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

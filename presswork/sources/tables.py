@@ -23,3 +23,10 @@ def write_by_day(df: DataFrame, path: str, time: str, cluster: list[str], files:
 def read_days(spark: SparkSession, path: str, start, end) -> DataFrame:
     """The rows of the days from start to end; other days' folders are not opened."""
     return spark.read.parquet(path).where(F.col("day").between(F.lit(start), F.lit(end)))
+
+
+def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> None:
+    """df as a table whose rows lie in buckets by the hash of keys, sorted by them: windows, groups
+    and joins on these keys read it without a shuffle. path: where, if not in the warehouse."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)

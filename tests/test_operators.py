@@ -399,3 +399,48 @@ def test_rolling_with_resets(spark):
                 held = [*held, v][-4:]
                 assert got[k, i] == held
                 held = [] if v == "r" else held
+
+
+def test_bucketed_tables_need_no_shuffle(spark, tmp_path):
+    rows = spark.createDataFrame([(f"r{i % 3}", f"a{i % 40}", f"o{i % 7}", i, ["saved", "deferred"][i % 2], i) for i in range(400)], "run_id string, article_id string, outlet string, updated_at long, status string, seq long")
+    keys = ["run_id", "article_id"]
+    tables.write_bucketed(rows, "bucketed_events", keys, 8, str(tmp_path / "events"))
+    tables.write_bucketed(rows.select(*keys, "outlet").distinct(), "bucketed_manifest", keys, 8, str(tmp_path / "manifest"))
+    events, manifest = spark.table("bucketed_events"), spark.table("bucketed_manifest")
+    newest = collection.latest(events, keys)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (newest, collection.pending(manifest, newest)):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plain = collection.latest(rows, keys)
+    assert sorted(map(tuple, newest.collect())) == sorted(map(tuple, plain.collect()))
+    assert collection.pending(manifest, newest).count() == collection.pending(rows.select(*keys, "outlet").distinct(), plain).count() > 0
+    for name in ("bucketed_events", "bucketed_manifest"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_padded_gzip(spark, tmp_path):
+    import gzip
+
+    one, two = gzip.compress(b"one "), gzip.compress(b"two")
+    (tmp_path / "a.bin").write_bytes(one + bytes(512) + two + bytes(7))
+    (tmp_path / "b.bin").write_bytes(one + b"\0\0rubbish")
+    found = {r["path"][-5]: r for r in files.bounded_texts(spark, str(tmp_path / "*.bin"), 100).collect()}
+    assert found["a"]["text"] == "one two" and found["a"]["error"] is None and found["b"]["error"]
+
+
+def test_budget_and_sorting(spark):
+    rows = spark.createDataFrame([("b", 2, None), ("a", 1, "z"), (None, 3, "y")], "outlet string, n int, v string")
+    some = spark.range(1000)
+    size = export.within_budget(some, 10**9)
+    assert size == 8000
+    with pytest.raises(ValueError, match="limit"):
+        export.within_budget(some, size - 1)
+    urls_ = spark.range(1).select(text.tail_link(F.array(*map(F.lit, ("b", "a", "b", "c")))).alias("x"), browse.pages(F.lit(43)).alias("n"), browse.pages(F.lit(0)).alias("none")).first()
+    assert tuple(urls_) == (["b", "a"], 3, 1)
+    assert [r["n"] for r in browse.sort_by(rows, "v", False, ("v", "n")).collect()] == [2, 3, 1]
+    assert [r["n"] for r in browse.sort_by(rows, "n", True, ("v", "n")).collect()] == [3, 2, 1]
+    with pytest.raises(ValueError, match="sort"):
+        browse.sort_by(rows, "outlet", True, ("n",))
