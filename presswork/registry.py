@@ -608,7 +608,7 @@ _ENDS = ["com", "co.uk", "pvt.k12.ma.us", "k12.ma.us", "ck", "www.ck", "kawasaki
 d AS (SELECT DISTINCT lower(raw) AS host FROM h),
 r(rule) AS (VALUES {", ".join(f"('{x.split()[0]}')" for x in RULES[1:])}),
 m AS (SELECT host, rule, len(string_split(rule, '.')) AS n FROM d, r WHERE CASE WHEN starts_with(rule, '!') THEN host = rule[2:] OR ends_with(host, '.' || rule[2:])
-  WHEN starts_with(rule, '*.') THEN regexp_matches(host, '(^|\.)[^.]+\.' || replace(rule[3:], '.', '\.') || '$') ELSE host = rule OR ends_with(host, '.' || rule) END),
+  WHEN starts_with(rule, '*.') THEN regexp_matches(host, '(^|\\.)[^.]+\\.' || replace(rule[3:], '.', '\\.') || '$') ELSE host = rule OR ends_with(host, '.' || rule) END),
 w AS (SELECT host, arg_max(CASE WHEN starts_with(rule, '!') THEN n - 1 ELSE n END, CASE WHEN starts_with(rule, '!') THEN 100 ELSE n END) AS n FROM m GROUP BY host),
 x AS (SELECT d.host, string_split(d.host, '.') AS l, coalesce(n, 1) AS n FROM d LEFT JOIN w USING (host))
 SELECT o_orderkey, CASE WHEN len(l) > n THEN array_to_string(l[len(l) - n:], '.') END AS domain FROM h JOIN x ON x.host = lower(raw)""")
