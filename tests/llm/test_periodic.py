@@ -151,3 +151,30 @@ def test_odd_rows(spark, make, odd, tmp_path):
     assert [r for r in found if r[0] not in (6, 7)] == sorted((expected(*x) for x in small), key=repr)
     make(odd[:0]).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert queries.op11_periodic_runs(spark, f"{tmp_path}/none").count() == 0
+
+
+def brute_by_lag(w):
+    """Runs of a long text: islands of every lag, and a smaller period looked for among divisors."""
+    code = np.unique(w, return_inverse=True)[1]
+    found = []
+    for q in range(1, len(w) // 3 + 1):
+        edge = np.diff(np.concatenate(([0], (code[:-q] == code[q:]).astype(np.int8), [0])))
+        for s, e in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+            n = e - s + q
+            if n >= max(24, 3 * q) and not any(q % d == 0 and (code[s : s + n - d] == code[s + d : s + n]).all() for d in range(1, q)):
+                found.append((s, n, q))
+    return sorted(found)
+
+
+def test_long_documents_equal_islands_of_every_lag(spark):
+    folder = "/root/testdata/sf0.01"
+    pairs = [(r["doc_id"], r["text"]) for r in table(spark, folder, "documents").collect() if len((r["text"] or "").split()) > 900]
+    found = {r[0]: r for r in rows(queries.op11_periodic_runs(spark, folder))}
+    some = 0
+    for i, t in pairs:
+        w = planted(i, t)
+        runs = brute_by_lag(w)
+        some += bool(runs)
+        assert found[i][1] == len(runs) and found[i][7] == digest(collapse(w, runs))
+        assert found[i][6] == digest("".join(f"{s},{n},{q}\n" for s, n, q in runs))
+    assert len(pairs) > 50 and some > 5
