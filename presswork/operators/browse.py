@@ -130,18 +130,21 @@ def sort_by(rows: DataFrame, column: str, descending: bool, allowed: tuple[str,
 
 def opened_by(docs: DataFrame, items: DataFrame, words: int = 12) -> DataFrame:
     """doc_id, item_id for docs(doc_id, text) that hold the first words of items(item_id, text)
-    somewhere (E4). Runs of words are 64-bit hashes, an array a document; the items' hashes,
-    counted and collected where they are few, choose the documents' runs before these are
-    spread, and what is left is joined by hash and compared as text."""
+    somewhere (E4). Each word of a document is hashed once and each run of words from its words'
+    hashes; runs meet the openings by hash in one scan, so nothing but hits leaves it, and hits
+    are compared as text. Openings are broadcast, BROADCAST of them a scan."""
     w = tokens(F.col("text"))
-    openings = cut(items.withColumn("w", w).where(F.size("w") >= words).select("item_id", F.array_join(F.slice("w", 1, words), " ").alias("run")))
-    held = docs.select("doc_id", F.explode(F.array(w)).alias("w")).where(F.size("w") >= words)
-    # each word once, then a run's hash from the hashes of its words
-    hashed = held.select("doc_id", "w", F.explode(F.array(F.transform("w", lambda x: F.xxhash64(x)))).alias("x"))
+    openings = items.withColumn("w", w).where(F.size("w") >= words).select("item_id", F.array_join(F.slice("w", 1, words), " ").alias("run"))
     mixed = lambda get: F.xxhash64(*[get(j) for j in range(words)])
-    runs = hashed.select("doc_id", "w", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("x") - words), lambda i: mixed(lambda j: F.get("x", i + j)))).alias("at", "k"))
     split = F.split("run", " ")
-    wanted = openings.select("item_id", "run", mixed(lambda j: F.xxhash64(F.get(split, F.lit(j)))).alias("k"))
-    few = wanted.limit(BROADCAST + 1).count() <= BROADCAST
-    met = runs.join(F.broadcast(wanted) if few else wanted, "k")
-    return met.where(F.array_join(F.slice("w", F.col("at") + 1, words), " ") == F.col("run")).select("doc_id", "item_id").distinct()
+    wanted = cut(openings.select("item_id", "run", mixed(lambda j: F.xxhash64(F.get(split, F.lit(j)))).alias("k")))
+    hashed = docs.select("doc_id", F.explode(F.array(w)).alias("w")).where(F.size("w") >= words).select("doc_id", "w", F.transform("w", lambda x: F.xxhash64(x)).alias("x"))
+    runs = hashed.select("doc_id", "w", "x", F.explode(F.sequence(F.lit(0), F.size("x") - words)).alias("at"))
+    runs = runs.select("doc_id", "w", "at", mixed(lambda j: F.get("x", F.col("at") + j)).alias("k"))
+    passes = max(1, -(-wanted.count() // BROADCAST))
+    found = None
+    for n in range(passes):
+        met = runs.join(F.broadcast(wanted.where(F.pmod("k", F.lit(passes)) == n)), "k")
+        met = met.where(F.array_join(F.slice("w", F.col("at") + 1, words), " ") == F.col("run")).select("doc_id", "item_id")
+        found = met if found is None else found.unionByName(met)
+    return found.distinct()
