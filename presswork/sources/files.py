@@ -1,8 +1,8 @@
-"""Sources of the news corpus: positional JSON caches, checkpoints, manifests."""
+"""Sources of the news corpus: positional JSON caches, checkpoints, bounded gzip. Manifests are in
+``arrays``."""
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections.abc import Iterator
 
@@ -77,28 +77,3 @@ def bounded_texts(spark: SparkSession, path: str, limit: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "text", "error"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, text string, error string")
-
-
-def strict_objects(text: str) -> list[dict]:
-    """The objects of a JSON array; ValueError for anything else, trailing commas or data."""
-    found = json.loads(text)
-    if not isinstance(found, list) or not all(isinstance(x, dict) for x in found):
-        raise ValueError("not an array of objects")
-    return found
-
-
-def manifests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, item, error): each object of JSON-array files as JSON; a broken file gives one
-    row with its error."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for p, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    rows += [(p, json.dumps(x, separators=(",", ":"), sort_keys=True), None) for x in strict_objects(bytes(content).decode())]
-                except ValueError as e:
-                    rows.append((p, None, str(e)[:200]))
-            yield pd.DataFrame(rows, columns=["path", "item", "error"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, item string, error string")

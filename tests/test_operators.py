@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from presswork.functions import pages, text, urls
 from presswork.operators import audit, browse, classify, collection, export
 from presswork.plans.components import components
-from presswork.sources import files, tables
+from presswork.sources import arrays, files, tables
 from presswork.streaming import pacing
 
 OBS = "day date, url string, outlet string, estimated_country string, domain_country string, countries array<string>, specific_location_countries array<string>"
@@ -309,7 +309,7 @@ def test_files(spark, tmp_path):
         files.json_cache(spark, str(tmp_path / "c.json"), ("places",), 3)
     for name, body in {"good": '[{"a":1},{"a":2}]', "comma": '[{"a":1},]', "rest": '[{"a":1}] x', "kind": "[1]"}.items():
         (tmp_path / f"m-{name}.json").write_text(body)
-    found = files.manifests(spark, str(tmp_path / "m-*.json")).collect()
+    found = arrays.manifests(spark, str(tmp_path / "m-*.json")).collect()
     assert sum(r["item"] is not None for r in found) == 2 and sum(r["error"] is not None for r in found) == 3
     (tmp_path / "b.gz").write_bytes(gzip.compress(b"x" * 1000))
     assert files.bounded_texts(spark, str(tmp_path / "b.gz"), 10).first()["error"] and files.bounded_texts(spark, str(tmp_path / "b.gz"), 1000).first()["text"] == "x" * 1000
