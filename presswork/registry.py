@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -12,8 +13,8 @@ from presswork.functions import domains, urls
 from presswork.functions import pages as page_functions
 from presswork.functions import text as texts
 from presswork.operators import audit, browse, classify, collection, export, extraction, packing
-from presswork.plans.lineage import cut
-from presswork.sources import proxy
+from presswork.plans.lineage import cut, shared_dir
+from presswork.sources import arrays, proxy
 from presswork.sources.proxy import CODE, EVENTS_SQL, OBS_SQL, PIVOT, RAW_SQL, TARGET
 from presswork.sources.tables import table
 from presswork.streaming import expiry, outbox, pacing, snapshots, stateful
@@ -827,6 +828,18 @@ def lease_fold(spark: SparkSession, d: str) -> DataFrame:
     return pacing.leases(rows, "article", F.col("t"), ["t", "event_id"], 172_800_000_000).select("article", "event_id", "holder", "ok")
 
 
+@query("SELECT doc_id, doc_id // 10000 AS file, row_number() OVER (PARTITION BY doc_id // 10000 ORDER BY doc_id) - 1 AS n, lang, strlen(text) AS bytes, sha256(text) AS digest FROM documents")
+def manifest_objects(spark: SparkSession, d: str) -> DataFrame:
+    """All documents as JSON arrays of 10,000 ids a file, read back object by object."""
+    folder = f"{shared_dir(spark)}/manifests-{uuid.uuid4().hex}"
+    rows = table(spark, d, "documents").select("doc_id", "lang", "text")
+    arrays.write_manifests(rows, folder, F.floor(F.col("doc_id") / 10_000), ["doc_id"])
+    found = arrays.manifests(spark, folder).withColumn("x", F.from_json("item", rows.schema))
+    return found.select(
+        "x.doc_id", F.regexp_extract("path", r"/file=(\d+)/", 1).cast("long").alias("file"), "n", "x.lang",
+        F.octet_length("x.text").cast("long").alias("bytes"), F.sha2("x.text", 256).alias("digest"))
+
+
 _FIELDS = ["day", "url", "outlet", "estimated_country", "domain_country", "countries", "specific_location_countries"]
 _QUOTED = " || ',' || ".join(f"coalesce('\"' || {c} || '\"', 'null')" for c in ("strftime(day, '%Y-%m-%d')", "url", "outlet", "estimated_country", "domain_country"))
 

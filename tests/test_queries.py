@@ -9,7 +9,7 @@ QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 #: Queries whose parameters were once outside the data; the smallest tables lack the pair of countries
 #: that others ask for.
-NEVER_EMPTY = {"claim_selection", "packed_export", "suffix_domains", "outbox_export", "download_index_stream", "worker_liveness_stream", "lease_requests", "structured_articles", "continuation_links"}
+NEVER_EMPTY = {"claim_selection", "packed_export", "suffix_domains", "outbox_export", "download_index_stream", "worker_liveness_stream", "lease_requests", "structured_articles", "continuation_links", "manifest_objects"}
 
 
 @pytest.fixture(scope="module")
