@@ -50,8 +50,7 @@ def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:

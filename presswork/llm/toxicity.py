@@ -10,7 +10,7 @@ each at a price, and Viterbi chooses. So are the gaps of longer fragments where
 reading of neighbouring tokens makes up a whole word that has a ratio. Restored words are then scored: each
 distinct word brings the largest log-likelihood ratio among its own and its beginnings'
 (PREFIXES letters), a document's evidence is the sum of its EVIDENCE largest ratios, and a logistic
-function fitted on the sample turns it into a score. All words of the whole text are looked at;
+function fitted on the training rows turns it into a score. All words of the whole text are looked at;
 a sum of all ratios would grow with a clean text's length by words that speak weakly.
 
 Words of letters alone without a letter twice running are a lattice of one path and
@@ -25,10 +25,13 @@ form, so a token whose form begins no ratio's form and is none can't score. Brok
 are found in the same way, by an Aho-Corasick scan of a text's canonical forms for those of
 whole words, and then decoded. There a `*` only stands between letters.
 
-The character model, the ratios and the logistic function are fitted on the PER_CLASS
-labelled rows of each class with the smallest hash of doc_id (all, if fewer), which bounds
-them; all trigrams, words and ratios of that sample are kept, whatever their length. Scores
-read whole texts of all rows.
+The character model, the ratios and the logistic function are fitted on all labelled rows
+that are not held out, each counted once; all trigrams, words and ratios of them are kept,
+whatever their length. Texts are met with labels by a shuffle; counts are added up by task and
+then by key, and each Newton step of the logistic function is a sum over the rows' evidence.
+The query takes that from the pass that reads all rows, which is written once. What the driver
+gets and broadcasts is the trigrams and the parts of words that can have a ratio: it grows with the
+vocabulary of toxic texts, not with their number. Scores read whole texts of all rows.
 
 Defined cases: null and empty texts have no evidence and score what the fit gives for
 none; without labels everything scores the prior 0; null labels teach nothing; a doc_id
@@ -38,23 +41,26 @@ null doc_id is not held out.
 
 from __future__ import annotations
 
+import hashlib
 import math
+import pickle
 import re
+from array import array
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
-from itertools import accumulate, product
+from collections.abc import Callable, Iterator
+from itertools import accumulate, chain, product
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.base import remainder, sample, small_batches
+from presswork.llm.base import remainder, small_batches
 from presswork.plans.lineage import cut
 
-PER_CLASS, PREFIXES, EVIDENCE = 3000, (4, 5, 6, 7, 8), 5
+PREFIXES, EVIDENCE = (4, 5, 6, 7, 8), 5
 #: Natural log penalties of the channel.
 SWAP, REPEAT, SKIP = -1.5, -0.7, -0.7
 NUMBER = -math.log(10)
@@ -66,7 +72,9 @@ GAPS = {True: (math.log(0.8), math.log(0.2)), False: (-1.5, 0.0)}
 #: One-sign tokens that make a run.
 THREE = 3
 #: Words kept in a worker's memory of what they scored.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+#: Words and parts of words that a task counts before it hands counts on.
+COUNTED = 400_000
 
 #: Signs and the letters they are commonly written for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "*": "aeiou"}
@@ -98,6 +106,7 @@ class CharModel:
         for gram, n in two.items():
             self.middle[gram[0]] += n
         self.memo: dict[tuple[str, str, str], float] = {}
+        self.doubles: dict[tuple[str, str, str, bool], bool] = {}
 
     def logp(self, a: str, b: str, c: str) -> float:
         key = (a, b, c)
@@ -108,9 +117,25 @@ class CharModel:
             self.memo[key] = math.log(p)
         return self.memo[key]
 
+    def doubled(self, before: str, letter: str, after: str, more: bool) -> bool:
+        """Is a run of a letter, of two or more, likelier read as two than as one?"""
+        key = (before, letter, after, more)
+        if key not in self.doubles:
+            one = REPEAT + self.logp(before, letter, after)
+            self.doubles[key] = (REPEAT if more else 0.0) + self.logp(before, letter, letter) + self.logp(letter, letter, after) > one
+        return self.doubles[key]
+
+    def undoubled(self, word: str) -> str:
+        """decode() for letters alone. Both readings of a run end in its letter, and with the
+        sign after it their last two characters are the same, so each run is decided by itself."""
+        return _REPEATS.sub(lambda m: m[1] * (1 + self.doubled(word[m.start() - 1] if m.start() else "^", m[1], word[m.end()] if m.end() < len(word) else "$", len(m[0]) > 2)), word)
+
     def decode(self, token: str, ends: bool = True) -> str:
         """The likeliest reading of a token, in time linear in its length; signs at its ends
         can be left out if `ends`."""
+        return self.undoubled(token) if token.isalpha() else self.lattice(token, ends)
+
+    def lattice(self, token: str, ends: bool) -> str:
         runs = [(m[0], m[0][0]) for m in re.finditer(r"(.)\1*", token, re.S)]
         first = len(token) - len(token.lstrip(_SIGNS)) if ends else 0
         last_ = len(token.rstrip(_SIGNS)) if ends else len(token)
@@ -258,14 +283,81 @@ def form(core: str) -> str:
 
 def grams(texts: list[str]) -> Counter:
     """Character trigrams of the distinct plain words of texts."""
-    out: Counter = Counter()
+    words: Counter = Counter()
     for text in texts:
-        for token in set(text.lower().split()):
-            word = _EDGE.sub("", token)
-            if word.isalpha():
-                framed = "^^" + word + "$"
-                out.update(framed[i : i + 3] for i in range(len(framed) - 2))
-    return out
+        words.update(set(text.lower().split()))
+    return trigrams(words)
+
+
+def trigrams(words: Counter) -> Counter:
+    """Character trigrams of the plain ones among tokens, each as often as it is counted."""
+    cores = [(w, n) for token, n in words.items() if (w := token if token.isalpha() else _EDGE.sub("", token)).isalpha()]
+    signs = np.frombuffer("".join([f"^^{w}$" for w, _ in cores]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    inside = (signs[:-2] != ord("$")) & (signs[1:-1] != ord("$"))  # else it begins in one word and ends in the next
+    often = np.repeat([n for _, n in cores], [len(w) + 3 for w, _ in cores])[:-2]
+    found, of = np.unique((signs[:-2] << 42 | signs[1:-1] << 21 | signs[2:])[inside], return_inverse=True)
+    sums = np.bincount(of, often[inside], len(found))  # exact below 2 ** 53
+    return Counter({chr(g >> 42) + chr(g >> 21 & 0x1FFFFF) + chr(g & 0x1FFFFF): int(n) for g, n in zip(found.tolist(), sums.tolist(), strict=True)})
+
+
+class Parts:
+    """The parts of words that tokens are read as, numbered, and in how many texts they are."""
+
+    def __init__(self, model: CharModel):
+        self.model = model
+        self.numbers: dict[str, int] = {}
+        self.tokens: dict[str, int] = {}
+        self.ones: set[str] = set()
+        self.flat, self.ends = array("q"), array("q", [0])
+
+    def of(self, words: set[str]) -> list[int]:
+        every = {p for w in words for p in parts(w)} if len(words) > 1 else parts(*words)
+        return [self.numbers.setdefault(p, len(self.numbers)) for p in every]
+
+    def note(self, token: str) -> None:
+        plain = token.isalpha()
+        core = token if plain else _OUTER.sub("", token)
+        self.tokens[token] = len(self.tokens)
+        self.flat.extend(self.of({core, self.model.undoubled(core)} if core.isalpha() else readings(token, self.model)))
+        self.ends.append(len(self.flat))
+        if not (plain and token[0] != token[-1]) and one_sign(token):
+            self.ones.add(token)
+
+    def add(self, texts: list[str], labels: list[int], sums: np.ndarray) -> np.ndarray:
+        """sums (a row a label, a column a part), with each part of each text added once."""
+        codes, spelt = [], []
+        for text in texts:
+            every = text.lower().split()
+            found = set(every)
+            for token in found.difference(self.tokens):
+                self.note(token)
+            codes.append(np.fromiter(map(self.tokens.__getitem__, found), np.int64, len(found)))
+            words = set() if self.ones.isdisjoint(found) else {w for run in spelled(every, self.ones) for w in self.model.spaced(run)}
+            spelt.append(self.of(words) if words else [])
+        sums = np.pad(sums, ((0, 0), (0, len(self.numbers) - sums.shape[1])))
+        flat, ends = np.array(self.flat, np.int64), np.array(self.ends, np.int64)
+        for code, more, label in zip(codes, spelt, labels, strict=True):
+            start, size = ends[code], ends[code + 1] - ends[code]
+            at = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+            ids = np.concatenate([flat[at], np.array(more, np.int64)])
+            sums[label, ids] += 1  # a number that is there twice counts once
+        return sums
+
+
+def _kept(shared, build: Callable):
+    """What a worker makes of a broadcast (digest, value) and keeps from one task to the next."""
+    digest, value = shared.value
+    if _held.get("digest") != digest:
+        _held.clear()
+        _held.update(digest=digest, made=build(value))
+    return _held["made"]
+
+
+_held: dict = {}
+
+
+def _shared(spark: SparkSession, model: dict):
+    return spark.sparkContext.broadcast((hashlib.sha256(pickle.dumps(model)).hexdigest(), model))
 
 
 class Scorer:
@@ -309,10 +401,10 @@ class Scorer:
 
     def spelled_out(self, stream: str) -> Iterator[tuple[int, int]]:
         """(last sign, length) of each place of a whole word's form in a stream of signs."""
-        if len(self.finder):
-            yield from self.finder.iter(stream)
-        for pattern in self.long:
-            yield from ((m.end(1) - 1, m.end(1) - m.start()) for m in pattern.finditer(stream))
+        found = self.finder.iter(stream) if len(self.finder) else iter(())
+        if not self.long:
+            return found
+        return chain(found, ((m.end(1) - 1, m.end(1) - m.start()) for pattern in self.long for m in pattern.finditer(stream)))
 
     def possible(self, token: str) -> bool:
         """Could some reading of the token have a ratio?"""
@@ -350,6 +442,17 @@ class Scorer:
         if possible and (value := self.word(token)):
             self.hot[token] = value
 
+    def note_all(self, tokens: set[str]) -> None:
+        """The same for many tokens."""
+        plain = [t for t in tokens if t.isalpha()]
+        forms = _REPEATS.sub(r"\1", "\n".join(plain).translate(_FORM)).split("\n") if plain else []
+        for token, f in zip(plain, forms, strict=True):
+            self.forms[token] = token if f == token else f
+            if self.known(f) and (value := self.word(token)):
+                self.hot[token] = value
+        for token in tokens.difference(plain):
+            self.note(token)
+
     def fragments(self, every: list[str], forms: list[str]) -> set[str]:
         """Words with a ratio that neighbouring tokens make up by the likeliest reading."""
         out: set[str] = set()
@@ -386,8 +489,7 @@ class Scorer:
         if len(self.forms) > REMEMBERED:
             self.forms.clear()
             self.hot.clear()
-        for token in words.difference(self.forms):
-            self.note(token)
+        self.note_all(words.difference(self.forms))
         forms = list(map(self.forms.__getitem__, every))
         # a token of one sign has a form of one letter or none
         ones = {t for t, f in zip(every, forms, strict=True) if len(f) < 2 and one_sign(t)}
@@ -404,20 +506,26 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights of a logistic function (first column: 1), by Newton steps."""
-    w = np.zeros(x.shape[1])
-    penalty = np.eye(x.shape[1]) * ridge
+def logistic(sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], size: int, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a logistic function (first column: 1), by Newton steps; sums: the negative
+    second derivative and the gradient of the log likelihood at given weights."""
+    w = np.zeros(size)
+    penalty = np.eye(size) * ridge
     penalty[0, 0] = 1e-3
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (weight * (y - p)) - penalty @ w)
+        second, first = sums(w)
+        step = np.linalg.solve(second + penalty, first - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
+def derivatives(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    return (x * (p * (1 - p))[:, None]).T @ x, x.T @ (y - p)
+
+
 def ratios(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: int = 3, floor: float = 1.0) -> dict[str, float]:
     """Log-likelihood ratio of each part of words that is in `least` toxic texts or more
     and speaks for them by `floor` or more."""
@@ -430,64 +538,134 @@ def ratios(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: in
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: int = PER_CLASS) -> dict:
-    """The fitted model. Of the sample's texts, at most 2 * per_class, the driver gets
-    character trigrams, parts of words with their counts in toxic and clean texts (those
-    that can have a ratio), and a row of evidence for each."""
-    spark = docs.sparkSession
-    few = cut(sample(docs, labels, column, per_class=per_class).groupBy("id").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"), F.min("label").alias("label")))
+def taught(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> DataFrame:
+    """(doc_id, text, label, mark): all labelled rows that are not held out, an id once; mark: a
+    hash of the text."""
+    known = labels.select("doc_id", F.col(column).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
+    known = known.where(remainder(F.col("doc_id"), 3) != 1).groupBy("doc_id").agg(F.min("label").alias("label"))
+    texts = docs.where("doc_id is not null").where(remainder(F.col("doc_id"), 3) != 1).select("doc_id", _text())
+    rows = texts.join(known, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    return cut(rows.withColumn("mark", F.xxhash64("text")))
+
+
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+
+
+def learn(few: DataFrame) -> dict:
+    """Trigrams and ratios of few(text, label)."""
+    spark = few.sparkSession
     sizes = {r["label"]: r["count"] for r in few.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic:
         return {"grams": {}}
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in small_batches(batches):
-            found = grams(texts)
-            yield pa.record_batch([pa.array(list(found)), pa.array(list(found.values()), pa.int64())], names=["gram", "n"])
+        words: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            found = trigrams(words)
+            return pa.record_batch([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["gram", "n"])
 
-    counted = few.select("id", "text").mapInArrow(count_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        for _, texts in small_batches(batches):
+            for text in texts:
+                words.update(set(text.lower().split()))
+            if len(words) > COUNTED:
+                yield out()
+                words.clear()
+        yield out()
+
+    counted = few.select("text").mapInArrow(count_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     model: dict = {"grams": {r["gram"]: r["n"] for r in counted.collect()}}
-    shared = spark.sparkContext.broadcast(model)
+    shared = _shared(spark, model)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = CharModel(shared.value["grams"])
+        held: Parts = _kept(shared, lambda value: Parts(CharModel(value["grams"])))
+        numbers, sums = held.numbers, np.zeros((2, 0), np.int64)
+
+        def out() -> pa.RecordBatch:
+            some = np.flatnonzero(sums.any(axis=0))
+            names = list(numbers)
+            return pa.record_batch([pa.array([names[i] for i in some.tolist()], pa.string()), pa.array(sums[1, some]), pa.array(sums[0, some])], names=["part", "a", "b"])
+
         for part, texts in small_batches(batches):
-            a: Counter = Counter()
-            b: Counter = Counter()
-            for text, label in zip(texts, part.column(2).to_pylist(), strict=True):
-                found = text.lower().split()
-                (a if label else b).update({p for w in spelled_words(found, held).union(*(readings(t, held) for t in set(found))) for p in parts(w)})
-            names = list(a.keys() | b.keys())
-            yield pa.record_batch([pa.array(names, pa.string()), pa.array([a[x] for x in names], pa.int64()), pa.array([b[x] for x in names], pa.int64())], names=["part", "a", "b"])
-
-    strong = few.mapInArrow(emit, "part string, a long, b long").groupBy("part").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a >= 3")
+            if len(held.tokens) > REMEMBERED:
+                yield out()
+                held.__init__(held.model)
+                numbers, sums = held.numbers, np.zeros((2, 0), np.int64)
+            sums = held.add(texts, part.column(1).to_pylist(), sums)
+        yield out()
+
+    strong = few.select("text", "label").mapInArrow(emit, "part string, a long, b long").repartition("part").groupBy("part").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a >= 3")
     strong = strong.where((F.col("a") + 0.5) / (toxic + 1) > 2 * (F.col("b") + 0.5) / (clean + 1))
     model["ratio"] = ratios([(r["part"], r["a"], r["b"]) for r in strong.collect()], toxic, clean)
-    fitted = spark.sparkContext.broadcast(model)
+    return model
 
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(fitted.value)
+
+def evidence(docs: DataFrame, model: dict) -> DataFrame:
+    """doc_id, held_out, mark (a hash of the text) and x, the evidence, for each row of docs."""
+    shared = _shared(docs.sparkSession, {k: v for k, v in model.items() if k != "weights"})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer: Scorer = _kept(shared, Scorer)
         for part, texts in small_batches(batches):
-            yield pa.record_batch([part.column(0), part.column(2), pa.array([scorer.evidence(t) for t in texts], pa.list_(pa.float64()))], names=["id", "label", "x"])
+            yield pa.record_batch([*part.columns[1:], pa.array([scorer.evidence(t) for t in texts], pa.list_(pa.float64()))], names=["doc_id", "held_out", "mark", "x"])
+
+    rows = docs.select(_text(), "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out")).withColumn("mark", F.xxhash64("text"))
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, mark long, x array<double>")
+
 
-    rows = few.mapInArrow(weigh, f"id {docs.schema['doc_id'].dataType.simpleString()}, label int, x array<double>").collect()
-    rows.sort(key=lambda r: r["id"])
-    x = np.array([[1.0, *r["x"]] for r in rows])
-    y = np.array([float(r["label"]) for r in rows])
-    model["weights"] = logistic(x, y, np.ones(len(y)))
+def fit(found: DataFrame, few: DataFrame) -> np.ndarray:
+    """Weights of the logistic function, from the evidence of the rows in few."""
+    known = few.select(F.col("doc_id").alias("id"), F.col("mark").alias("of"), "label")
+    rows = cut(found.join(known, (F.col("doc_id") == F.col("id")) & (F.col("mark") == F.col("of"))).dropDuplicates(["id"]).select("label", "x"))
+
+    def sums(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = len(w)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = np.column_stack([np.ones(len(batch)), batch.column(1).flatten().to_numpy().reshape(len(batch), size - 1)])
+                second, first = derivatives(x, batch.column(0).to_numpy().astype(float), w)
+                yield pa.record_batch([pa.array([v]) for v in (*second.ravel(), *first)], names=names)
+
+        names = [f"s{i}" for i in range(size * (size + 1))]
+        total = np.array(rows.mapInArrow(run, ", ".join(f"{n} double" for n in names)).agg(*[F.sum(n) for n in names]).first(), float)
+        return total[: size * size].reshape(size, size), total[size * size :]
+
+    return logistic(sums, 5)
+
+
+def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> dict:
+    """The model fitted on all labelled rows that are not held out."""
+    few = taught(docs, labels, column)
+    model = learn(few)
+    if "ratio" in model:
+        model["weights"] = fit(evidence(few, model), few)
     return model
 
 
+def _scored(found: DataFrame, weights: np.ndarray | None, threshold: float) -> DataFrame:
+    value = F.lit(0.0)
+    if weights is not None:
+        total = F.lit(float(weights[0]))
+        for i, w in enumerate(weights[1:].tolist()):
+            total = total + F.lit(w) * F.col("x")[i]
+        value = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), total))))
+    rows = found.select("doc_id", "held_out", value.alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
 def score(docs: DataFrame, model: dict, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return _scored(evidence(docs, model), model.get("weights"), threshold)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for part, texts in small_batches(batches):
-            found = scorer.score(texts)
-            yield pa.record_batch([part.column(0), part.column(2), pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), (remainder(F.col("doc_id"), 3) == 1).alias("held_out"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
+def scores(docs: DataFrame, labels: DataFrame, column: str = "toxic", threshold: float = 0.7) -> DataFrame:
+    """Train and score all rows of docs, each read for its evidence once."""
+    few = taught(docs, labels, column)
+    model = learn(few)
+    if "ratio" not in model:
+        return score(docs, model, threshold)
+    found = cut(evidence(docs, model))
+    return _scored(found, fit(found.where("not held_out"), few), threshold)
