@@ -19,7 +19,7 @@ first, so that a text of one repeated word is scanned once and not at each lag.
 What is left of a text when each run keeps its first period is `collapsed`: the kept words
 joined by one space.
 
-Texts are worked on in parts of a few MB (one text at least), row by row: nothing is shuffled.
+Texts are worked on in parts of half a MB (one text at least), row by row: nothing is shuffled.
 Pairs and transforms take about n * sqrt(n log n) steps for n words; scanned lags take n each,
 which a long text of two or three different words can bring to n * n / 4.
 
@@ -42,8 +42,9 @@ from presswork.llm.base import small_batches
 
 #: The fewest words and the fewest periods of a run.
 LEAST, EXPONENT = 24, 3
-#: Differences and transformed values that are held at a time.
-HELD = 4_000_000
+#: Bytes of text worked on at once, and differences that are held at a time: a word takes some
+#: twenty numbers, and workers share the executor's memory with each other and the JVM.
+AT_ONCE, HELD = 1 << 19, 1_000_000
 RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 
 
@@ -129,6 +130,34 @@ def runs_of(code: np.ndarray, count: np.ndarray, least: int = LEAST, exponent: i
     return sorted((s, n, q) for (s, n), q in known.items())
 
 
+def annotated(batches: Iterator[pa.RecordBatch], least: int = LEAST, exponent: int = EXPONENT) -> Iterator[pa.RecordBatch]:
+    """The columns of find() for batches of (doc_id, text)."""
+    for part, texts in small_batches(batches, limit=AT_ONCE):
+        flat, begin = words(pa.array(texts, pa.large_string()))
+        code = flat.dictionary_encode().indices.to_numpy(zero_copy_only=False) if len(flat) else np.zeros(0, np.int32)
+        count = matches(code, begin, exponent)
+        kept, found, ends = np.ones(len(code), dtype=bool), [], [0]
+        lag = np.arange(len(code)) - np.repeat(begin[:-1], np.diff(begin))
+        some = np.maximum(np.maximum(least - lag, (exponent - 1) * lag), 1) <= count[:-1]
+        some &= lag > 0
+        worth = set(np.flatnonzero(np.add.reduceat(some, begin[:-1][np.diff(begin) > 0])).tolist()) if len(code) else set()
+        nth = -1
+        for t in range(len(texts)):
+            s, e = int(begin[t]), int(begin[t + 1])
+            nth += e > s
+            mine = runs_of(code[s:e], count[s : s + (e - s) // exponent + 1], least, exponent) if e > s and nth in worth else []
+            for start, length, period in mine:
+                kept[s + start + period : s + start + length] = False
+            found += mine
+            ends.append(len(found))
+        sizes = np.concatenate(([0], np.cumsum(kept)))[begin]
+        collapsed = pc.binary_join(pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat.filter(pa.array(kept))), pa.scalar(" ", pa.large_string()))
+        table = np.array(found, dtype=np.int64).reshape(-1, 3)
+        items = pa.StructArray.from_arrays([pa.array(table[:, k]) for k in range(3)], fields=list(RUN))
+        runs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(begin), pa.int64()), runs, collapsed.cast(pa.string())], ["doc_id", "n_words", "runs", "collapsed"])
+
+
 def find(docs: DataFrame, least: int = LEAST, exponent: int = EXPONENT) -> DataFrame:
     """doc_id, n_words, runs (array of start, length, period by start, then period) and
     collapsed, for each row of docs."""
@@ -136,30 +165,7 @@ def find(docs: DataFrame, least: int = LEAST, exponent: int = EXPONENT) -> DataF
         raise ValueError("a run holds its period twice at least")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in small_batches(batches):
-            flat, begin = words(pa.array(texts, pa.large_string()))
-            code = flat.dictionary_encode().indices.to_numpy(zero_copy_only=False) if len(flat) else np.zeros(0, np.int32)
-            count = matches(code, begin, exponent)
-            kept, found, ends = np.ones(len(code), dtype=bool), [], [0]
-            lag = np.arange(len(code)) - np.repeat(begin[:-1], np.diff(begin))
-            some = np.maximum(np.maximum(least - lag, (exponent - 1) * lag), 1) <= count[:-1]
-            some &= lag > 0
-            worth = set(np.flatnonzero(np.add.reduceat(some, begin[:-1][np.diff(begin) > 0])).tolist()) if len(code) else set()
-            nth = -1
-            for t in range(len(texts)):
-                s, e = int(begin[t]), int(begin[t + 1])
-                nth += e > s
-                mine = runs_of(code[s:e], count[s : s + (e - s) // exponent + 1], least, exponent) if e > s and nth in worth else []
-                for start, length, period in mine:
-                    kept[s + start + period : s + start + length] = False
-                found += mine
-                ends.append(len(found))
-            sizes = np.concatenate(([0], np.cumsum(kept)))[begin]
-            collapsed = pc.binary_join(pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat.filter(pa.array(kept))), pa.scalar(" ", pa.large_string()))
-            table = np.array(found, dtype=np.int64).reshape(-1, 3)
-            items = pa.StructArray.from_arrays([pa.array(table[:, k]) for k in range(3)], fields=list(RUN))
-            runs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(begin), pa.int64()), runs, collapsed.cast(pa.string())], ["doc_id", "n_words", "runs", "collapsed"])
+        return annotated(batches, least, exponent)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
