@@ -5,6 +5,10 @@ the printable character of the byte-level alphabet, a token's merge is the pair
 merging its own bytes by lower ranks leaves, and a piece that is itself a token is taken
 whole. Each match of the pattern is encoded separately, no special tokens.
 
+A round trip splits texts by the pattern itself and has the library encode each different match
+once: matches are encoded separately, so what a match gives, and what that decodes to, is kept for
+its next occurrence (REMEMBERED matches a worker, then it begins anew).
+
 Decoding looks ids up in a table of byte strings (the alphabet reversed). Tokens may cut
 a character; bytes are joined before they are read as UTF-8, and ``decode`` carries the
 bytes of an unfinished character from one piece to the next.
@@ -24,16 +28,20 @@ import base64
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+import unicodedata
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from presswork.llm.base import small_batches
 
 #: Characters in a piece of a long text, and bytes of text encoded at once.
 PIECE, AT_ONCE = 1 << 16, 1 << 19
+#: Matches whose ids a worker keeps, and the longest that is kept.
+REMEMBERED, LONGEST = 400_000, 64
 
 _BREAK = re.compile("[^\\s\x1c-\x1f\x85](?=[ \n])")
 
@@ -65,6 +73,20 @@ def merge_of(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | Non
     return (parts[0], parts[1]) if len(parts) == 2 else None
 
 
+def splitter(pattern: str) -> Callable[[str], list[str]] | None:
+    """The matches of a pattern in a text, if the regex module reads it as the library does: its classes
+    are general categories and white space, which is Unicode's here and Python's there."""
+    if set(regex.findall(r"\\.|\(\?.", pattern)) <= {r"\p", r"\s", r"\S", "(?!"}:
+        return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+    return None
+
+
+def _assigned(text: str) -> bool:
+    """Has text only characters of which every version of Unicode in use says the same? Those that
+    Python does not know may be letters to one library and not to another."""
+    return text.isascii() or all(unicodedata.category(c) != "Cn" for c in set(text))
+
+
 def model(tokens: list[bytes], pattern: str) -> str:
     """The tokenizers library's JSON for these ranks."""
     ranks, signs = {t: i for i, t in enumerate(tokens)}, alphabet()
@@ -112,6 +134,14 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.tokens = tokens
+        *_, split = (x for x in json.loads(built)["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
+        self.split = splitter(split["pattern"]["Regex"])
+        whole = json.loads(built)
+        whole["pre_tokenizer"] = whole["pre_tokenizer"]["pretokenizers"][-1]
+        self.matches = Tokenizer.from_str(json.dumps(whole))  # takes a text as one match
+        self.matches.encode_special_tokens = True
+        self.ids: dict[str, str] = {}
+        self.bodies: dict[str, bytes] = {}
         self.coder = Tokenizer.from_str(built)
         self.coder.encode_special_tokens = True
         self.names = [str(i) for i in range(len(tokens))]
@@ -129,6 +159,36 @@ class Coder:
                     queue, size = [], 0
         yield from self._drain(queue)
 
+    def written(self, text: str) -> Iterator[tuple[int, str, bytes]]:
+        """For each piece of text: how many ids, the ids in decimal joined by commas, and the bytes that
+        they decode to."""
+        for piece in pieces(text) if text else ():
+            found = self.split(piece) if self.split else []
+            if sum(map(len, found)) != len(piece):  # not read by this pattern as a whole
+                ids = [i for _, some in self.encode([piece]) for i in some]
+                yield len(ids), *self._spelt(ids)
+                continue
+            if len(self.ids) > REMEMBERED:
+                self.ids.clear()
+                self.bodies.clear()
+            every = set(found)
+            new = list(every.difference(self.ids))
+            if not _assigned("".join(new)):
+                ids = [i for _, some in self.encode([piece]) for i in some]
+                yield len(ids), *self._spelt(ids)
+                continue
+            if new:
+                for match, one in zip(new, self.matches.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                    self.ids[match], self.bodies[match] = self._spelt(one.ids)
+            ids, body = ",".join(map(self.ids.__getitem__, found)), b"".join(map(self.bodies.__getitem__, found))
+            for match in new:
+                if len(match) > LONGEST:
+                    del self.ids[match], self.bodies[match]
+            yield ids.count(",") + 1, ids, body
+
+    def _spelt(self, ids: list[int]) -> tuple[str, bytes]:
+        return ",".join([self.names[i] for i in ids]), b"".join([self.tokens[i] for i in ids])
+
     def _drain(self, queue: list[tuple[int, str]]) -> Iterator[tuple[int, list[int]]]:
         for (k, _), found in zip(queue, self.coder.encode_batch_fast([x for _, x in queue], add_special_tokens=False) if queue else [], strict=True):
             yield k, found.ids
@@ -182,13 +242,13 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared)
-        names, tokens = coder.names, coder.tokens
         for part, texts in small_batches(batches):
             counts, ids, bodies = [0] * len(texts), [hashlib.sha256() for _ in texts], [hashlib.sha256() for _ in texts]
-            for k, some in coder.encode(texts):
-                ids[k].update(("," * bool(counts[k]) + ",".join([names[i] for i in some])).encode())
-                bodies[k].update(b"".join([tokens[i] for i in some]))
-                counts[k] += len(some)
+            for k, text in enumerate(texts):
+                for n, some, body in coder.written(text):
+                    ids[k].update(("," * bool(counts[k]) + some).encode())
+                    bodies[k].update(body)
+                    counts[k] += n
             yield pa.record_batch([part.column(0), pa.array(counts, pa.int64()), pa.array([x.hexdigest() for x in ids]), pa.array([x.hexdigest() for x in bodies])], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
