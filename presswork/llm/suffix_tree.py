@@ -130,7 +130,7 @@ class Tally:
     @staticmethod
     def _summed(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         keys, n = (np.concatenate([r[i] for r in runs]) for i in (0, 1))
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)  # sums of equal keys need no order
         keys, n = keys[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         return keys[first], np.add.reduceat(n, first)
@@ -315,12 +315,17 @@ def token_ids(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Where each of wanted stands in the sorted keys; -1 if it does not."""
+    """Where each of wanted stands in the sorted keys; -1 if it does not. In order, so that
+    neighbouring searches meet the same memory."""
     if not len(keys):
         return np.full(len(wanted), -1)
-    at = np.searchsorted(keys, wanted)
+    order = np.argsort(wanted)
+    ordered = wanted[order]
+    at = np.searchsorted(keys, ordered)
     at[at >= len(keys)] = 0
-    return np.where(keys[at] == wanted, at, -1)
+    found = np.empty(len(wanted), np.int64)
+    found[order] = np.where(keys[at] == ordered, at, -1)
+    return found
 
 
 def edges_of(model: dict, ids: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
