@@ -34,9 +34,8 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of batches with about limit bytes of text (one row at least), and their
-    texts; null texts as empty ones."""
+def parts(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of batches with about limit bytes of text (one row at least)."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
@@ -46,11 +45,16 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit:
             while end < len(sizes) and (end == at or total + sizes[end] <= limit):
                 total += int(sizes[end])
                 end += 1
-            part = batch.slice(at, end - at)
-            yield part, [x or "" for x in part.column(batch.schema.get_field_index(text)).to_pylist()]
+            yield batch.slice(at, end - at)
             at = end
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The same parts, and their texts; null texts as empty ones."""
+    for part in parts(batches, text, limit):
+        yield part, [x or "" for x in part.column(part.schema.get_field_index(text)).to_pylist()]
+
+
 def sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int = 3, held: int = 1, per_class: int = 1500) -> DataFrame:
     """(id, text, label): the labelled rows that a classifier may learn from, of each class the
     per_class with the smallest hash of id; those with remainder `held` are left out."""

@@ -34,16 +34,17 @@ are ignored. Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.base import remainder, small_batches
+from presswork.llm.base import parts, remainder
 from presswork.plans.lineage import cut
 
 DEPTH, DIVERGENCE, DISCOUNT, PRIOR = 6, 0.001, 1.0, 10.0
@@ -55,29 +56,34 @@ KEEP = 5e-5
 ROOT = 0.3
 #: Bytes handled at once, and keys that a partition's counts hold before they are merged.
 AT_ONCE, TALLIED = 1 << 20, 1 << 21
-#: Different words, and characters, that a partition counts before it hands words on.
-COUNTED, READ = 400_000, 128 << 20
-
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Bytes of text whose tokens are looked up at once, and bytes of tokens that are counted at once.
+TEXT, READ = 4 << 20, 24 << 20
 
 
 class _Hashes(dict):
     """Spark's xxhash64 of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        found = xxhash.xxh64_intdigest(word, 42)
-        if len(word) <= 64:
-            self[word] = found
-        return found
+        return int(self.of([word])[0])
+
+    @staticmethod
+    def of(words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), np.uint64, len(words))
 
 
 _hashes = _Hashes()
 
 
-def tokens(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+def tokens(texts: pa.Array) -> pa.ListArray:
+    """The tokens of each text, the end as the empty word."""
+    none, blank = pa.scalar("", texts.type), pa.scalar(" ", texts.type)
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, none)))
+    # the end is what follows the last blank, or an empty text itself
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(texts, none), none, pc.binary_join_element_wise(texts, none, blank)))
+
+
+def _bytes(words: pa.Array) -> list[bytes]:
+    return words.cast(pa.large_binary() if pa.types.is_large_string(words.type) else pa.binary()).to_numpy(zero_copy_only=False).tolist()
 
 
 def least(symbols: float) -> float:
@@ -103,15 +109,15 @@ def _mask(symbols_: int) -> int:
 
 class Tally:
     """Counts of keys within a partition: sorted runs that are merged when they hold
-    TALLIED keys, and handed on when merging no longer helps."""
+    TALLIED keys, and handed on when merging no longer helps. Keys come all with counts or all without."""
 
     def __init__(self):
         self.raw, self.waiting, self.runs, self.held = [], 0, [], 0
 
     def add(self, keys: np.ndarray, n: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-        self.raw.append((keys, np.ones(len(keys), np.int64) if n is None else n))
+        self.raw.append((keys, n))
         self.waiting += len(keys)
-        if self.waiting >= AT_ONCE:
+        if self.waiting >= (2 * TALLIED if n is None else AT_ONCE):
             self._sort()
             if self.held >= TALLIED:
                 self._merge()
@@ -120,17 +126,25 @@ class Tally:
 
     def _sort(self) -> None:
         if self.waiting:
-            self.runs.append(self._summed(self.raw))
+            self.runs.append(self._counted([keys for keys, _ in self.raw]) if self.raw[0][1] is None else self._summed(self.raw))
             self.raw, self.waiting, self.held = [], 0, self.held + len(self.runs[-1][0])
 
     def _merge(self) -> None:
-        self.runs = [self._summed(self.runs)]
-        self.held = len(self.runs[0][0])
+        if len(self.runs) > 1:
+            self.runs = [self._summed(self.runs, "stable")]  # which merges what is in order
+            self.held = len(self.runs[0][0])
 
     @staticmethod
-    def _summed(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    def _counted(raw: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        # numbers are sorted much quicker than their places
+        keys = np.sort(np.concatenate(raw))
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return keys[first], np.diff(first, append=len(keys))
+
+    @staticmethod
+    def _summed(runs: list[tuple[np.ndarray, np.ndarray]], kind: str = "quicksort") -> tuple[np.ndarray, np.ndarray]:
         keys, n = (np.concatenate([r[i] for r in runs]) for i in (0, 1))
-        order = np.argsort(keys)  # sums of equal keys need no order
+        order = np.argsort(keys, kind=kind)  # sums of equal keys need no order
         keys, n = keys[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         return keys[first], np.add.reduceat(n, first)
@@ -153,22 +167,20 @@ def _summed(tallied: DataFrame) -> DataFrame:
 def word_counts(docs: DataFrame) -> DataFrame:
     """(key, word, n): the tokens of docs(text), the end as the empty word."""
 
-    def out(counts: Counter) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+    def out(held: list[pa.Array]) -> pa.RecordBatch:
+        found = pc.value_counts(pa.chunked_array(held))
+        return pa.record_batch([found.field("values").cast(pa.binary()), found.field("counts")], names=["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        read = 0
-        for _, texts in small_batches(batches, limit=AT_ONCE):
-            read += sum(map(len, texts))
-            for text in texts:
-                counts.update(tokens(text))
-            counts[b""] += len(texts)
-            if len(counts) >= COUNTED or read >= READ:
-                yield out(counts)
-                counts.clear()
-                read = 0
-        yield out(counts)
+        held, size = [], 0
+        for part in parts(batches, limit=TEXT):
+            held.append(tokens(part.column(0)).flatten())
+            size += held[-1].nbytes
+            if size >= READ:
+                yield out(held)
+                held, size = [], 0
+        if held:
+            yield out(held)
 
     keyed = docs.select("text").mapInArrow(run, "word binary, n long").select(F.xxhash64("word").alias("key"), "word", "n")
     return keyed.repartition("key").groupBy("key", "word").agg(F.sum("n").alias("n"))
@@ -177,7 +189,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def _spelt(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The keys of all symbols of words, one after the other, and how many each word has."""
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    keys = grams(b"".join(b"\n" * DEPTH + w + b"\n" for w in words))
+    pad = b"\n" * DEPTH
+    keys = grams(pad + (b"\n" + pad).join(words) + b"\n")
     return keys[np.arange(lengths.sum()) + np.repeat(DEPTH * np.arange(len(words)), lengths)], lengths
 
 
@@ -208,7 +221,7 @@ def byte_counts(words: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally()
         for batch in batches:
-            every, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            every, n = _bytes(batch.column(0)), batch.column(1).to_numpy()
             for part in _few(every):
                 keys, lengths = _spelt(every[part])
                 yield from tally.add(keys, np.repeat(n[part], lengths))
@@ -301,25 +314,35 @@ def byte_tree(words: DataFrame) -> dict:
     return grow(single, edges, contexts)
 
 
-def token_ids(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """The tokens of texts, one after the other: hashes, numbers (-1 for words that are not
-    broadcast), whether they begin a text, how many each text has, and the words without number."""
-    split = [[*tokens(t), b""] for t in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    words = [w for found in split for w in found]
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words)).view(np.int64)
-    ids = _places(model["keys"], hashes)
+def token_ids(model: dict, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """The tokens of texts, one after the other: numbers (-1 for words that are not broadcast),
+    whether they begin a text, how many each text has; the different words, their hashes, and which
+    of them each token is."""
+    split = tokens(texts)
+    sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = split.flatten().dictionary_encode()
+    words, which = _bytes(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
+    hashes = _hashes.of(words).view(np.int64)
+    ids = _places(model["keys"], hashes)[which]
     first = np.zeros(len(ids), bool)
     first[np.cumsum(sizes) - sizes] = True
-    return hashes, ids, first, sizes, [words[i] for i in np.flatnonzero(ids < 0).tolist()]
+    return ids, first, sizes, words, hashes, which
+
+
+def _order(rank: np.ndarray) -> np.ndarray:
+    """The places of rank in order; behind the ranks themselves where a number holds both, which is sorted quicker."""
+    bits = len(rank).bit_length()
+    if len(rank) and rank.min() >= 0 and rank.max() >> (62 - bits) == 0:
+        return np.sort(rank << bits | np.arange(len(rank))) & ((1 << bits) - 1)
+    return np.argsort(rank)
 
 
-def _places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def _places(keys: np.ndarray, wanted: np.ndarray, rank: np.ndarray | None = None) -> np.ndarray:
     """Where each of wanted stands in the sorted keys; -1 if it does not. In order, so that
-    neighbouring searches meet the same memory."""
+    neighbouring searches meet the same memory. rank: smaller numbers that sort as wanted do."""
     if not len(keys):
         return np.full(len(wanted), -1)
-    order = np.argsort(wanted)
+    order = _order(wanted if rank is None else rank)
     ordered = wanted[order]
     at = np.searchsorted(keys, ordered)
     at[at >= len(keys)] = 0
@@ -337,7 +360,8 @@ def edges_of(model: dict, ids: np.ndarray, first: np.ndarray) -> Iterator[tuple[
     for level in model["levels"]:
         edge = np.full(len(ids), -1)
         good = np.flatnonzero((context >= 0) & (ids >= 0))
-        edge[good] = _places(level["edges"], context[good] << 32 | ids[good])
+        before, word = context[good], ids[good]
+        edge[good] = _places(level["edges"], before << 32 | word, before * begin + word)
         yield context, edge
         context = np.concatenate([[-1], edge[:-1]])
         context[first] = -1
@@ -349,8 +373,8 @@ def next_counts(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally, grown = Tally(), shared.value
-        for _, texts in small_batches(batches, limit=AT_ONCE):
-            _, ids, first, _, _ = token_ids(grown, texts)
+        for part in parts(batches, limit=TEXT):
+            ids, first, *_ = token_ids(grown, part.column(0))
             context, edge = np.concatenate([[-1], ids[:-1]]), ids
             context[first] = len(grown["keys"])
             for _, edge in edges_of(grown, ids, first):
@@ -376,7 +400,7 @@ def train(docs: DataFrame) -> dict:
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(spelling(tree.value, batch.column(1).to_pylist()))], names=["key", "n", "log"])
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(spelling(tree.value, _bytes(batch.column(1))))], names=["key", "n", "log"])
 
     often = words.where(F.col("n") >= enough).mapInArrow(spell, "key long, n long, log double")
     key, count, log = _columns(often.groupBy("key").agg(F.sum("n").alias("n"), F.max("log").alias("log")), "key", "n", "log")
@@ -385,7 +409,7 @@ def train(docs: DataFrame) -> dict:
     root = ROOT * count / max(1, n) + (1 - ROOT) * 10.0**log
     model: dict = {"spelling": spelt, "words": words, "n": int(n), "v": int(v), "keys": key, "counts": count, "root": root, "levels": []}
     # how often each context of the next depth occurs, and the context that is one word shorter
-    begun = _places(key, np.array([_hashes[b""]], np.uint64).view(np.int64))[0]
+    begun = _places(key, _hashes.of([b""]).view(np.int64))[0]
     occurs, shorter = np.concatenate([count, [count[begun] if begun >= 0 else 0]]), None
     if begun >= 0:
         occurs[begun] = 0  # nothing follows an end
@@ -422,8 +446,8 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for part, texts in small_batches(batches, limit=AT_ONCE):
-            hashes, ids, first, sizes, rest = token_ids(m, texts)
+        for part in parts(batches, limit=TEXT):
+            ids, first, sizes, words, hashes, which = token_ids(m, part.column(1))
             ends = np.cumsum(sizes)
             known = ids >= 0
             p, base = np.ones(len(ids)), np.zeros(len(ids))
@@ -433,8 +457,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                 p[after] *= level["left"][context[after]]
                 p[seen] += level["share"][edge[seen]]
             by_row = lambda x: np.add.reduceat(x, ends - sizes)  # noqa: B023, E731
-            logs, bounds = spelling(m["spelling"], rest), np.concatenate([[0], np.cumsum(by_row((~known).astype(np.int64)))]).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x)) for x in (hashes[~known], logs)]
+            rest = which[~known]
+            new, spelt = np.unique(rest), np.zeros(len(words))
+            spelt[new] = spelling(m["spelling"], [words[i] for i in new.tolist()])
+            bounds = np.concatenate([[0], np.cumsum(by_row((~known).astype(np.int64)))]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x)) for x in (hashes[rest], spelt[rest])]
             yield pa.record_batch([part.column(0), part.column(2), pa.array(sizes), pa.array(by_row(known.astype(np.int64))), pa.array(by_row(base)), pa.array(by_row(np.log10(p))), *lists], names=["doc_id", "held_out", "n_tokens", "known", "base", "total", "keys", "logs"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
