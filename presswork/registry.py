@@ -877,11 +877,10 @@ def worker_liveness(spark: SparkSession, d: str) -> DataFrame:
 @query(_liveness_sql(f'max("at") // 1000 * 1000 - {_DELAY}'))
 def worker_liveness_stream(spark: SparkSession, d: str) -> DataFrame:
     """The same from a stream's timers, up to its watermark."""
-    spark = spark.newSession()
-    stateful.use_rocksdb(spark)
+    spark = stateful.own_session(spark)
     ts = F.col("ts").cast("timestamp")
     stream, base = stateful.replayed(spark, table(spark, d, "events").select(F.col("user_id").cast("string").alias("worker"), ts.alias("ts"), F.unix_micros(ts).alias("at")), files=100_000)
-    out = stateful.run_to_table(expiry.timed(stream, "worker", expiry.Liveness(_LASTS), ["at"], "1 hour"), "liveness", base, "append")
+    out = stateful.run_to_table(expiry.timed(stream, "worker", expiry.Liveness(_LASTS), ["at"], "1 hour", 512), "liveness", base, "append")
     return spark.read.schema("worker string, at long, change string").parquet(out).select("worker", "at", "change")
 
 

@@ -13,6 +13,7 @@ that the stream's state takes its steps with. Times are microseconds as longs.""
 from __future__ import annotations
 
 import json
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,8 +40,9 @@ class Liveness:
         return state["last"] + self.lasts if state.get("up") else None
 
     def end(self, state: dict) -> dict:
-        state["up"] = False
-        return {"at": state["last"] + self.lasts, "change": "down"}
+        out = {"at": state["last"] + self.lasts, "change": "down"}
+        state.clear()
+        return out
 
     def take(self, state: dict, event: dict) -> Iterator[dict]:
         if not state.get("up"):
@@ -63,7 +65,7 @@ class Leases:
 
     def end(self, state: dict) -> dict:
         out = {"at": state["until"], "kind": "expire", "owner": state["owner"], "token": state["token"], "granted": True}
-        state.update(owner=None, token=None)
+        state.clear()
         return out
 
     def take(self, state: dict, event: dict) -> Iterator[dict]:
@@ -111,7 +113,7 @@ def leases(events: DataFrame, key: str, lasts: int, to: int) -> DataFrame:
 
     def run(one: tuple, found: pd.DataFrame) -> pd.DataFrame:
         rows = found.sort_values(["at", "kind", "owner", "token"]).to_dict("records")
-        return _frame(rule, str(one[0]), advanced(rule, {}, rows, to))
+        return _frame(rule, [(str(one[0]), x) for x in advanced(rule, {}, rows, to)])
 
     rows = events.select(F.col(key).cast("string").alias("k"), "at", "kind", "owner", "token").where(F.col("at") <= to)
     return rows.groupBy("k").applyInPandas(run, _schema(rule))
@@ -121,58 +123,81 @@ def _schema(rule) -> str:
     return ", ".join(f"{c} {t}" for c, t in rule.columns.items())
 
 
-def _frame(rule, key: str, rows: Iterator[dict]) -> pd.DataFrame:
+def _frame(rule, rows: list[tuple[str, dict]]) -> pd.DataFrame:
     first, *rest = rule.columns
-    return pd.DataFrame([[key, *[r[c] for c in rest]] for r in rows], columns=[first, *rest])
+    return pd.DataFrame([[key, *[r[c] for c in rest]] for key, r in rows], columns=[first, *rest])
 
 
 # -- streams ----------------------------------------------------------------------------
 
 class Timed(StatefulProcessor):
-    """A rule over a stream: events wait for the watermark, timers for what ends."""
+    """A rule over a stream, for groups of keys that share a state: {key: state}, what their events wait in,
+    and one timer, at the first of those events or the first end of a state. When it fires, all up to the
+    watermark is done at once: Python is called once a group and watermark, not once an event."""
 
     def __init__(self, rule, fields: list[str]):
         self.rule, self.fields = rule, fields
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("state", "body string")
-        self.waiting = handle.getListState("waiting", "body string")
-
-    def _later(self, at: int) -> None:
-        self.handle.registerTimer(-(-at // MS))  # the first millisecond that is not before it
+        self.state = handle.getValueState("state", "body string, timer long")
+        self.waiting = handle.getListState("waiting", "body string")  # lists of [key, at, ...]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows))[self.fields].to_dict("records")
-        self.waiting.appendList([(json.dumps(e),) for e in events])
-        for at in {-(-e["at"] // MS) for e in events}:
-            self._later(at * MS)
+        first = []
+        for frame in rows:
+            events = list(zip(*(frame[c].tolist() for c in ["k", *self.fields]), strict=True))
+            self.waiting.appendValue((json.dumps(events),))
+            first.append(min(e[1] for e in events))
+        body, due = self.state.get() or ("[]", None)
+        if due is None or _tick(min(first)) < due:
+            self._fire(body, due, min(first))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         to = timerValues.getCurrentWatermarkInMs() * MS
-        held = [json.loads(r[0]) for r in self.waiting.get()]
-        ready = sorted((e for e in held if e["at"] <= to), key=lambda e: [e[c] for c in self.fields])
-        left = [e for e in held if e["at"] > to]
+        states, ready, left = dict(json.loads(self.state.get()[0])), defaultdict(list), []
+        for (body,) in self.waiting.get():
+            for e in json.loads(body):
+                if e[1] <= to:
+                    ready[e[0]].append(e[1:])
+                else:
+                    left.append(e)
+        out = []
+        for k in {k for k, state in states.items() if (end := self.rule.until(state)) is not None and end <= to} | ready.keys():
+            events = [dict(zip(self.fields, e, strict=True)) for e in sorted(ready[k])]
+            out += [(k, x) for x in advanced(self.rule, states.setdefault(k, {}), events, to)]
         if ready:
             self.waiting.clear()
             if left:
-                self.waiting.put([(json.dumps(e),) for e in left])
-        state = json.loads(self.state.get()[0]) if self.state.exists() else {}
-        out = list(advanced(self.rule, state, ready, to))
-        self.state.update((json.dumps(state),))
-        if (end := self.rule.until(state)) is not None:
-            self._later(end)
+                self.waiting.put([(json.dumps(left),)])
+        ends = [end for state in states.values() if (end := self.rule.until(state)) is not None]
+        self._fire(json.dumps([x for x in states.items() if x[1]]), None, min([*ends, *(e[1] for e in left)], default=None))
         if out:
-            yield _frame(self.rule, str(key[0]), iter(out))
+            yield _frame(self.rule, out)
+
+    def _fire(self, body: str, due: int | None, at: int | None) -> None:
+        """From now on the timer stands at a time, not where it did."""
+        if due is not None:
+            self.handle.deleteTimer(due)
+        if at is not None:
+            self.handle.registerTimer(_tick(at))
+        self.state.update((body, None if at is None else _tick(at)))
 
     def close(self) -> None:
         pass
 
 
-def timed(events: DataFrame, key: str, rule, fields: list[str], delay: str = "10 minutes") -> DataFrame:
+def _tick(at: int) -> int:
+    """The first millisecond that is not before a time."""
+    return -(-at // MS)
+
+
+def timed(events: DataFrame, key: str, rule, fields: list[str], delay: str = "10 minutes", buckets: int | None = None) -> DataFrame:
     """A rule over a stream of events(key, ts, at, ...): ts is the time that the watermark follows and
     `at` the same in microseconds; fields: the columns of an event, `at` first, which order events
-    at one time."""
-    rows = events.withWatermark("ts", delay).select(F.col(key).alias("k"), "ts", *fields)
-    return rows.groupBy("k").transformWithStateInPandas(statefulProcessor=Timed(rule, fields), outputStructType=_schema(rule), outputMode="Append", timeMode="EventTime")
+    at one time; those without a time are none. buckets: how many groups share out the keys, for many keys
+    of few events; a group's waiting events are read together. By default each key is a group."""
+    group = F.col("k") if buckets is None else F.pmod(F.hash("k"), F.lit(buckets))
+    rows = events.where("ts IS NOT NULL").withWatermark("ts", delay).select(F.col(key).cast("string").alias("k"), "ts", *fields).withColumn("g", group)
+    return rows.groupBy("g").transformWithStateInPandas(statefulProcessor=Timed(rule, fields), outputStructType=_schema(rule), outputMode="Append", timeMode="EventTime")

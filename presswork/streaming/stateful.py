@@ -76,6 +76,16 @@ def use_rocksdb(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+def own_session(spark):
+    """A session for a stream that keeps its state in RocksDB. The caller's settings stay as they are,
+    and those that a new session would not take over hold in it."""
+    other = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        other.conf.set(name, spark.conf.get(name))
+    use_rocksdb(other)
+    return other
+
+
 def replayed(spark, rows: DataFrame, files: int = 4) -> tuple[DataFrame, str]:
     """rows written out and read again as a stream of some files a batch, and the folder that the
     stream's own files may go to."""
